@@ -101,16 +101,16 @@ def tune(
             return evaluator.evaluate(model.transform(assembled.where(F.col("fold") == fold)))
 
         jobs = [(p, i) for p in grid for i in range(k)]
-        scores = in_flight(error, jobs, parallelism)
+        scores = in_flight(train.sparkSession, error, jobs, parallelism)
         return [(p, sum(scores[i * k : (i + 1) * k]) / k) for i, p in enumerate(grid)]
     finally:
         assembled.unpersist()
 
 
-def in_flight(fn: Callable, jobs: Iterable, parallelism: int = 4) -> list:
+def in_flight(spark: SparkSession, fn: Callable, jobs: Iterable, parallelism: int = 4) -> list:
     """Run independent Spark jobs with a few of them in flight; results keep their order."""
     with ThreadPoolExecutor(parallelism) as pool:
-        return list(pool.map(inheritable_thread_target(fn), jobs))
+        return list(pool.map(inheritable_thread_target(spark)(fn), jobs))
 
 
 def scores_frame(spark: SparkSession, scores: Mapping[str, Sequence[tuple[ForestParams, float]]]) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import clip
 from ..functions.timecols import HOUR, shift
+from ..session import ship_package
 from .pricing import DEFAULT_WINDOW_DAYS, HOURS, N_DUMMIES, UNCOUNTED_DAYS, WARMUP_DAYS, block_start, known
 
 # Penalty grid and folds of the cross-validated choice.
@@ -163,6 +164,7 @@ def fit_hourly(
     their design row are left out of the training rows. ``rule``: ``aic``, ``cv7`` or ``auto``
     (cross-validation where the window has too few days for its features).
     """
+    ship_package(design.sparkSession)
     span = window_days - WARMUP_DAYS
     keys = ["zone", "phase", "_block"]
     due = anchors.select("zone", "phase", "day", F.floor(F.col("day") / days_per_group).cast("int").alias("_block")).distinct()
@@ -172,12 +174,15 @@ def fit_hourly(
             "zone", "phase", "day", "x", "y",
             F.explode(
                 F.sequence(
-                    F.floor((F.col("day") + 1) / days_per_group), F.floor((F.col("day") + span) / days_per_group)
+                    F.floor((F.col("day") + 1) / days_per_group).cast("int"),
+                    F.floor((F.col("day") + span) / days_per_group).cast("int"),
                 )
-            ).cast("int").alias("_block"),
+            ).alias("_block"),
         )
         .join(due.select(*keys).distinct(), keys, "left_semi")
     )
+    # New names keep the two sides of the cogroup apart: both may come from one price table.
+    due = due.select(*[F.col(c).alias(f"{c}_due") for c in due.columns])
 
     def fit(known_days: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -185,7 +190,7 @@ def fit_hourly(
             known_days = known_days.sort_values("day")
             day = known_days["day"].to_numpy()
             x, y = np.stack(known_days["x"].to_numpy()), np.stack(known_days["y"].to_numpy())
-            for zone, phase, anchor in wanted[["zone", "phase", "day"]].itertuples(index=False):
+            for zone, phase, anchor in wanted[["zone_due", "phase_due", "day_due"]].itertuples(index=False):
                 use = (day < anchor) & (day >= anchor - span)
                 if use.sum() < 2:
                     continue
@@ -194,7 +199,7 @@ def fit_hourly(
         names = [f.split()[0] for f in MODEL_SCHEMA.split(", ")]
         return pd.DataFrame(out, columns=names)
 
-    return rows.groupBy(*keys).cogroup(due.groupBy(*keys)).applyInPandas(fit, MODEL_SCHEMA)
+    return rows.groupBy(*keys).cogroup(due.groupBy(*[f"{c}_due" for c in keys])).applyInPandas(fit, MODEL_SCHEMA)
 
 
 def predict_hourly(design: DataFrame, models: DataFrame, floor: float | None = 0.0) -> DataFrame:

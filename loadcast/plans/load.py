@@ -31,7 +31,7 @@ from ..sources.weather import WEATHER_COLUMNS
 
 # Defaults of the two load workflows.
 SUPPLY_FILL_LIMIT = 2
-SUMMER_MONTHS = (6, 7, 8, 9)
+SUMMER_MONTHS = (5, 6, 7, 8, 9)
 THERMAL_CAP_KW = 13000.0
 HISTORY_DAYS = 8
 MIN_LAG_HOURS = 48
@@ -179,7 +179,7 @@ def train_load_models(
         tested = fit_forest(train, features, best, seed, **forest).transform(test).select("target", "ts", "y", "yhat")
         return scores, best, tested, refit(rows, features, best, final_days, seed, **forest)
 
-    results = dict(zip(names, in_flight(one, names, min(parallelism, 2))))
+    results = dict(zip(names, in_flight(spark, one, names, min(parallelism, 2))))
     tested = None
     for scores, best, rows, model in results.values():
         tested = rows if tested is None else tested.unionByName(rows)
@@ -271,7 +271,7 @@ def retrain_load(
     def one(target: str) -> PipelineModel:
         return fit_forest(recent.where(F.col("target") == target), names, chosen[target], seed, **forest)
 
-    return current, dict(zip(targets, in_flight(one, targets, parallelism)))
+    return current, dict(zip(targets, in_flight(spark, one, targets, parallelism)))
 
 
 def missing_block(

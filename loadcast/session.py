@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_shipped: set[str] = set()
+
 # Time zone of every stored timestamp; local time is derived with from_utc_timestamp.
 EVENT_TIME_ZONE = "UTC"
 
@@ -40,3 +43,14 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, never reused path under the shared folder."""
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    base = os.path.join(tempfile.mkdtemp(prefix="loadcast-zip-"), "loadcast")
+    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(here), os.path.basename(here)))
+    _shipped.add(app)

@@ -14,8 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.timecols import QUARTER_HOUR
-from ..operators.clean import dedup_first
-from ..operators.history import upsert
+from ..operators.clean import dedup_first, dedup_last
 from ..operators.meters import counter_to_power
 
 LATENESS = "2 days"
@@ -47,35 +46,30 @@ def append_files(out: DataFrame, path: str, checkpoint: str, trigger: Mapping[st
     )
 
 
-def _version(root: str, n: int) -> str:
-    return os.path.join(root, f"v={n}")
-
+def upsert_stream(stream: DataFrame, root: str, checkpoint: str, trigger: Mapping[str, object] = AVAILABLE_NOW) -> StreamingQuery:
+    """Land each micro-batch as ``batch=n`` next to the history in ``batch=-1``.
 
-def upsert_stream(
-    stream: DataFrame, root: str, checkpoint: str, keys: Sequence[str], order: Sequence[str], trigger: Mapping[str, object] = AVAILABLE_NOW
-) -> StreamingQuery:
-    """Apply each micro-batch as an upsert; version n+1 of the table is written from version n.
-
-    A version depends on its batch number only, so a batch that runs again writes the same
-    files and nothing twice. Version 0 is what :func:`start_table` has written.
+    A batch writes its own rows only, and a batch that runs again replaces its own folder, so
+    nothing is applied twice. :func:`current_table` reads the upserted state.
     """
 
-    def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = spark.read.parquet(_version(root, number))
-        upsert(before, batch, keys, order).write.mode("overwrite").parquet(_version(root, number + 1))
+    def land(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(os.path.join(root, f"batch={number}"))
 
-    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    return stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def start_table(df: DataFrame, root: str) -> None:
-    df.write.mode("overwrite").parquet(_version(root, 0))
+    df.write.mode("overwrite").parquet(os.path.join(root, "batch=-1"))
+
 
+def current_table(spark: SparkSession, root: str, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Last row per key over history and landed batches: later batches win, then ``order``."""
+    return dedup_last(spark.read.parquet(root), keys, ["batch", *order]).drop("batch")
 
-def latest_table(spark: SparkSession, root: str, query: StreamingQuery) -> DataFrame:
-    """The version after the last finished batch."""
-    done = query.lastProgress["batchId"] if query.lastProgress else -1
-    return spark.read.parquet(_version(root, done + 1))
+
+def _version(root: str, n: int) -> str:
+    return os.path.join(root, f"v={n}")
 
 
 def counter_power_stream(

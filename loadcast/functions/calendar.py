@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .timecols import _col, to_local
+from .timecols import to_local
 
 # Cycle lengths of month, weekday and quarter-hour.
 PERIODS = {"month": 12, "day_of_week": 7, "quarter_hour": 96}
@@ -22,46 +22,41 @@ WINTER_BREAK_TO = (1, 3)
 CYCLIC_FEATURES = [f"{fn}_{CYCLE_NAMES[c]}" for c in PERIODS for fn in ("sin", "cos")]
 
 
-def month0(local: Column | str) -> Column:
-    return F.month(_col(local)) - 1
+def month0(local: str) -> Column:
+    return F.expr(f"month(`{local}`) - 1")
 
 
-def weekday0(local: Column | str) -> Column:
+def weekday0(local: str) -> Column:
     """Monday = 0."""
-    return F.weekday(_col(local))
+    return F.expr(f"weekday(`{local}`)")
 
 
-def quarter_hour(local: Column | str) -> Column:
-    t = _col(local)
-    return F.hour(t) * 4 + F.floor(F.minute(t) / 15).cast("int")
+def quarter_hour(local: str) -> Column:
+    return F.expr(f"hour(`{local}`) * 4 + minute(`{local}`) div 15").cast("int")
 
 
-def cyclic(c: Column | str, period: int) -> tuple[Column, Column]:
-    angle = _col(c) * F.lit(2.0) * F.pi() / F.lit(float(period))
-    return F.sin(angle), F.cos(angle)
+def cyclic(name: str, period: int) -> tuple[Column, Column]:
+    angle = f"2 * pi() * `{name}` / {period}"
+    return F.expr(f"sin({angle})"), F.expr(f"cos({angle})")
 
 
-def site_closed(local: Column | str, holiday: Column) -> Column:
+def site_closed(local: str, holiday: str) -> Column:
     """1 when the site is closed at the local wall time. The first rule that applies decides."""
-    t = _col(local)
-    month, day, hour, weekday = F.month(t), F.dayofmonth(t), F.hour(t), F.weekday(t)
-    winter = ((month == WINTER_BREAK_FROM[0]) & (day >= WINTER_BREAK_FROM[1])) | (
-        (month == WINTER_BREAK_TO[0]) & (day <= WINTER_BREAK_TO[1])
-    )
-    closing = F.when(weekday == 5, SATURDAY_CLOSING_HOUR).otherwise(WEEKDAY_CLOSING_HOUR)
-    is_open = (hour >= OPEN_FROM_HOUR) & (hour < closing)
-    return (
-        F.when((weekday == 6) | F.coalesce(holiday, F.lit(False)), 1)
-        .when(F.weekofyear(t).isin(*CLOSED_ISO_WEEKS), 1)
-        .when(winter, 1)
-        .when(is_open, 0)
-        .otherwise(1)
+    t, weeks = f"`{local}`", ", ".join(map(str, CLOSED_ISO_WEEKS))
+    return F.expr(
+        f"""CASE WHEN weekday({t}) = 6 OR coalesce(`{holiday}`, false) THEN 1
+        WHEN weekofyear({t}) IN ({weeks}) THEN 1
+        WHEN month({t}) = {WINTER_BREAK_FROM[0]} AND day({t}) >= {WINTER_BREAK_FROM[1]} THEN 1
+        WHEN month({t}) = {WINTER_BREAK_TO[0]} AND day({t}) <= {WINTER_BREAK_TO[1]} THEN 1
+        WHEN hour({t}) >= {OPEN_FROM_HOUR}
+          AND hour({t}) < CASE WHEN weekday({t}) = 5 THEN {SATURDAY_CLOSING_HOUR} ELSE {WEEKDAY_CLOSING_HOUR} END THEN 0
+        ELSE 1 END"""
     )
 
 
-def weekday_dummies(ts: Column | str) -> Column:
+def weekday_dummies(local: str) -> Column:
     """Array of seven 0/1 values, Monday first."""
-    return F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: (F.weekday(_col(ts)) == i).cast("double"))
+    return F.expr(f"transform(sequence(0, 6), i -> double(weekday(`{local}`) = i))")
 
 
 def add_calendar_ints(df: DataFrame, tz: str, ts: str = "ts") -> DataFrame:
@@ -91,7 +86,7 @@ def add_calendar(
     """
     local = add_cyclic(add_calendar_ints(df, tz, ts))
     flagged = mark_holidays(local, holidays)
-    closed = flagged.withColumn("campus_closed", site_closed("ts_local", F.col("is_holiday"))).drop("is_holiday")
+    closed = flagged.withColumn("campus_closed", site_closed("ts_local", "is_holiday")).drop("is_holiday")
     if temperature in df.columns:
         closed = closed.withColumn("T_open", F.col(temperature) * (1 - F.col("campus_closed")))
     return closed

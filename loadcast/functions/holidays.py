@@ -5,8 +5,7 @@ Size: thirteen rows per year at most, whatever the size of the fact tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed values: (name, month, day, first year, last year) of holidays with a fixed date.
 FIXED_DAYS = [
@@ -26,47 +25,28 @@ FIXED_DAYS = [
 ]
 
 
-def easter_sunday(year: Column) -> Column:
-    """Gregorian Easter as a date, by integer arithmetic (anonymous Gregorian computus)."""
-
-    def div(a: Column, b: int) -> Column:
-        return F.floor(a / F.lit(b))
-
-    golden = year % 19
-    century = div(year, 100)
-    leap_skip = div(century, 4)
-    moon_drift = div(century - div(century + 8, 25) + 1, 3)
-    epact = (golden * 19 + century - leap_skip - moon_drift + 15) % 30
-    in_century = year % 100
-    weekday = ((century % 4) * 2 + div(in_century, 4) * 2 + 32 - epact - in_century % 4) % 7
-    correction = div(golden + epact * 11 + weekday * 22, 451)
-    days = epact + weekday - correction * 7 + 114
-    return F.make_date(year.cast("int"), div(days, 31).cast("int"), (days % 31 + 1).cast("int"))
+# Gregorian Easter by integer arithmetic (the anonymous Gregorian computus), from ``year``.
+EASTER_SQL = """
+SELECT make_date(year, int(q div 31), int(q % 31 + 1)) AS sunday
+FROM (SELECT year, epact + wd - 7 * ((golden + 11 * epact + 22 * wd) div 451) + 114 AS q
+  FROM (SELECT *, (32 + 2 * (century % 4) + 2 * ((year % 100) div 4) - epact - (year % 100) % 4) % 7 AS wd
+    FROM (SELECT year, golden, century,
+        (19 * golden + century - century div 4 - (century - (century + 8) div 25 + 1) div 3 + 15) % 30 AS epact
+      FROM (SELECT year, year % 19 AS golden, year div 100 AS century FROM {years}))))
+"""
 
 
 def holiday_dimension(spark: SparkSession, first_year: int, last_year: int) -> DataFrame:
     """Rows ``(country, day, name)`` for the inclusive span of years."""
-    years = spark.range(first_year, last_year + 1, 1, 1).select(F.col("id").cast("int").alias("year"))
-    rules = F.array(
-        *[
-            F.struct(
-                F.lit(n).alias("name"), F.lit(m).alias("m"), F.lit(d).alias("d"),
-                F.lit(a).alias("first"), F.lit(b).alias("last"),
-            )
-            for n, m, d, a, b in FIXED_DAYS
-        ]
-    )
-    fixed = (
-        years.select("year", F.explode(rules).alias("r"))
-        .where(F.col("year").between(F.col("r.first"), F.col("r.last")))
-        .select(F.make_date("year", "r.m", "r.d").alias("day"), F.col("r.name").alias("name"))
+    years = spark.range(first_year, last_year + 1, 1, 1).selectExpr("int(id) AS year")
+    rules = ", ".join(f"('{n}', {m}, {d}, {a}, {b})" for n, m, d, a, b in FIXED_DAYS)
+    return spark.sql(
+        f"""
+        WITH easter AS ({EASTER_SQL.format(years="{years}")}),
+        rules AS (SELECT * FROM VALUES {rules} AS r(name, m, d, first, last))
+        SELECT 'IT' AS country, make_date(year, m, d) AS day, name FROM {{years}} JOIN rules ON year BETWEEN first AND last
+        UNION ALL SELECT 'IT', sunday, 'Easter Sunday' FROM easter
+        UNION ALL SELECT 'IT', date_add(sunday, 1), 'Easter Monday' FROM easter
+        """,
+        years=years,
     )
-    easter = years.select(easter_sunday(F.col("year")).alias("sunday")).select(
-        F.explode(
-            F.array(
-                F.struct(F.col("sunday").alias("day"), F.lit("Easter Sunday").alias("name")),
-                F.struct(F.date_add("sunday", 1).alias("day"), F.lit("Easter Monday").alias("name")),
-            )
-        ).alias("r")
-    ).select("r.day", "r.name")
-    return fixed.unionByName(easter).select(F.lit("IT").alias("country"), "day", "name")

@@ -21,25 +21,14 @@ def spine(bounds: DataFrame, keys: Sequence[str], first: str, last: str, ts: str
 
     Generated by day and then within the day, so no array spans a whole series.
     """
-    a, b = epoch_s(first), epoch_s(last)
     per_day = max(DAY // step, 1)
-    steps = F.floor((b - a) / F.lit(step))
+    by = [f"`{k}`" for k in keys]
     return (
-        bounds.where(F.col(first).isNotNull() & (a <= b))
-        .select(*keys, a.alias("_a"), steps.alias("_steps"))
-        .select(*keys, "_a", "_steps", F.explode(F.sequence(F.lit(0), F.floor(F.col("_steps") / per_day))).alias("_day"))
-        .select(
-            *keys, "_a",
-            F.explode(
-                F.sequence(
-                    F.col("_day") * per_day,
-                    F.when(F.col("_steps") < (F.col("_day") + 1) * per_day - 1, F.col("_steps")).otherwise(
-                        (F.col("_day") + 1) * per_day - 1
-                    ),
-                )
-            ).alias("_k"),
-        )
-        .select(*keys, F.timestamp_seconds(F.col("_a") + F.col("_k") * step).alias(ts))
+        bounds.where(f"`{first}` <= `{last}`")
+        .selectExpr(*by, f"unix_seconds(`{first}`) AS _a", f"(unix_seconds(`{last}`) - unix_seconds(`{first}`)) div {step} AS _n")
+        .selectExpr(*by, "_a", "_n", f"explode(sequence(0, _n div {per_day})) AS _day")
+        .selectExpr(*by, "_a", f"explode(sequence(_day * {per_day}, least(_n, (_day + 1) * {per_day} - 1))) AS _k")
+        .selectExpr(*by, f"timestamp_seconds(_a + _k * {step}) AS `{ts}`")
     )
 
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..functions.timecols import QUARTER_HOUR, epoch_s
+from ..functions.timecols import QUARTER_HOUR
 from .ordered import GRID_CHUNK, known_neighbours
 
 
@@ -29,20 +28,17 @@ def fill_linear(
     this serves fills by position and fills by time alike.
     """
     near = known_neighbours(df, keys, ts, cols, span)
-    at = epoch_s(ts)
-    filled = {}
-    for c in cols:
-        pt, pv, nt, nv = (F.col(f"_{k}_{c}") for k in ("pt", "pv", "nt", "nv"))
-        within = pv + (nv - pv) * ((at - pt) / (nt - pt))
-        value = F.when(nt.isNull(), pv).otherwise(within)
+    at = f"unix_seconds(`{ts}`)"
+
+    def filled(c: str) -> str:
+        pt, pv, nt, nv = (f"`_{k}_{c}`" for k in ("pt", "pv", "nt", "nv"))
+        value = f"CASE WHEN {nt} IS NULL THEN {pv} ELSE {pv} + ({nv} - {pv}) * (({at} - {pt}) / ({nt} - {pt})) END"
         if limit is not None:
-            value = F.when((at - pt) / F.lit(step) <= limit, value)
-        if both:
-            value = F.when(pt.isNull(), nv).otherwise(value)
-        else:
-            value = F.when(pt.isNotNull(), value)
-        filled[c] = F.when(F.col(c).isNotNull(), F.col(c)).otherwise(value)
-    return near.select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
+            value = f"CASE WHEN ({at} - {pt}) / {step} <= {limit} THEN {value} END"
+        start = nv if both else "NULL"
+        return f"CASE WHEN `{c}` IS NOT NULL THEN `{c}` WHEN {pt} IS NULL THEN {start} ELSE {value} END AS `{c}`"
+
+    return near.selectExpr(*[filled(c) if c in cols else f"`{c}`" for c in df.columns])
 
 
 def fill_time(df: DataFrame, keys: Sequence[str], cols: Sequence[str], ts: str = "ts", span: int = GRID_CHUNK) -> DataFrame:

@@ -199,7 +199,13 @@ def fit_hourly(
         names = [f.split()[0] for f in MODEL_SCHEMA.split(", ")]
         return pd.DataFrame(out, columns=names)
 
-    return rows.groupBy(*keys).cogroup(due.groupBy(*[f"{c}_due" for c in keys])).applyInPandas(fit, MODEL_SCHEMA)
+    # A fixed number of partitions: the groups are small in bytes and long in time, so they must
+    # not be merged into a few tasks.
+    spark = design.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    due_keys = [f"{c}_due" for c in keys]
+    spread, wanted_days = rows.repartition(n, *keys), due.repartition(n, *due_keys)
+    return spread.groupBy(*keys).cogroup(wanted_days.groupBy(*due_keys)).applyInPandas(fit, MODEL_SCHEMA)
 
 
 def predict_hourly(design: DataFrame, models: DataFrame, floor: float | None = 0.0) -> DataFrame:

@@ -42,10 +42,6 @@ def _before(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(F.col(_CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _after(keys: Sequence[str]):
-    return Window.partitionBy(*keys).orderBy(F.col(_CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-
-
 def exact_lags(
     df: DataFrame,
     keys: Sequence[str],
@@ -115,40 +111,42 @@ def known_neighbours(
     New columns: ``_pt_<c>``/``_pv_<c>`` (stamp in epoch seconds and value before) and
     ``_nt_<c>``/``_nv_<c>`` (after).
     """
-    placed = df.withColumn(_CHUNK, chunk_of(epoch_s(ts), span)).withColumns(
-        {f"_at_{c}": F.when(F.col(c).isNotNull(), epoch_s(ts)) for c in cols}
-    )
+    at = f"unix_seconds(`{ts}`)"
+    by = ", ".join(f"`{k}`" for k in keys)
+    seen = {c: f"CASE WHEN `{c}` IS NOT NULL THEN {at} END" for c in cols}
+    placed = df.withColumn(_CHUNK, chunk_of(F.expr(at), span))
     edges = placed.groupBy(*keys, _CHUNK).agg(
-        *[F.max(f"_at_{c}").alias(f"_lt_{c}") for c in cols],
-        *[F.max_by(c, f"_at_{c}").alias(f"_lv_{c}") for c in cols],
-        *[F.min(f"_at_{c}").alias(f"_ft_{c}") for c in cols],
-        *[F.min_by(c, f"_at_{c}").alias(f"_fv_{c}") for c in cols],
+        *[
+            F.expr(e)
+            for c in cols
+            for e in (
+                f"max({seen[c]}) AS `_lt_{c}`", f"max_by(`{c}`, {seen[c]}) AS `_lv_{c}`",
+                f"min({seen[c]}) AS `_ft_{c}`", f"min_by(`{c}`, {seen[c]}) AS `_fv_{c}`",
+            )
+        ]
     )
-    carried = edges.select(
-        *keys, _CHUNK,
-        *[F.last(f"_l{k}_{c}", True).over(_before(keys)).alias(f"_cp{k}_{c}") for c in cols for k in "tv"],
-        *[F.last(f"_f{k}_{c}", True).over(_after(keys)).alias(f"_cn{k}_{c}") for c in cols for k in "tv"],
+    # Descending windows serve the look ahead: a frame that grows is read once.
+    chunks = {
+        "p": (f"OVER (PARTITION BY {by} ORDER BY {_CHUNK} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)", "l"),
+        "n": (f"OVER (PARTITION BY {by} ORDER BY {_CHUNK} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)", "f"),
+    }
+    carried = edges.selectExpr(
+        *[f"`{k}`" for k in keys], _CHUNK,
+        *[f"last(`_{e}{k}_{c}`, true) {w} AS `_c{d}{k}_{c}`" for c in cols for d, (w, e) in chunks.items() for k in "tv"],
     )
-    back = _in_chunk(keys, F.col(ts)).rowsBetween(Window.unboundedPreceding, 0)
-    ahead = _in_chunk(keys, F.col(ts).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    both = placed.join(carried, [*keys, _CHUNK], "left").select(
-        "*",
-        *[F.last(f"_at_{c}", True).over(back).alias(f"_bt_{c}") for c in cols],
-        *[F.last(c, True).over(back).alias(f"_bv_{c}") for c in cols],
-        *[F.last(f"_at_{c}", True).over(ahead).alias(f"_tt_{c}") for c in cols],
-        *[F.last(c, True).over(ahead).alias(f"_tv_{c}") for c in cols],
+    rows = {
+        "p": f"OVER (PARTITION BY {by}, {_CHUNK} ORDER BY `{ts}` ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+        "n": f"OVER (PARTITION BY {by}, {_CHUNK} ORDER BY `{ts}` DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+    }
+    return placed.join(carried, [*keys, _CHUNK], "left").selectExpr(
+        *[f"`{c}`" for c in df.columns],
+        *[
+            f"coalesce(last({value}, true) {w}, `_c{d}{k}_{c}`) AS `_{d}{k}_{c}`"
+            for c in cols
+            for d, w in rows.items()
+            for k, value in (("t", seen[c]), ("v", f"`{c}`"))
+        ],
     )
-    picked = [
-        expr
-        for c in cols
-        for expr in (
-            F.coalesce(f"_bt_{c}", f"_cpt_{c}").alias(f"_pt_{c}"),
-            F.coalesce(f"_bv_{c}", f"_cpv_{c}").alias(f"_pv_{c}"),
-            F.coalesce(f"_tt_{c}", f"_cnt_{c}").alias(f"_nt_{c}"),
-            F.coalesce(f"_tv_{c}", f"_cnv_{c}").alias(f"_nv_{c}"),
-        )
-    ]
-    return both.select(*df.columns, *picked)
 
 
 def row_position(

@@ -52,7 +52,7 @@ def day_blocks(
         .withColumn("_h", F.floor(F.pmod(F.col("_s"), F.lit(DAY)) / HOUR).cast("int"))
     )
     return placed.groupBy(zone, "phase", "day").agg(
-        *[F.array(*[F.max(F.when(F.col("_h") == h, F.col(v))) for h in range(HOURS)]).alias(v) for v in values]
+        *[F.expr(f"array({', '.join(f'max(`{v}`) FILTER (WHERE _h = {h})' for h in range(HOURS))})").alias(v) for v in values]
     )
 
 
@@ -81,16 +81,15 @@ def price_design(
         lags |= {f"_{e}_{d}": (e, d) for d in EXOG_LAG_DAYS if d}
     lagged = exact_lags(blocks, [zone, "phase"], F.col("day"), lags, span=28)
 
-    def at(c: str, h: int) -> Column:
-        return F.get(F.col(c), F.lit(h))
-
-    cells = [at(f"_p{d}", h) for h in range(HOURS) for d in PRICE_LAG_DAYS]
+    cells = [f"`_p{d}`[{h}]" for h in range(HOURS) for d in PRICE_LAG_DAYS]
     for h in range(HOURS):
-        cells += [at(f"_{e}_{d}", h) for d in EXOG_LAG_DAYS if d for e in exog]
-        cells += [at(e, h) for e in exog]
-    weekday = F.weekday(to_local(block_start(), tz))
-    cells += [(weekday == i).cast("double") for i in range(N_DUMMIES)]
-    return lagged.select(zone, "phase", "day", F.array(*cells).alias("x"), F.col("price").alias("y"))
+        cells += [f"`_{e}_{d}`[{h}]" for d in EXOG_LAG_DAYS if d for e in exog]
+        cells += [f"`{e}`[{h}]" for e in exog]
+    cells += [f"double(_weekday = {i})" for i in range(N_DUMMIES)]
+    # A block without a lag day has a NULL array, whose cells are NULL.
+    return lagged.withColumn("_weekday", F.weekday(to_local(block_start(), tz))).select(
+        zone, "phase", "day", F.expr(f"array({', '.join(cells)})").alias("x"), F.col("price").alias("y")
+    )
 
 
 def known(array: Column | str) -> Column:

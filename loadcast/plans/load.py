@@ -23,10 +23,11 @@ from ..operators.interpolate import fill_linear, fill_time
 from ..operators.lags import DEFAULT_LAGS, lag_name, lag_onto_horizon, lag_time
 from ..operators.meters import (
     GROSS_PREFIX, GROSS_TOTAL, NET_TOTAL, SUPPLY_ROLES, align, counter_to_power, gross, join_weather,
-    net_sum_of_means, prefer_main, pv_sum, residual, totals,
+    prefer_main, pv_sum,
 )
 from ..operators.ordered import series_bounds
 from ..operators.splits import period_stats, regression_metrics, split_label, trailing_window
+from ..session import stage
 from ..sources.weather import WEATHER_COLUMNS
 
 # Defaults of the two load workflows.
@@ -39,72 +40,103 @@ MIN_LAG_HOURS = 48
 BASE_FEATURES = [*WEATHER_COLUMNS, *CYCLIC_FEATURES, "campus_closed", "T_open"]
 
 
-def supply_15m(tagged: DataFrame, limit: int = SUPPLY_FILL_LIMIT) -> DataFrame:
+PV_ROLES = ("pv_main", "pv_backup")
+
+
+def meter_bins(readings: DataFrame, meter_map: DataFrame) -> DataFrame:
+    """15-minute means (site, variable, ts, value) of every mapped meter, counters as power."""
+    clean = dedup_first(
+        readings.select("site_id", "variable_id", "ts", "value"), ["site_id", "variable_id", "ts"], ["value"]
+    )
+    is_pv = F.col("role").isin(*PV_ROLES)
+
+    def of(which: Column) -> DataFrame:
+        used = meter_map.where(which).select("site_id", "variable_id").distinct()
+        return clean.join(used, ["site_id", "variable_id"], "left_semi")
+
+    keys = ["site_id", "variable_id"]
+    power = counter_to_power(of(is_pv), keys, power="kw").select(*keys, "ts", F.col("kw").alias("value"))
+    return bin_mean(of(~is_pv), keys).withColumn("counter", F.lit(False)).unionByName(
+        bin_mean(power, keys).withColumn("counter", F.lit(True))
+    )
+
+
+def supply_15m(bins: DataFrame, limit: int = SUPPLY_FILL_LIMIT) -> DataFrame:
     """Grid and CHP power (site, role, variable, ts, value) on the site's grid, short gaps filled."""
     keys = ["site_id", "role", "variable_id"]
-    means = bin_mean(tagged.where(F.col("role").isin(*SUPPLY_ROLES)), keys)
+    means = bins.where(F.col("role").isin(*SUPPLY_ROLES)).select(*keys, "ts", "value")
     meters = means.select(*keys).distinct()
     span = series_bounds(means, ["site_id"], "ts").drop("n_rows")
     grid = spine(meters.join(span, "site_id"), keys, "first_ts", "last_ts")
     return fill_linear(grid.join(means, [*keys, "ts"], "left"), keys, ["value"], limit=limit)
 
 
-def pv_15m(readings: DataFrame, meter_map: DataFrame) -> DataFrame:
-    """PV power (site, cabin, ts, pv): counters to power, backups where mains are missing, summed."""
-    mapped = meter_map.where(F.col("role").isin("pv_main", "pv_backup"))
-    used = readings.join(mapped.select("site_id", "variable_id").distinct(), ["site_id", "variable_id"], "left_semi")
-    power = counter_to_power(used, ["site_id", "variable_id"], power="kw").select("site_id", "variable_id", "ts", "kw")
-    means = bin_mean(power, ["site_id", "variable_id"], value="kw").withColumnRenamed("kw", "value")
-    placed = means.join(mapped, ["site_id", "variable_id"])
-    return pv_sum(prefer_main(placed, ["site_id", "cabin", "position", "ts"]), ["site_id", "cabin", "ts"])
-
-
 def electric_targets(
     readings: DataFrame, meter_map: DataFrame, residual_cabin: str, fill_limit: int = SUPPLY_FILL_LIMIT, gross_min: int = 1, net_min: int = 1
 ) -> DataFrame:
-    """Long targets (site, target, ts, y): gross consumption per cabin and the two totals."""
-    clean = dedup_first(
-        readings.select("site_id", "variable_id", "ts", "value"), ["site_id", "variable_id", "ts"], ["value"]
+    """Long targets (site, target, ts, y): gross consumption per cabin and the two totals.
+
+    The raw readings are reduced to 15-minute bins and staged; the balance then needs one
+    shuffle on (site, ts), whose groups hold one row per cabin.
+    """
+    bins = stage(meter_bins(readings, meter_map), "meter-bins")
+    placed = bins.join(meter_map, ["site_id", "variable_id"]).where(
+        F.col("counter") == F.col("role").isin(*PV_ROLES)
     )
-    tagged = clean.join(meter_map.drop("position"), ["site_id", "variable_id"])
-    supply = supply_15m(tagged, fill_limit)
-    net = net_sum_of_means(tagged.where(F.col("role") == "net"), ["site_id", "cabin"], "variable_id")
-    pv = pv_15m(clean, meter_map)
-
-    balance = residual(
-        supply.select("site_id", "ts", "role", "value").unionByName(
-            net.select("site_id", "ts", F.lit("net").alias("role"), F.col("net").alias("value"))
-        ),
-        ["site_id", "ts"],
-    ).select("site_id", F.lit(residual_cabin).alias("cabin"), "ts", F.col("residual").alias("net"))
-    has_pv = (
-        meter_map.where(F.col("role").isin("pv_main", "pv_backup")).select("site_id", "cabin").distinct()
-        .withColumn("has_pv", F.lit(True))
+    cabin = ["site_id", "cabin", "ts"]
+    net = placed.where(F.col("role") == "net").groupBy(*cabin).agg(F.sum("value").alias("value"))
+    pv = pv_sum(prefer_main(placed.where(F.col("role").isin(*PV_ROLES)), ["site_id", "cabin", "position", "ts"]), cabin)
+    supply = supply_15m(placed, fill_limit)
+
+    def rows(df: DataFrame, kind: str, name: Column, value: str = "value") -> DataFrame:
+        return df.select("site_id", name.alias("cabin"), "ts", F.lit(kind).alias("kind"), F.col(value).alias("value"))
+
+    every = (
+        rows(net, "net", F.col("cabin"))
+        .unionByName(rows(pv, "pv", F.col("cabin"), "pv"))
+        .unionByName(rows(supply, "supply", F.concat_ws(":", "role", "variable_id")))
+    )
+
+    def of(kind: str) -> Column:
+        return F.max(F.when(F.col("kind") == kind, F.col("value")))
+
+    role = F.col("role")
+    cabins = meter_map.groupBy("site_id", "cabin").agg(
+        F.max(role == "net").alias("has_net"), F.max(role.isin(*PV_ROLES)).alias("has_pv")
     )
-    nothing = F.lit(None).cast("double")
-    parts = net.unionByName(balance).withColumn("pv", nothing).unionByName(pv.withColumn("net", nothing))
     per_cabin = (
-        parts.groupBy("site_id", "cabin", "ts").agg(F.max("net").alias("net"), F.max("pv").alias("pv"))
-        .join(has_pv, ["site_id", "cabin"], "left")
-        .withColumn("y", gross(F.col("net"), F.col("pv"), F.coalesce("has_pv", F.lit(False))))
+        every.repartition("site_id", "ts").groupBy(*cabin)
+        .agg(of("net").alias("net"), of("pv").alias("pv"), of("supply").alias("supply"))
+        .join(cabins, ["site_id", "cabin"], "left")
+        .withColumn("gross", F.when(F.col("has_net"), gross(F.col("net"), F.col("pv"), F.col("has_pv"))))
+    )
+    left_over = F.sum("supply") - F.sum("net")
+    named = F.struct(F.concat(F.lit(GROSS_PREFIX), "cabin").alias("target"), F.col("gross").alias("y"))
+    site = per_cabin.groupBy("site_id", "ts").agg(
+        F.collect_list(F.when(F.col("has_net"), named)).alias("cabins"),  # one per cabin of the site
+        left_over.alias("rest"),
+        F.when(F.count("supply") >= net_min, F.sum("supply")).alias("net_total"),
+        F.when(
+            F.count("gross") + left_over.isNotNull().cast("int") >= gross_min,
+            F.coalesce(F.sum("gross"), F.lit(0.0)) + F.coalesce(left_over, F.lit(0.0)),
+        ).alias("gross_total"),
+    )
+    extra = F.array(
+        F.struct(F.lit(GROSS_PREFIX + residual_cabin).alias("target"), F.col("rest").alias("y")),
+        F.struct(F.lit(GROSS_TOTAL).alias("target"), F.col("gross_total").alias("y")),
+        F.struct(F.lit(NET_TOTAL).alias("target"), F.col("net_total").alias("y")),
+    )
+    return site.select("site_id", "ts", F.explode(F.concat("cabins", extra)).alias("t")).select(
+        "site_id", "t.target", "ts", "t.y"
     )
-    # PV of a cabin that has no net meter joins no balance.
-    metered = net.select("site_id", "cabin").distinct().unionByName(balance.select("site_id", "cabin").distinct()).distinct()
-    per_cabin = per_cabin.join(metered, ["site_id", "cabin"], "left_semi")
-
-    sums = totals(
-        per_cabin.select("site_id", "ts", F.lit("gross").alias("role"), F.col("y").alias("value")).unionByName(
-            supply.select("site_id", "ts", "role", "value")
-        ),
-        ["site_id", "ts"], gross_min=gross_min, net_min=net_min,
-    ).unpivot(["site_id", "ts"], [GROSS_TOTAL, NET_TOTAL], "target", "y")
-    cabins = per_cabin.select("site_id", "ts", F.concat(F.lit(GROSS_PREFIX), "cabin").alias("target"), "y")
-    return cabins.unionByName(sums).select("site_id", "target", "ts", "y")
 
 
 def wide_dataset(targets: DataFrame, names: Sequence[str], weather: DataFrame, holidays: DataFrame, tz: str) -> DataFrame:
-    """Targets side by side on the site's grid, with weather and calendar features."""
-    wide = to_grid(align(targets, ["site_id"], "target", names, value="y"), ["site_id"])
+    """Targets side by side on the site's grid, with weather and calendar features.
+
+    The aligned table is staged: the grid reads it twice, for its bounds and for its values.
+    """
+    wide = to_grid(stage(align(targets, ["site_id"], "target", names, value="y"), "aligned"), ["site_id"])
     return add_calendar(join_weather(wide, weather), holidays, tz)
 
 
@@ -124,7 +156,7 @@ def thermal_targets(
     label = F.create_map(*[F.lit(v) for kv in names.items() for v in kv])[F.col("variable_id")]
     used = readings.where(F.col("variable_id").isin(*names))
     clean = dedup_first(used.select("site_id", "variable_id", "ts", "value"), ["site_id", "variable_id", "ts"], ["value"])
-    means = bin_mean(clean.withColumn("target", label), ["site_id", "target"])
+    means = stage(bin_mean(clean.withColumn("target", label), ["site_id", "target"]), "thermal-bins")
     y = zero_in_months(clip("value", 0.0, cap), "ts", months, tz)
     return to_grid(means, ["site_id", "target"]).select("site_id", "target", "ts", y.alias("y"))
 
@@ -138,7 +170,10 @@ def training_panel(
     dataset: DataFrame, targets: Sequence[str], features: Sequence[str] = BASE_FEATURES, hours: Sequence[int] = DEFAULT_LAGS,
     nonzero: bool = False, ts: str = "ts",
 ) -> tuple[DataFrame, list[str]]:
-    """Valid rows (site, target, ts, y, features, lags) of every target, and the feature order."""
+    """Valid rows (site, target, ts, y, features, lags) of every target, and the feature order.
+
+    The jobs below stage the panel by target, so each fit reads only its own folder.
+    """
     long = dataset.unpivot(["site_id", ts, *features], list(targets), "target", "y").where(F.col("y").isNotNull())
     lagged = lag_time(long, ["site_id", "target"], "y", hours, ts)
     names = [*features, *[lag_name(h) for h in hours]]
@@ -166,7 +201,7 @@ def train_load_models(
 ) -> Trained:
     """Tune, test on the held-out period, refit, for every target of the panel."""
     spark = panel.sparkSession
-    split = panel.withColumn("split", split_label("ts", train_end, test_start))
+    split = stage(panel.withColumn("split", split_label("ts", train_end, test_start)), "panel", ["target"])
     names = target_names(panel)
 
     def one(target: str):
@@ -266,7 +301,7 @@ def retrain_load(
     panel, names = training_panel(current, targets, features, hours, nonzero)
     wanted = spark.createDataFrame([(t,) for t in targets], "target string")
     chosen = {r["target"]: as_params(r) for r in params_for(wanted, params).collect()}
-    recent = panel if days is None else trailing_window(panel, ["target"], days)
+    recent = stage(panel if days is None else trailing_window(panel, ["target"], days), "panel", ["target"])
 
     def one(target: str) -> PipelineModel:
         return fit_forest(recent.where(F.col("target") == target), names, chosen[target], seed, **forest)

@@ -86,7 +86,7 @@ def lear_backtest(t: Tables):
 TARGETS = ["purchase", "error"]
 FEATURES = ["temperature_2m", *CYCLIC_FEATURES, "campus_closed", "T_open"]
 LAGS = (48, 168)
-SIZE = {"max_depth": 8, "max_bins": 32}
+SIZE = {"max_depth": 5, "max_bins": 32}
 SMALL = ForestParams(10, "sqrt", 5)
 GRID_POINTS = [ForestParams(5, "sqrt", 5), ForestParams(10, "all", 10)]
 TRAIN_END = "2024-01-24 00:00:00"
@@ -108,7 +108,8 @@ def _make_dataset(t: Tables):
 
 
 def panel(t: Tables):
-    return training_panel(dataset(t), TARGETS, FEATURES, LAGS)
+    rows, names = training_panel(dataset(t), TARGETS, FEATURES, LAGS)
+    return t.stored("panel", lambda: rows), names
 
 
 def _split(rows):

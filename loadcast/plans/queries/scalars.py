@@ -64,7 +64,7 @@ def cyclic_encoding(t: Tables):
 )
 def campus_closed(t: Tables):
     marked = mark_holidays(_orders(t).withColumn("ts_local", to_local("ts", TZ)), t.holidays(1990, 2030))
-    return marked.select("o_orderkey", "ts", site_closed("ts_local", F.col("is_holiday")).alias("campus_closed"))
+    return marked.select("o_orderkey", "ts", site_closed("ts_local", "is_holiday").alias("campus_closed"))
 
 
 @query(
@@ -100,8 +100,8 @@ def market_day_stamps(t: Tables):
     f"""WITH {ORDERS} SELECT o_orderkey, {', '.join(f'CASE WHEN isodow(lt) = {i + 1} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS weekday_{i}' for i in range(7))} FROM o""",
 )
 def weekday_dummies_query(t: Tables):
-    local_ts = _orders(t).select("o_orderkey", weekday_dummies(to_local("ts", TZ)).alias("d"))
-    return local_ts.select("o_orderkey", *[F.get("d", F.lit(i)).alias(f"weekday_{i}") for i in range(7)])
+    flags = _orders(t).withColumn("ts_local", to_local("ts", TZ)).withColumn("d", weekday_dummies("ts_local"))
+    return flags.select("o_orderkey", *[F.get("d", F.lit(i)).alias(f"weekday_{i}") for i in range(7)])
 
 
 @query(

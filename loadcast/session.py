@@ -6,8 +6,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -45,6 +46,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
 
 
+def stage(df: DataFrame, label: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back.
+
+    For results that several later branches read: they are computed once, and a lost executor
+    costs a re-read, not the lineage.
+    """
+    path = scratch_path(df.sparkSession, label)
+    writer = df.write.partitionBy(*by) if by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers, once per application."""
     app = spark.sparkContext.applicationId

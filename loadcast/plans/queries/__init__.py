@@ -1,6 +1,6 @@
 """Registered queries, each with its SQL counterpart where SQL can express it."""
 
-from . import aggregates, jobs, joins, models, ordered, rows, scalars, sets, sources, streams  # noqa: F401
+from . import aggregates, flagship, jobs, joins, models, ordered, rows, scalars, sets, sources, streams  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.calendar import add_calendar
-from ..operators.lags import lag_time
-from .queries.base import TZ, GRID, Tables, closed, computus, deliver, local, query, rnd
+from ...functions.calendar import add_calendar
+from ...operators.lags import lag_time
+from .base import GRID, TZ, Tables, closed, computus, deliver, local, query, rnd
 
 SQL = f"""WITH {computus()}, {GRID}, x AS (SELECT g.variable_id, g.ts, g.value AS y, l.value AS lag_48h, {local('g.ts')} AS lt FROM g
       LEFT JOIN g l ON l.variable_id = g.variable_id AND l.ts = g.ts - INTERVAL 48 hour)

@@ -1,4 +1,4 @@
-"""Timestamp expressions. Event time is UTC; sessions run in UTC (see ``session.use_utc``)."""
+"""Timestamp expressions. Event time is UTC; sessions run in UTC (see ``session.configure``)."""
 
 from __future__ import annotations
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timecols import QUARTER_HOUR, DAY, shift
-from .ordered import GRID_CHUNK, row_position
+from ..functions.timecols import DAY, QUARTER_HOUR, epoch_s, shift
+from .ordered import GRID_CHUNK, chunk_of, row_position
 
 
 def split_label(ts: Column | str, train_end: Column, test_start: Column | None = None) -> Column:
@@ -34,8 +34,19 @@ def trailing_window(df: DataFrame, keys: Sequence[str], days: int, ts: str = "ts
 
 
 def last_rows(df: DataFrame, keys: Sequence[str], n: int, ts: str = "ts", span: int = GRID_CHUNK) -> DataFrame:
-    """The last N rows of each series."""
-    return row_position(df, keys, ts, span, "_pos", "_n").where(F.col("_n") - F.col("_pos") <= n).drop("_pos", "_n")
+    """The last N rows of each series.
+
+    Row counts per chunk tell which chunks the N rows reach; the others are dropped before
+    anything is sorted.
+    """
+    placed = df.withColumn("_chunk", chunk_of(epoch_s(ts), span))
+    later = Window.partitionBy(*keys).orderBy(F.desc("_chunk")).rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    reached = counts.select(*keys, "_chunk", F.coalesce(F.sum("_n").over(later), F.lit(0)).alias("_later")).where(F.col("_later") < n)
+    from_end = F.row_number().over(Window.partitionBy(*keys, "_chunk").orderBy(F.desc(ts))) + F.col("_later")
+    return (
+        placed.join(reached, [*keys, "_chunk"]).withColumn("_from_end", from_end).where(F.col("_from_end") <= n).select(*df.columns)
+    )
 
 
 def fold_contiguous(df: DataFrame, keys: Sequence[str], k: int, ts: str = "ts", fold: str = "fold") -> DataFrame:

@@ -76,8 +76,8 @@ def electric_targets(
 ) -> DataFrame:
     """Long targets (site, target, ts, y): gross consumption per cabin and the two totals.
 
-    The raw readings are reduced to 15-minute bins and staged; the balance then needs one
-    shuffle on (site, ts), whose groups hold one row per cabin.
+    The raw readings are reduced to 15-minute bins and staged; the balance then runs on groups
+    of (site, ts), which hold one row per cabin and supply meter.
     """
     bins = stage(meter_bins(readings, meter_map), "meter-bins")
     placed = bins.join(meter_map, ["site_id", "variable_id"]).where(
@@ -105,7 +105,7 @@ def electric_targets(
         F.max(role == "net").alias("has_net"), F.max(role.isin(*PV_ROLES)).alias("has_pv")
     )
     per_cabin = (
-        every.repartition("site_id", "ts").groupBy(*cabin)
+        every.groupBy(*cabin)
         .agg(of("net").alias("net"), of("pv").alias("pv"), of("supply").alias("supply"))
         .join(cabins, ["site_id", "cabin"], "left")
         .withColumn("gross", F.when(F.col("has_net"), gross(F.col("net"), F.col("pv"), F.col("has_pv"))))

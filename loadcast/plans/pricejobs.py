@@ -4,27 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import HOUR, market_stamp, to_local
 from ..operators.clean import dedup_last
 from ..operators.history import available_dates, missing_dates, upsert, zone_prices
 from ..operators.lasso import anchors_of, fit_hourly, predict_hourly
-from ..operators.pricing import DEFAULT_WINDOW_DAYS, price_design
+from ..operators.pricing import DEFAULT_WINDOW_DAYS, WARMUP_DAYS, price_design
+from ..session import stage
 from ..sources.prices import extract_zone_prices
 
 
 def market_days(docs: DataFrame, zones: Sequence[str], tz: str, step_s: int = HOUR, day: str = "day") -> DataFrame:
     """Landed documents, one per market day, to price rows (zone, ts, ts_local, price)."""
-    records = extract_zone_prices(docs, [day], "doc")
+    # Staged: the check of the zones and the rows themselves both read the records.
+    records = stage(extract_zone_prices(docs, [day], "doc"), "market-records")
     picked = zone_prices(records, zones)
-    # Position within the zone: records of one day only, a hundred per zone at most.
-    nth = F.array_position(F.col("_order"), F.col("position")) - 1
-    order = picked.groupBy(day, "zone").agg(F.sort_array(F.collect_list("position")).alias("_order"))
-    stamped = picked.join(order, [day, "zone"]).select(
-        "zone", market_stamp(day, nth, step_s, tz).alias("ts"), "price"
-    )
+    # The n-th price of a zone within one document: a day's records at most.
+    nth = F.row_number().over(Window.partitionBy(day, "zone").orderBy("position")) - 1
+    stamped = picked.withColumn("_n", nth).select("zone", market_stamp(day, "_n", step_s, tz).alias("ts"), "price")
     return stamped.select("zone", "ts", to_local("ts", tz).alias("ts_local"), "price")
 
 
@@ -45,7 +44,12 @@ def forecast_prices(
     dates) is a separate task. ``phases``: UTC second at which local midnight falls; both clock
     settings of ``tz`` by default.
     """
-    design, anchors = design_and_anchors(prices, dates, tz, exog, weekday_tz, phases)
+    # The earliest requested date bounds the history that any window can reach: a literal, so the
+    # scan prunes. ``dates`` is the request, one row per forecast.
+    first = dates.agg(F.min("forecast_date")).first()[0]
+    reach = F.date_sub(F.lit(first), window_days + WARMUP_DAYS + 1).cast("timestamp")
+    recent = prices.where(F.col("ts") >= reach)
+    design, anchors = design_and_anchors(recent, dates, tz, exog, weekday_tz, phases)
     models = fit_hourly(design, anchors, window_days, rule, days_per_group)
     return predict_hourly(design, models).withColumn("ts_local", to_local("ts", tz))
 

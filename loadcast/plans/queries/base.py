@@ -13,7 +13,7 @@ from ...functions.holidays import holiday_dimension
 from ...functions.timecols import DAY, HOUR, QUARTER_HOUR
 from ...operators.grid import bin_mean, resample_mean
 from ...operators.interpolate import fill_linear
-from ...session import scratch_path, use_utc
+from ...session import scratch_path, configure
 
 TZ = "Europe/Rome"
 PRECISION = 8
@@ -27,7 +27,7 @@ class Tables:
     """The given tables of one directory as readings, prices, weather and dimensions."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.dir = use_utc(spark), sf_dir
+        self.spark, self.dir = configure(spark), sf_dir
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")

@@ -16,11 +16,16 @@ _shipped: set[str] = set()
 EVENT_TIME_ZONE = "UTC"
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session to UTC and to adaptive execution with skew handling."""
+def configure(spark: SparkSession) -> SparkSession:
+    """Settings the operators rely on; call once per session.
+
+    ``requireAllClusterKeysForDistribution``: rows that already sit together by series would
+    otherwise satisfy a window by (series, chunk), and a hot series would stay in one task.
+    """
     spark.conf.set("spark.sql.session.timeZone", EVENT_TIME_ZONE)
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.requireAllClusterKeysForDistribution", "true")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     return spark
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalars import to_num
@@ -28,55 +28,44 @@ def coerce_prices(raw: DataFrame) -> DataFrame:
     ).where(F.col("ts").isNotNull() & F.col("price").isNotNull())
 
 
-def _first_char(node: Column) -> Column:
-    return F.substring(F.ltrim(node), 1, 1)
-
-
-def _has_fields(node: Column) -> Column:
-    fields = F.from_json(node, f"{ZONE_FIELD} string, {PRICE_FIELD} string")
-    names = F.coalesce(F.json_object_keys(node), F.array())
-    return fields.isNotNull() & F.array_contains(names, ZONE_FIELD) & F.array_contains(names, PRICE_FIELD)
+# One level of the walk, as SQL over ``{src}``. A node that is an object with both fields is a hit
+# and stays; any other node gives way to those of its children that can hold records, in
+# document order. ``first_of`` keeps the list whose first element the node is. A document with
+# nothing left to open leaves one empty row, so that it is reported.
+_OPEN = "(left({0}, 1) = '[' OR left({0}, 1) = chr(123))"
+_MARK = f"""SELECT {{by}}, node, path, first_of, arr, obj,
+    hit OR coalesce(map_contains_key(obj, '{ZONE_FIELD}') AND map_contains_key(obj, '{PRICE_FIELD}'), false) AS hit
+  FROM (SELECT *, CASE WHEN NOT hit AND left(node, 1) = '[' THEN from_json(node, 'array<string>') END AS arr,
+    CASE WHEN NOT hit AND left(node, 1) = chr(123) THEN from_json(node, 'map<string,string>') END AS obj FROM ({{src}}))"""
+_DESCEND = f"""SELECT {{by}}, hit, s.node, s.path, s.first_of FROM (SELECT {{by}}, hit, explode(
+    CASE WHEN size(below) > 0 THEN below ELSE array(named_struct('node', CAST(NULL AS STRING), 'path', path, 'first_of', CAST(NULL AS STRING))) END) AS s
+  FROM (SELECT {{by}}, hit, path, CASE WHEN hit THEN array(named_struct('node', node, 'path', path, 'first_of', first_of))
+    ELSE filter(transform(coalesce(arr, map_values(obj), array()), (c, i) -> named_struct('node', ltrim(c), 'path', concat(path, array(i)),
+      'first_of', CASE WHEN i = 0 AND arr IS NOT NULL THEN node END)), c -> {_OPEN.format("c.node")}) END AS below FROM ({_MARK})))"""
 
 
 def extract_zone_prices(docs: DataFrame, keys: Sequence[str] = ("doc_id",), doc: str = "doc", max_depth: int = 8) -> DataFrame:
     """Price records at any depth of JSON documents, in document order.
 
-    Walks each document level by level with built-in JSON expressions. A list whose first
-    element has both fields, or an object that has both, is a match and is not opened further;
-    the match that comes first depth-first wins. Documents nested deeper than ``max_depth``
-    before any match, and documents without a match, raise when they are read.
+    Walks each document level by level with built-in JSON expressions. The match that comes
+    first depth-first wins: a list whose first element has both fields gives all its elements,
+    an object with both fields gives itself. Documents without a match down to ``max_depth``
+    levels raise when they are read.
     """
-    node, path = F.col("_node"), F.col("_path")
-    walk = docs.select(*keys, F.col(doc).alias("_node"), F.array().cast("array<int>").alias("_path"))
-    for depth in range(max_depth + 1):
-        is_list, is_object = _first_char(node) == "[", _first_char(node) == "{"
-        items = F.when(is_list, F.from_json(node, "array<string>"))
-        hit = (is_list & (_first_char(F.get(items, F.lit(0))) == "{") & _has_fields(F.get(items, F.lit(0)))) | (
-            is_object & _has_fields(node)
-        )
-        seen = walk.withColumn("_hit", F.coalesce(F.col("_hit") if depth else F.lit(False), F.lit(False)) | F.coalesce(hit, F.lit(False)))
-        if depth == max_depth:
-            walk = seen
-            break
-        children = F.when(is_list, items).when(is_object, F.map_values(F.from_json(node, "map<string,string>")))
-        below = F.transform(
-            F.coalesce(children, F.array().cast("array<string>")),
-            lambda c, i: F.struct(c.alias("n"), F.concat(path, F.array(i)).alias("p")),
-        )
-        here = F.array(F.struct(node.alias("n"), path.alias("p")))
-        # A document with nothing left to open keeps its node, so that it is reported below.
-        step = F.when(F.col("_hit") | (F.size(below) == 0), here).otherwise(below)
-        walk = seen.select(*keys, "_hit", F.explode(step).alias("_s")).select(
-            *keys, "_hit", F.col("_s.n").alias("_node"), F.col("_s.p").alias("_path")
-        )
-    first = walk.groupBy(*keys).agg(F.min_by("_node", F.when(F.col("_hit"), F.col("_path"))).alias("_node"))
-    checked = first.withColumn(
-        "_node",
-        F.when(node.isNotNull(), node).otherwise(F.raise_error(F.lit("document without Zone/Price records")).cast("string")),
-    )
-    records = F.when(_first_char(node) == "[", F.from_json(node, f"array<struct<{ZONE_FIELD}:string,{PRICE_FIELD}:string>>")).otherwise(
-        F.array(F.from_json(node, f"struct<{ZONE_FIELD}:string,{PRICE_FIELD}:string>"))
+    by = ", ".join(f"`{k}`" for k in keys)
+    walk = (
+        f"SELECT {by}, ltrim(`{doc}`) AS node, CAST(array() AS ARRAY<INT>) AS path, CAST(NULL AS STRING) AS first_of, "
+        "false AS hit FROM {docs}"
     )
-    return checked.select(*keys, F.posexplode(records).alias("position", "_r")).select(
-        *keys, "position", F.col(f"_r.{ZONE_FIELD}").alias("zone"), to_num(f"_r.{PRICE_FIELD}").alias("price")
+    for _ in range(max_depth):
+        walk = _DESCEND.format(by=by, src=walk)
+    record = f"struct<{ZONE_FIELD}:string,{PRICE_FIELD}:string>"
+    found = docs.sparkSession.sql(
+        f"""SELECT {by}, posexplode(CASE WHEN m IS NULL THEN raise_error('document without {ZONE_FIELD}/{PRICE_FIELD} records')
+          WHEN m.first_of IS NOT NULL THEN from_json(m.first_of, 'array<{record}>')
+          ELSE array(from_json(m.node, '{record}')) END) AS (position, r)
+        FROM (SELECT {by}, min_by(named_struct('node', node, 'first_of', first_of), CASE WHEN hit THEN path END) AS m
+          FROM ({_MARK.format(by=by, src=walk)}) GROUP BY {by})""",
+        docs=docs,
     )
+    return found.select(*keys, "position", F.col(f"r.{ZONE_FIELD}").alias("zone"), to_num(f"r.{PRICE_FIELD}").alias("price"))

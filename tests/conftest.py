@@ -17,9 +17,9 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
-    from loadcast.session import use_utc
+    from loadcast.session import configure
 
-    yield use_utc(session)
+    yield configure(session)
     session.stop()
 
 

@@ -95,14 +95,13 @@ def next_window(
     )
 
 
-def zone_prices(prices: DataFrame, zones: Sequence[str], zone: str = "zone") -> DataFrame:
-    """Rows of the chosen zones; raises when one of them has none."""
-    picked = prices.where(F.col(zone).isin(*zones))
-    present = {r[0] for r in picked.groupBy(zone).count().select(zone).collect()}
-    absent = [z for z in zones if z not in present]
-    if absent:
-        raise ValueError(f"no prices for zones {absent}")
-    return picked
+def zone_prices(prices: DataFrame, zones: Sequence[str], zone: str = "zone", per: Sequence[str] = ()) -> DataFrame:
+    """Rows of the chosen zones; raises when one of them has none (in any group of ``per``)."""
+    counts = prices.groupBy(*per).agg(*[F.count_if(F.col(zone) == z).alias(z) for z in zones])
+    lacking = counts.where(F.least(F.lit(1), *[F.col(f"`{z}`") for z in zones]) == 0).limit(5).collect()
+    if lacking:
+        raise ValueError(f"zones without prices: {[{k: v for k, v in r.asDict().items() if k in per or v == 0} for r in lacking]}")
+    return prices.where(F.col(zone).isin(*zones))
 
 
 def params_for(targets: DataFrame, params: DataFrame) -> DataFrame:

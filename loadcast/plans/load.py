@@ -276,10 +276,12 @@ def forecast_load(
         named = sites.withColumn("target", F.explode(F.array(*[F.lit(t) for t in sorted(models)])))
         out = day_horizon(named, ["site_id", "target"], d, tz).withColumn("yhat", F.lit(0.0))
         return out.withColumn("ts_local", to_local("ts", tz))
-    matrix = scoring_matrix(history, feature_horizon(weather, holidays, d, tz), d, tz, **options)
-    have = set(target_names(history.where(F.col("target").isin(*models))))
+    # Staged by target: one model reads one folder, and the history is repaired once.
+    wanted = history.where(F.col("target").isin(*models))
+    matrix = stage(scoring_matrix(wanted, feature_horizon(weather, holidays, d, tz), d, tz, **options), "scoring", ["target"])
+    have = target_names(matrix)
     rows = {}
-    for t in sorted(have):
+    for t in have:
         needed = feature_order(models[t])
         lacking = [n for n in needed if n not in matrix.columns]
         if lacking:

@@ -20,7 +20,7 @@ def market_days(docs: DataFrame, zones: Sequence[str], tz: str, step_s: int = HO
     """Landed documents, one per market day, to price rows (zone, ts, ts_local, price)."""
     # Staged: the check of the zones and the rows themselves both read the records.
     records = stage(extract_zone_prices(docs, [day], "doc"), "market-records")
-    picked = zone_prices(records, zones)
+    picked = zone_prices(records, zones, per=[day])
     # The n-th price of a zone within one document: a day's records at most.
     nth = F.row_number().over(Window.partitionBy(day, "zone").orderBy("position")) - 1
     stamped = picked.withColumn("_n", nth).select("zone", market_stamp(day, "_n", step_s, tz).alias("ts"), "price")
@@ -28,9 +28,15 @@ def market_days(docs: DataFrame, zones: Sequence[str], tz: str, step_s: int = HO
 
 
 def update_prices(prices: DataFrame, docs: DataFrame, zones: Sequence[str], target: Column, tz: str, step_s: int = HOUR) -> DataFrame:
-    """History plus the landed documents of the missing days; the last row per (zone, ts) stays."""
+    """History plus the landed documents of the missing days; the last row per (zone, ts) stays.
+
+    A history that is current, or whose missing days have not landed yet, comes back as it is.
+    """
     due = missing_dates(available_dates(prices, tz), zones, target)
-    new = market_days(docs.join(due, "day", "left_semi"), zones, tz, step_s)
+    landed = docs.join(due, "day", "left_semi")
+    if landed.isEmpty():
+        return prices
+    new = market_days(landed, zones, tz, step_s)
     return upsert(prices, new.select(*[c for c in new.columns if c in prices.columns]), ["zone", "ts"])
 
 

@@ -122,7 +122,7 @@ LAST_DAY = 19752  # 2024-01-30 in days since 1970
 
 def window_design(t: Tables):
     """Design of the calibration window that ends before 30 January, complete days only."""
-    design = price_design(t.prices, "zone", [0])
+    design = price_design(t.price_history, "zone", [0])
     return training_days(design.where(known("x") & known("y")), F.lit(LAST_DAY), DAYS_IN_WINDOW)
 
 

@@ -73,7 +73,11 @@ class Tables:
 
     @cached_property
     def weather_blocks(self) -> DataFrame:
-        """One block per day: four parallel arrays of 96 quarter-hour means."""
+        """Landed weather blocks, one per day."""
+        return self.stored("weather-blocks", self._make_weather_blocks)
+
+    def _make_weather_blocks(self) -> DataFrame:
+        """Four parallel arrays of 96 quarter-hour means per day."""
         slot = F.floor(F.pmod(F.unix_seconds("ts"), F.lit(DAY)) / QUARTER_HOUR).cast("int")
         kinds = ["view", "click", "purchase", "signup"]
         names = ["temperature_2m", "relative_humidity_2m", "dew_point_2m", "direct_normal_irradiance"]

@@ -28,7 +28,7 @@ DESIGN = f"""{PRICES}, d AS (SELECT DISTINCT zone, date_trunc('day', ts) AS d0 F
 
 @query("price_design_matrix", f"WITH {DESIGN} SELECT zone, day, feature, {rnd('value')} AS value FROM xs")
 def price_design_matrix(t: Tables):
-    design = price_design(t.prices, "zone", [0])
+    design = price_design(t.price_history, "zone", [0])
     return design.select("zone", "day", F.posexplode("x").alias("feature", "value"))
 
 

@@ -68,7 +68,7 @@ def price_scan_coerce(t: Tables):
     """Written as text files with unreadable stamps at 5 h and unreadable prices of one zone at 7 h."""
     path = scratch_path(t.spark, "price-csv")
     hour = F.hour("ts")
-    text = t.prices.select(
+    text = t.price_history.select(
         "zone",
         F.date_format(F.from_utc_timestamp("ts", TZ), "yyyy-MM-dd HH:mm:ss").alias("italian datetime"),
         F.when(hour == 5, "not a time").otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ssXXX")).alias("datetime"),
@@ -81,7 +81,7 @@ def price_scan_coerce(t: Tables):
 def landed_documents(t: Tables):
     """One JSON document per UTC day with the hourly prices of every zone, some levels down."""
     record = F.struct(F.hour("ts").alias("Hour"), F.col("zone").alias("Zone"), F.col("price").alias("Price"))
-    return t.prices.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
+    return t.price_history.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
         F.to_json(
             F.struct(
                 F.lit("ok").alias("status"),
@@ -105,7 +105,7 @@ def landed_documents(t: Tables):
       zone, {rnd('price')} AS price FROM p""",
 )
 def json_zone_price_extract(t: Tables):
-    return extract_zone_prices(landed_documents(t), ["day"], "doc")
+    return extract_zone_prices(t.stored("landed-documents", lambda: landed_documents(t)), ["day"], "doc")
 
 
 @query("panel_roundtrip", f"WITH {GRID} SELECT 'S1' AS site_id, variable_id, ts, {rnd('value')} AS value, strftime(ts, '%Y-%m') AS month FROM g")

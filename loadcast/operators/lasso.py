@@ -132,15 +132,19 @@ def robust_scales(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mid, np.where(q3 - q1 == 0, 1.0, q3 - q1)
 
 
-def fit_day(x: np.ndarray, y: np.ndarray, rule: str) -> list[tuple]:
-    """(rule, penalty, n_nonzero, intercept, coef) per output hour, in raw units."""
+def fit_day(x: np.ndarray, y: np.ndarray, rule: str, window_days: int = DEFAULT_WINDOW_DAYS) -> list[tuple]:
+    """(rule, penalty, n_nonzero, intercept, coef) per output hour, in raw units.
+
+    ``auto`` cross-validates while the window holds too few days. Its days are counted with the
+    warm-up week and the forecast day, up to the window's length.
+    """
     center, scale = np.zeros(x.shape[1]), np.ones(x.shape[1])
     center[:-N_DUMMIES], scale[:-N_DUMMIES] = robust_scales(x[:, :-N_DUMMIES])
     y_center, y_scale = robust_scales(y)
     xs, ys = (x - center) / scale, (y - y_center) / y_scale
     if rule == "auto":
-        # The window is counted with its warm-up week.
-        rule = "cv7" if len(x) + WARMUP_DAYS - UNCOUNTED_DAYS < x.shape[1] else "aic"
+        counted = min(len(x) + WARMUP_DAYS + 1, window_days) - UNCOUNTED_DAYS
+        rule = "cv7" if counted < x.shape[1] or len(x) <= x.shape[1] + 1 else "aic"
     xm = xs.mean(0)
     out = []
     for h in range(y.shape[1]):
@@ -194,7 +198,7 @@ def fit_hourly(
                 use = (day < anchor) & (day >= anchor - span)
                 if use.sum() < 2:
                     continue
-                for hour, model in enumerate(fit_day(x[use], y[use], rule)):
+                for hour, model in enumerate(fit_day(x[use], y[use], rule, window_days)):
                     out.append((zone, phase, anchor, hour, int(use.sum()), *model))
         names = [f.split()[0] for f in MODEL_SCHEMA.split(", ")]
         return pd.DataFrame(out, columns=names)

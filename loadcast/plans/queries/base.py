@@ -13,7 +13,7 @@ from ...functions.holidays import holiday_dimension
 from ...functions.timecols import DAY, HOUR, QUARTER_HOUR
 from ...operators.grid import bin_mean, resample_mean
 from ...operators.interpolate import fill_linear
-from ...session import scratch_path, configure
+from ...session import configure, scratch_path
 
 TZ = "Europe/Rome"
 PRECISION = 8
@@ -98,14 +98,18 @@ class Tables:
             F.lit(QUARTER_HOUR).alias("step_s"), *arrays,
         )
 
-    def stored(self, label: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """A derived table written once per session and read back, as a job reads its history."""
+    def once(self, label: str, write: Callable[[str], None]) -> str:
+        """Path of something written once per session."""
         key = (self.spark.sparkContext.applicationId, self.dir, label)
         if key not in _STORED:
             path = scratch_path(self.spark, label)
-            make().write.parquet(path)
+            write(path)
             _STORED[key] = path
-        return self.spark.read.parquet(_STORED[key])
+        return _STORED[key]
+
+    def stored(self, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table written once per session and read back, as a job reads its history."""
+        return self.spark.read.parquet(self.once(label, lambda path: make().write.parquet(path)))
 
     @cached_property
     def price_history(self) -> DataFrame:

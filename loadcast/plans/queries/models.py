@@ -10,7 +10,6 @@ from ...operators.interpolate import fill_time
 from ...operators.lasso import fit_hourly, penalty_summary, predict_hourly
 from ...operators.pricing import price_design, robust_scale
 from ...operators.splits import regression_metrics, split_label
-from ...session import scratch_path
 from ...sources.models import load_models, save_models
 from ...sources.weather import explode_regular_block
 from ..load import forecast_load, retrain_load, target_names, train_load_models, training_panel, wide_dataset
@@ -160,11 +159,14 @@ def rf_refit(t: Tables):
 
 
 def _models(t: Tables):
+    """Forests of every target, saved once per session and loaded from their folders."""
+    return load_models(t.spark, t.once("forests", lambda path: _save_forests(t, path)))
+
+
+def _save_forests(t: Tables, path: str) -> None:
     rows, names = panel(t)
     fitted = {x: refit(rows.where(F.col("target") == x), names, SMALL, **SIZE) for x in target_names(rows)}
-    path = scratch_path(t.spark, "forests")
     save_models(t.spark, fitted, path)
-    return load_models(t.spark, path)
 
 
 @query("rf_retrain")

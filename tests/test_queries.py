@@ -9,7 +9,7 @@ from conftest import ROOT
 sys.path.insert(0, ROOT)
 import __spark_entry__ as contract  # noqa: E402
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+from loadcast.plans.queries import ORACLES, QUERIES  # noqa: E402
 
 # Keys without SQL counterpart, all of them fitted models; see test_models.py.
 MODEL_KEYS = {
@@ -36,5 +36,9 @@ def test_matches_sql(spark, sf_dir, con, name):
     assert same(got, want) is None
 
 
+def test_entry_points_register_every_query():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     assert contract.entry(spark).limit(1).count() == 1

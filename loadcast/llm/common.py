@@ -39,9 +39,13 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def in_order(df: DataFrame, order: Sequence[Column], parts: int) -> DataFrame:
-    """Range-partitioned and sorted, with ``_part`` and ``_at``: task number and row within it, both in order."""
-    spread = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+def in_order(df: DataFrame, order: Sequence[Column], parts: int, ranges: Sequence[Column] | None = None) -> DataFrame:
+    """Range-partitioned and sorted, with ``_part`` and ``_at``: task number and row within it, both in order.
+
+    ``ranges``: a shorter key of the same order to cut ranges by, where ``order`` holds whole texts; the driver sees a
+    sample of it.
+    """
+    spread = df.repartitionByRange(parts, *(ranges or order)).sortWithinPartitions(*order)
     number = spread.withColumn("_id", F.monotonically_increasing_id())
     return number.select(
         *df.columns, F.shiftright("_id", _AT_BITS).alias("_part"),

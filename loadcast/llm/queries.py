@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import boilerplate, mixing, packing, sketch, tokenstore, urlrules
+from . import boilerplate, hyperminhash, mixing, packing, sketch, tokenstore, toxicity, urlrules, vectors, warcindex
 from .common import read
 from .tokens import tokenizer_path
 
@@ -93,3 +93,35 @@ def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-store")
     tokenstore.write_tokens(read(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"))
     return tokenstore.checksums(tokenstore.with_starts(tokenstore.read_tokens(spark, path)))
+
+
+@query("op7_embedding_near_dedup")
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    return vectors.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@query("op8_minhash_near_dedup")
+def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return hyperminhash.near_documents(read(spark, sf_dir, "documents"), percent=85).drop("content")
+
+
+@query(
+    "op9_warc",
+    f"""WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
+    m AS (SELECT payload_digest, max(page_id) AS last FROM p WHERE payload_bytes >= {warcindex.LEAST_REVISIT} GROUP BY payload_digest)
+    SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id < last THEN 'revisit' ELSE 'response' END AS record_type,
+      CASE WHEN page_id < last THEN last END AS refers_to FROM p LEFT JOIN m USING (payload_digest)""",
+)
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back by the merged index."""
+    runs = warcindex.write_archives(read(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    found = warcindex.read_archives(warcindex.merge_index(runs))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))

@@ -49,10 +49,11 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     """
     python_ready(docs.sparkSession)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    rows = in_order(given, [F.col("doc_id"), F.col("text")], parts_of(docs.sparkSession)).drop("_at")
+    ranges = [F.col("doc_id"), F.substring("text", 1, 40)]
+    rows = in_order(given, [F.col("doc_id"), F.col("text")], parts_of(docs.sparkSession), ranges).drop("_at")
     writer = rows.mapInArrow(_encode(tokenizer, end_id), SCHEMA).write
     options = {
-        "compression": "zlib", "orc.stripe.size": STRIPE_BYTES, "orc.create.index": "true", "orc.row.index.stride": GROUP_ROWS,
+        "compression": "zstd", "orc.stripe.size": STRIPE_BYTES, "orc.create.index": "true", "orc.row.index.stride": GROUP_ROWS,
         "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": FALSE_HITS,
     }
     writer.options(**options).orc(path)

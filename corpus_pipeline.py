@@ -21,9 +21,10 @@ def clean_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines that are frequent on their source; ``n_chars`` is that of the new text."""
-    out = boilerplate.drop_boilerplate(docs)
+    counts = "_".join(["lines", *docs.columns])  # longer than any column's name
+    out = boilerplate.drop_boilerplate(docs, counts=counts)
     if "n_chars" in docs.columns:
-        changed = F.col("lines.dropped") > 0
+        changed = F.col(f"`{counts}`.dropped") > 0
         out = out.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 

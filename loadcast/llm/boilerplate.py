@@ -39,8 +39,10 @@ def site_lines(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_
     return joined.where(F.col("pages") > ratio * F.col("site_pages"))
 
 
-def drop_boilerplate(docs: DataFrame, site: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
-    """``docs`` with boilerplate lines gone from ``text``, plus the column struct ``lines`` (total, dropped).
+def drop_boilerplate(
+    docs: DataFrame, site: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES, counts: str = "lines"
+) -> DataFrame:
+    """``docs`` with boilerplate lines gone from ``text``, plus a struct (total, dropped) of lines, named by ``counts``.
 
     All rows stay, a page of nothing but boilerplate with an empty text; kept lines keep their order, blank lines stay.
     A null text stays null and counts as a page without lines; null is a site of its own. Repeated rows count as pages
@@ -68,4 +70,4 @@ def drop_boilerplate(docs: DataFrame, site: str = "source", ratio: float = RATIO
     kept = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(F.flatten(runs), "\n"))
     count = lambda c: F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.size(c)).cast("long")
     columns = [kept.alias("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns]
-    return joined.select(*columns, F.struct(count("lines").alias("total"), count("gone").alias("dropped")).alias("lines"))
+    return joined.select(*columns, F.struct(count("lines").alias("total"), count("gone").alias("dropped")).alias(counts))

@@ -7,25 +7,37 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-def _one_per_key(df: DataFrame, keys: Sequence[str], pick, order: Sequence[str]) -> DataFrame:
-    rank = F.struct(*order) if len(order) > 1 else F.col(order[0])
+def _rank(df: DataFrame, order: Sequence[str], unknown: float) -> Column:
+    """What rows of a key are ordered by; never NULL, since min_by and max_by pass over rows with a NULL rank.
+
+    A single number gets ``unknown`` for NULL and stays in hash aggregation; anything else is a struct.
+    """
+    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, (T.DoubleType, T.FloatType)):
+        return F.coalesce(F.col(order[0]).cast("double"), F.lit(unknown))
+    flags = [F.col(c).isNull() if unknown > 0 else F.col(c).isNotNull() for c in order]
+    return F.struct(*[x for pair in zip(flags, order) for x in pair])
+
+
+def _one_per_key(df: DataFrame, keys: Sequence[str], pick, order: Sequence[str], unknown: float) -> DataFrame:
+    rank = _rank(df, order, unknown)
     rest = [c for c in df.columns if c not in keys]
     return df.groupBy(*keys).agg(*[pick(F.col(c), rank).alias(c) for c in rest]).select(*df.columns)
 
 
 def dedup_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the first row per key. ``order`` makes the choice unique.
+    """Keep the first row per key. ``order`` makes the choice unique; unknown order values come last.
 
     An aggregate, not a row number: copies of one key collapse before the shuffle.
     """
-    return _one_per_key(df, keys, F.min_by, order)
+    return _one_per_key(df, keys, F.min_by, order, float("inf"))
 
 
 def dedup_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Keep the last row per key (the upsert rule)."""
-    return _one_per_key(df, keys, F.max_by, order)
+    """Keep the last row per key (the upsert rule); unknown order values come first."""
+    return _one_per_key(df, keys, F.max_by, order, float("-inf"))
 
 
 def dedup_mean(df: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:

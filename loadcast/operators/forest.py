@@ -39,8 +39,8 @@ class ForestParams:
     min_leaf: int = 2
 
 
-# Trees of the fitted library stop at these: deeper and finer than its defaults, within its limits.
-MAX_DEPTH = 15
+# The deepest trees the fitted library allows; bins of a feature, finer than its default.
+MAX_DEPTH = 30
 MAX_BINS = 128
 
 
@@ -64,6 +64,11 @@ def fit_forest(
     return Pipeline(stages=steps).fit(train)
 
 
+def trees_at_limit(model: PipelineModel, max_depth: int = MAX_DEPTH) -> int:
+    """Trees that stopped growing at ``max_depth`` rather than by the size of their leaves."""
+    return sum(tree.depth >= max_depth for tree in model.stages[-1].trees)
+
+
 def feature_order(model: PipelineModel) -> list[str]:
     return list(model.stages[0].getInputCols())
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timecols import DAY, QUARTER_HOUR, epoch_s, floor_to
+from ..session import stage
 from .ordered import series_bounds
 
 
@@ -39,8 +40,11 @@ def to_grid(df: DataFrame, keys: Sequence[str], ts: str = "ts", step: int = QUAR
 
 
 def resample_mean(df: DataFrame, keys: Sequence[str], ts: str = "ts", value: str = "value", step: int = QUARTER_HOUR) -> DataFrame:
-    """Left-closed, left-labelled bin means; empty bins inside a series' range exist as NULL."""
-    return to_grid(bin_mean(df, keys, ts, value, step), keys, ts, step)
+    """Left-closed, left-labelled bin means; empty bins inside a series' range exist as NULL.
+
+    The readings are reduced to bins once; the grid reads the kept bins for its bounds and for its values.
+    """
+    return to_grid(stage(bin_mean(df, keys, ts, value, step), "bins"), keys, ts, step)
 
 
 def between_ts(df: DataFrame, start: Column, end: Column, ts: str = "ts") -> DataFrame:

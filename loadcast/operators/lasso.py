@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 from ..functions.scalars import clip
 from ..functions.timecols import HOUR, shift
 from ..session import ship_package
-from .pricing import DEFAULT_WINDOW_DAYS, HOURS, N_DUMMIES, UNCOUNTED_DAYS, WARMUP_DAYS, block_start, known
+from .pricing import (
+    DEFAULT_WINDOW_DAYS, HOURS, N_DUMMIES, WARMUP_DAYS, block_start, calibration_days, is_small, known, n_features,
+)
 
 # Penalty grid and folds of the cross-validated choice.
 CV_FOLDS = 7
@@ -83,6 +85,8 @@ def l1_path(x: np.ndarray, y: np.ndarray, floor: float = 1e-8) -> tuple[np.ndarr
         corr = x.T @ (y - x @ beta) / n
         knots.append(level)
         coefs.append(beta.copy())
+    else:
+        raise ValueError(f"the solution path of {n} rows and {p} columns has not ended after {8 * (n + p)} steps")
     return np.array(knots), np.array(coefs)
 
 
@@ -113,12 +117,14 @@ def penalty_by_aic(x: np.ndarray, y: np.ndarray, knots: np.ndarray, coefs: np.nd
 def penalty_by_cv(x: np.ndarray, y: np.ndarray) -> float:
     """Penalty with the lowest mean squared error over contiguous folds."""
     n = len(y)
+    if n < CV_FOLDS:
+        raise ValueError(f"the cross-validated rule needs {CV_FOLDS} days, got {n}")
     top = float(np.abs((x - x.mean(0)).T @ (y - y.mean())).max()) / n
     if top == 0:
         return 0.0
     grid = np.geomspace(top, top * CV_RATIO, CV_PENALTIES)
     errors = np.zeros(CV_PENALTIES)
-    for test in np.array_split(np.arange(n), min(CV_FOLDS, n)):
+    for test in np.array_split(np.arange(n), CV_FOLDS):
         train = np.setdiff1d(np.arange(n), test)
         xm, ym = x[train].mean(0), y[train].mean()
         knots, coefs = l1_path(x[train] - xm, y[train] - ym)
@@ -132,19 +138,12 @@ def robust_scales(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return mid, np.where(q3 - q1 == 0, 1.0, q3 - q1)
 
 
-def fit_day(x: np.ndarray, y: np.ndarray, rule: str, window_days: int = DEFAULT_WINDOW_DAYS) -> list[tuple]:
-    """(rule, penalty, n_nonzero, intercept, coef) per output hour, in raw units.
-
-    ``auto`` cross-validates while the window holds too few days. Its days are counted with the
-    warm-up week and the forecast day, up to the window's length.
-    """
+def fit_day(x: np.ndarray, y: np.ndarray, rule: str) -> list[tuple]:
+    """(rule, penalty, n_nonzero, intercept, coef) per output hour, in raw units; ``rule`` is ``aic`` or ``cv7``."""
     center, scale = np.zeros(x.shape[1]), np.ones(x.shape[1])
     center[:-N_DUMMIES], scale[:-N_DUMMIES] = robust_scales(x[:, :-N_DUMMIES])
     y_center, y_scale = robust_scales(y)
     xs, ys = (x - center) / scale, (y - y_center) / y_scale
-    if rule == "auto":
-        counted = min(len(x) + WARMUP_DAYS + 1, window_days) - UNCOUNTED_DAYS
-        rule = "cv7" if counted < x.shape[1] or len(x) <= x.shape[1] + 1 else "aic"
     xm = xs.mean(0)
     out = []
     for h in range(y.shape[1]):
@@ -165,13 +164,18 @@ def fit_hourly(
     """One model per (zone, phase, forecast day, hour).
 
     ``anchors``: the forecast days (zone, phase, day), one row each. Days with an unknown hour in
-    their design row are left out of the training rows. ``rule``: ``aic``, ``cv7`` or ``auto``
-    (cross-validation where the window has too few days for its features).
+    their design row are left out of the training rows. ``rule``: ``aic``, ``cv7`` or ``auto``, which
+    cross-validates where the window has too few days for its features (``pricing.is_small``, over the
+    hours known in the window and those of the forecast day).
+
+    Every anchor gives its 24 rows. Where the days do not suffice for the rule, the model is null and
+    ``rule`` says why.
     """
     ship_package(design.sparkSession)
     span = window_days - WARMUP_DAYS
     keys = ["zone", "phase", "_block"]
     due = anchors.select("zone", "phase", "day", F.floor(F.col("day") / days_per_group).cast("int").alias("_block")).distinct()
+    due = due.join(_rules(design, due, window_days, rule), ["zone", "phase", "day"], "left")
     rows = (
         design.where(known("x") & known("y"))
         .select(
@@ -190,16 +194,18 @@ def fit_hourly(
 
     def fit(known_days: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out = []
-        if len(known_days) and len(wanted):
-            known_days = known_days.sort_values("day")
-            day = known_days["day"].to_numpy()
-            x, y = np.stack(known_days["x"].to_numpy()), np.stack(known_days["y"].to_numpy())
-            for zone, phase, anchor in wanted[["zone_due", "phase_due", "day_due"]].itertuples(index=False):
-                use = (day < anchor) & (day >= anchor - span)
-                if use.sum() < 2:
-                    continue
-                for hour, model in enumerate(fit_day(x[use], y[use], rule, window_days)):
-                    out.append((zone, phase, anchor, hour, int(use.sum()), *model))
+        known_days = known_days.sort_values("day")
+        day = known_days["day"].to_numpy()
+        for zone, phase, anchor, chosen in wanted[["zone_due", "phase_due", "day_due", "rule_due"]].itertuples(index=False):
+            use = np.flatnonzero((day < anchor) & (day >= anchor - span)) if len(day) else np.zeros(0, int)
+            try:
+                if len(use) < 2:
+                    raise ValueError(f"{len(use)} known days in the window")
+                x, y = (np.stack(known_days[c].to_numpy()[use]) for c in ("x", "y"))
+                models = fit_day(x, y, chosen)
+            except ValueError as reason:
+                models = [(str(reason), None, None, None, None)] * HOURS
+            out += [(zone, phase, anchor, hour, len(use), *model) for hour, model in enumerate(models)]
         names = [f.split()[0] for f in MODEL_SCHEMA.split(", ")]
         return pd.DataFrame(out, columns=names)
 
@@ -212,15 +218,36 @@ def fit_hourly(
     return spread.groupBy(*keys).cogroup(wanted_days.groupBy(*due_keys)).applyInPandas(fit, MODEL_SCHEMA)
 
 
+def _rules(design: DataFrame, anchors: DataFrame, window_days: int, rule: str) -> DataFrame:
+    """(zone, phase, day, rule): the rule that each anchor's window calls for."""
+    keys = ["zone", "phase", "day"]
+    if rule != "auto":
+        return anchors.select(*keys, F.lit(rule).alias("rule"))
+    known_hours = F.size(F.filter("y", lambda v: v.isNotNull()))
+    hours = design.select("zone", "phase", F.col("day").alias("_at"), known_hours.alias("_hours"), F.size("x").alias("_p"))
+    # The window's days and the forecast day, whose hours are not known yet but counted.
+    window = anchors.select(*keys, F.explode(F.sequence(F.col("day") - window_days, F.col("day") - 1)).alias("_at"))
+    seen = window.join(hours, ["zone", "phase", "_at"], "left").groupBy(*keys).agg(
+        F.coalesce(F.sum("_hours"), F.lit(0)).alias("_hours"), F.max("_p").alias("_p")
+    )
+    days = calibration_days(F.col("_hours") + HOURS, window_days)
+    small = is_small(days, F.coalesce("_p", F.lit(n_features())))
+    return seen.select(*keys, F.when(small, "cv7").otherwise("aic").alias("rule"))
+
+
 def predict_hourly(design: DataFrame, models: DataFrame, floor: float | None = 0.0) -> DataFrame:
-    """Forecast (zone, day, hour, ts, yhat) from the design row of each model's day."""
+    """Forecast (zone, day, hour, ts, yhat, reason) from the design row of each model's day.
+
+    A forecast that cannot be made is a row all the same, null with the reason.
+    """
     rows = design.select("zone", "phase", "day", "x")
     dot = F.aggregate(F.zip_with("coef", "x", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-    scored = models.join(rows, ["zone", "phase", "day"]).withColumn("yhat", F.col("intercept") + dot)
+    scored = models.join(rows, ["zone", "phase", "day"], "left").withColumn("yhat", F.col("intercept") + dot)
     return scored.select(
         "zone", "phase", "day", "hour",
         shift(block_start(), F.col("hour") * HOUR).alias("ts"),
         (clip("yhat", lo=floor) if floor is not None else F.col("yhat")).alias("yhat"),
+        F.when(F.col("coef").isNull(), F.col("rule")).when(F.col("yhat").isNull(), "unknown features on the day").alias("reason"),
     )
 
 

@@ -140,8 +140,17 @@ def robust_scale(design: DataFrame, keys: Sequence[str], array: str = "x", skip_
 
 def small_mode(prices: DataFrame, keys: Sequence[str], window_days: int = DEFAULT_WINDOW_DAYS, n_exog: int = 0) -> DataFrame:
     """Per series: are there fewer counted calibration days than features?"""
-    days = F.least(F.count(F.lit(1)), F.lit(window_days * HOURS)) / HOURS
+    days = calibration_days(F.count(F.lit(1)), window_days)
     return prices.groupBy(*keys).agg(
-        days.alias("calibration_days"),
-        (days - UNCOUNTED_DAYS < n_features(n_exog)).cast("int").alias("small"),
+        days.alias("calibration_days"), is_small(days, F.lit(n_features(n_exog))).cast("int").alias("small")
     )
+
+
+def calibration_days(hours: Column, window_days: int) -> Column:
+    """Days that so many hourly rows make, up to the window's length."""
+    return F.least(hours, F.lit(window_days * HOURS)) / HOURS
+
+
+def is_small(days: Column, features: Column) -> Column:
+    """Fewer counted days than features: the penalty is cross-validated."""
+    return days - UNCOUNTED_DAYS < features

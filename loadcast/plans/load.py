@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from ..functions.calendar import CYCLIC_FEATURES, add_calendar
 from ..functions.scalars import clip, zero_in_months
 from ..functions.timecols import DAY, HOUR, shift, to_local
-from ..operators.clean import dedup_first, drop_incomplete, valid_rows
+from ..operators.clean import conform, dedup_first, valid_rows
 from ..operators.forest import (
-    FINAL_DAYS, ForestParams, as_params, best_params, feature_order, fit_forest, in_flight, refit, score,
+    FINAL_DAYS, ForestParams, as_params, best_params, feature_order, fit_forest, in_flight, score,
     scores_frame, tune,
 )
 from ..operators.grid import between_ts, bin_mean, day_horizon, spine, to_grid
@@ -104,13 +105,20 @@ def electric_targets(
     cabins = meter_map.groupBy("site_id", "cabin").agg(
         F.max(role == "net").alias("has_net"), F.max(role.isin(*PV_ROLES)).alias("has_pv")
     )
+    rest_pv = meter_map.groupBy("site_id").agg(
+        F.max((F.col("cabin") == residual_cabin) & role.isin(*PV_ROLES)).alias("rest_has_pv")
+    )
     per_cabin = (
         every.groupBy(*cabin)
         .agg(of("net").alias("net"), of("pv").alias("pv"), of("supply").alias("supply"))
         .join(cabins, ["site_id", "cabin"], "left")
+        .join(rest_pv, "site_id")
         .withColumn("gross", F.when(F.col("has_net"), gross(F.col("net"), F.col("pv"), F.col("has_pv"))))
     )
-    left_over = F.sum("supply") - F.sum("net")
+    # The residual cabin has no net meter: its net is what the others leave of the supply, and its PV adds to that.
+    own = F.col("cabin") == residual_cabin
+    left_net = F.sum("supply") - F.sum("net")
+    left_over = gross(left_net, F.max(F.when(own, F.col("pv"))), F.max("rest_has_pv"))
     named = F.struct(F.concat(F.lit(GROSS_PREFIX), "cabin").alias("target"), F.col("gross").alias("y"))
     site = per_cabin.groupBy("site_id", "ts").agg(
         F.collect_list(F.when(F.col("has_net"), named)).alias("cabins"),  # one per cabin of the site
@@ -212,12 +220,16 @@ def train_load_models(
         scores = tune(train, features, grid, folds, k, seed, parallelism, **forest)
         best = min(scores, key=lambda s: s[1])[0]
         tested = fit_forest(train, features, best, seed, **forest).transform(test).select("target", "ts", "y", "yhat")
-        return scores, best, tested, refit(rows, features, best, final_days, seed, **forest)
+        final = rows if final_days is None else trailing_window(rows, ["target"], final_days)
+        return scores, best, tested, fit_forest(final, features, best, seed, **forest), final
 
     results = dict(zip(names, in_flight(spark, one, names, min(parallelism, 2))))
     tested = None
-    for scores, best, rows, model in results.values():
+    finals = None
+    for _, _, rows, _, final in results.values():
         tested = rows if tested is None else tested.unionByName(rows)
+        one_final = final.select("target", "ts")
+        finals = one_final if finals is None else finals.unionByName(one_final)
     measured = regression_metrics(tested, ["target"]).drop("n_rows")
     scores = scores_frame(spark, {t: r[0] for t, r in results.items()})
     stats = period_stats(split.where(F.col("split").isNotNull()), ["target", "split"])
@@ -228,7 +240,11 @@ def train_load_models(
             for c, n in (("period_start", f"{s}_start"), ("period_end", f"{s}_end"), ("n_samples", f"n_{s}"))
         ]
     )
-    metrics = best_params(scores).drop("mse").join(measured, "target").join(by, "target")
+    last = period_stats(finals, ["target"]).select(
+        "target", F.col("period_start").alias("final_train_start"), F.col("period_end").alias("final_train_end"),
+        F.col("n_samples").alias("final_train_samples"),
+    )
+    metrics = best_params(scores).drop("mse").join(measured, "target").join(by, "target").join(last, "target")
     return Trained({t: r[3] for t, r in results.items()}, metrics, scores, list(features))
 
 
@@ -262,6 +278,15 @@ def scoring_matrix(
     return fill_linear(full, keys, [*features, *names], both=True)
 
 
+def require_known(matrix: DataFrame, needed: Mapping[str, Sequence[str]]) -> None:
+    """Raise, with the columns, where a feature of a target is still unknown after repair; one pass over the horizon."""
+    names = sorted({n for per in needed.values() for n in per})
+    counts = matrix.groupBy("target").agg(*[F.count_if(F.col(f"`{n}`").isNull()).alias(n) for n in names]).collect()
+    unknown = {r["target"]: [n for n in needed[r["target"]] if r[n]] for r in counts if r["target"] in needed}
+    if unknown := {t: cols for t, cols in unknown.items() if cols}:
+        raise ValueError(f"features still unknown after repair: {unknown}")
+
+
 def forecast_load(
     history: DataFrame, weather: DataFrame, holidays: DataFrame, models: Mapping[str, PipelineModel], day: str, tz: str,
     zero_months: Sequence[int] = (), **options,
@@ -280,13 +305,12 @@ def forecast_load(
     wanted = history.where(F.col("target").isin(*models))
     matrix = stage(scoring_matrix(wanted, feature_horizon(weather, holidays, d, tz), d, tz, **options), "scoring", ["target"])
     have = target_names(matrix)
+    if left_out := sorted(set(models) - set(have)):
+        warnings.warn(f"targets without history, not forecast: {left_out}", stacklevel=2)
     rows = {}
     for t in have:
-        needed = feature_order(models[t])
-        lacking = [n for n in needed if n not in matrix.columns]
-        if lacking:
-            raise ValueError(f"{t}: missing model features {lacking}")
-        rows[t] = drop_incomplete(matrix.where(F.col("target") == t).select("site_id", "target", "ts", *needed))
+        rows[t] = conform(matrix.where(F.col("target") == t), feature_order(models[t]), ["site_id", "target", "ts"])
+    require_known(matrix, {t: feature_order(models[t]) for t in have})
     return score(rows, models, ("site_id", "target", "ts")).withColumn("ts_local", to_local("ts", tz))
 
 
@@ -314,8 +338,15 @@ def retrain_load(
 def missing_block(
     readings: DataFrame, history: DataFrame, now: Column, tz: str, keys: Sequence[str] = ("site_id",), **options
 ) -> DataFrame:
-    """Readings of the next block to append, per site; nothing for sites already current."""
-    window = next_window(history, keys, now, tz, **options)
-    return readings.join(window, list(keys)).where(
+    """Readings of the next block to append, per site; nothing for sites already current.
+
+    The outer bounds of all windows are literals, so the scan of the readings prunes; each site's own window follows.
+    """
+    window = stage(next_window(history, keys, now, tz, **options), "next-window")
+    first, last = window.agg(F.min("window_start"), F.max("window_end")).first()
+    if first is None:
+        return readings.limit(0)
+    due = readings.where((F.col("ts") >= F.lit(first)) & (F.col("ts") < shift(F.lit(last), 900)))
+    return due.join(window, list(keys)).where(
         (F.col("ts") >= F.col("window_start")) & (F.col("ts") < shift("window_end", 900))
     ).drop("window_start", "window_end")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,35 +10,67 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import HOUR, market_stamp, to_local
 from ..operators.clean import dedup_last
-from ..operators.history import available_dates, missing_dates, upsert, zone_prices
+from ..operators.history import available_dates, missing_dates, upsert
 from ..operators.lasso import anchors_of, fit_hourly, predict_hourly
 from ..operators.pricing import DEFAULT_WINDOW_DAYS, WARMUP_DAYS, price_design
 from ..session import stage
 from ..sources.prices import extract_zone_prices
 
 
+def landed_days(docs: DataFrame, zones: Sequence[str], day: str = "day") -> tuple[DataFrame, DataFrame]:
+    """Records (day, position, zone, price) of the days that have every zone, and the failed days (day, reason).
+
+    A document without records, or without one of the zones, fails its own day only.
+    """
+    # Staged: the check of the days and the rows themselves both read the records.
+    records = stage(extract_zone_prices(docs, [day], "doc", missing="skip"), "market-records")
+    has = records.groupBy(day).agg(F.array_sort(F.array_except(F.array(*[F.lit(z) for z in zones]), F.collect_set("zone"))).alias("lacking"))
+    judged = docs.select(day).distinct().join(has, day, "left")
+    failed = judged.where(F.col("lacking").isNull() | (F.size("lacking") > 0)).select(
+        day, F.when(F.col("lacking").isNull(), F.lit("no records")).otherwise(F.concat(F.lit("lacks "), F.array_join("lacking", ", "))).alias("reason")
+    )
+    return records.join(failed, day, "left_anti"), failed
+
+
 def market_days(docs: DataFrame, zones: Sequence[str], tz: str, step_s: int = HOUR, day: str = "day") -> DataFrame:
-    """Landed documents, one per market day, to price rows (zone, ts, ts_local, price)."""
-    # Staged: the check of the zones and the rows themselves both read the records.
-    records = stage(extract_zone_prices(docs, [day], "doc"), "market-records")
-    picked = zone_prices(records, zones, per=[day])
+    """Landed documents, one per market day, to price rows (zone, ts, ts_local, price); raises for a day that failed."""
+    records, failed = landed_days(docs, zones, day)
+    if bad := failed.limit(5).collect():
+        raise ValueError(f"market days without prices: {[tuple(map(str, r)) for r in bad]}")
+    return stamped_prices(records, zones, tz, step_s, day)
+
+
+def stamped_prices(records: DataFrame, zones: Sequence[str], tz: str, step_s: int = HOUR, day: str = "day") -> DataFrame:
+    """Records (day, position, zone, price) to price rows (zone, ts, ts_local, price)."""
+    picked = records.where(F.col("zone").isin(*zones))
     # The n-th price of a zone within one document: a day's records at most.
     nth = F.row_number().over(Window.partitionBy(day, "zone").orderBy("position")) - 1
     stamped = picked.withColumn("_n", nth).select("zone", market_stamp(day, "_n", step_s, tz).alias("ts"), "price")
     return stamped.select("zone", "ts", to_local("ts", tz).alias("ts_local"), "price")
 
 
-def update_prices(prices: DataFrame, docs: DataFrame, zones: Sequence[str], target: Column, tz: str, step_s: int = HOUR) -> DataFrame:
-    """History plus the landed documents of the missing days; the last row per (zone, ts) stays.
+def market_update(
+    prices: DataFrame, docs: DataFrame, zones: Sequence[str], target: Column, tz: str, step_s: int = HOUR
+) -> tuple[DataFrame, DataFrame]:
+    """History plus the landed documents of the missing days, and the due days (day, reason) that gave nothing.
 
-    A history that is current, or whose missing days have not landed yet, comes back as it is.
+    The last row per (zone, ts) stays. A day whose document is bad or has not landed stops no other.
     """
-    due = missing_dates(available_dates(prices, tz), zones, target)
+    due = stage(missing_dates(available_dates(prices, tz), zones, target), "due-days")
     landed = docs.join(due, "day", "left_semi")
-    if landed.isEmpty():
-        return prices
-    new = market_days(landed, zones, tz, step_s)
-    return upsert(prices, new.select(*[c for c in new.columns if c in prices.columns]), ["zone", "ts"])
+    records, failed = landed_days(landed, zones)
+    absent = due.join(docs.select("day"), "day", "left_anti").select("day", F.lit("not landed").alias("reason"))
+    new = stamped_prices(records, zones, tz, step_s)
+    current = upsert(prices, new.select(*[c for c in new.columns if c in prices.columns]), ["zone", "ts"])
+    return current, failed.unionByName(absent)
+
+
+def update_prices(prices: DataFrame, docs: DataFrame, zones: Sequence[str], target: Column, tz: str, step_s: int = HOUR) -> DataFrame:
+    """The prices of :func:`market_update`; the days that failed are named in a warning."""
+    current, failed = market_update(prices, docs, zones, target, tz, step_s)
+    if bad := failed.limit(20).collect():
+        warnings.warn(f"market days not landed: {[tuple(map(str, r)) for r in bad]}", stacklevel=2)
+    return current
 
 
 def forecast_prices(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ...sources.weather import WEATHER_COLUMNS, explode_regular_block
 from ..load import build_electric_dataset, build_thermal_dataset
-from ..pricejobs import update_prices
+from ..pricejobs import market_update
 from .base import GRID, PRICES, TZ, WEATHER_GRID, Tables, bins, closed, computus, fill, local, query, rnd
 
 # The meters of the site: event type and user modulo 3 name a meter.
@@ -14,7 +14,7 @@ METERS = [
     ("C1", "net", 0, "purchase-0"), ("C2", "net", 0, "purchase-1"), ("C2", "net", 1, "purchase-2"),
     ("C1", "pv_main", 0, "view-0"), ("C1", "pv_backup", 0, "click-0"),
     ("C2", "pv_main", 0, "view-1"), ("C2", "pv_backup", 0, "click-1"), ("C2", "pv_main", 1, "view-2"),
-    ("C9", "pv_main", 0, "click-2"),
+    ("C10", "pv_main", 0, "click-2"),
     ("MCB1", "grid", 0, "error-0"), ("MCB2", "grid", 0, "error-1"), ("MCB3", "grid", 0, "error-2"),
     ("CHP", "chp", 0, "signup-0"), ("CHP", "chp", 1, "signup-1"), ("CHP", "chp", 2, "signup-2"),
 ]
@@ -68,7 +68,7 @@ def meter_map(t: Tables):
     pv AS (SELECT cabin, ts, sum(value) AS pv FROM pm GROUP BY cabin, ts),
     bal AS (SELECT ts, sum(s) - sum(n) AS net FROM (SELECT ts, value AS s, NULL AS n FROM sf UNION ALL SELECT ts, NULL, net FROM net) GROUP BY ts),
     gr AS (SELECT coalesce(n.ts, p.ts) AS ts, cabin, n.net + p.pv AS y FROM net n FULL JOIN pv p USING (cabin, ts) WHERE cabin IN ('C1', 'C2')
-      UNION ALL SELECT ts, 'C10', net FROM bal),
+      UNION ALL SELECT ts, 'C10', bal.net + p.pv FROM bal LEFT JOIN (SELECT ts, pv FROM pv WHERE cabin = 'C10') p USING (ts)),
     ct AS (SELECT ts, max(CASE WHEN cabin = 'C1' THEN y END) AS c1, max(CASE WHEN cabin = 'C2' THEN y END) AS c2, max(CASE WHEN cabin = 'C10' THEN y END) AS c10, sum(y) AS tot
       FROM gr GROUP BY ts),
     nt AS (SELECT ts, sum(value) AS net FROM sf GROUP BY ts),
@@ -110,6 +110,31 @@ def thermal(t: Tables):
 )
 def update(t: Tables):
     """History to 24 January, documents for every local day, target 30 January."""
+    return _market_update(t, [])[0]
+
+
+@query(
+    "update_prices_failed_days",
+    f"""WITH {PRICES}, lastzone AS (SELECT max(zone) AS zone FROM p)
+    SELECT '2024-01-26' AS day, 'no records' AS reason UNION ALL SELECT '2024-01-27', 'lacks ' || zone FROM lastzone UNION ALL
+    SELECT '2024-01-28', 'not landed'""",
+)
+def update_failed(t: Tables):
+    """Of the due days, one document without records, one without a zone, one that has not landed."""
+    return _market_update(t, ["2024-01-26", "2024-01-27", "2024-01-28"])[1]
+
+
+@query(
+    "update_prices_partial",
+    f"""WITH {PRICES} SELECT zone, ts, {rnd('price')} AS price FROM p WHERE {local()} < TIMESTAMP '2024-01-31'
+      AND CAST({local()} AS DATE) NOT IN (DATE '2024-01-26', DATE '2024-01-27', DATE '2024-01-28')""",
+)
+def update_partial(t: Tables):
+    """The prices landed beside the failed days."""
+    return _market_update(t, ["2024-01-26", "2024-01-27", "2024-01-28"])[0]
+
+
+def _market_update(t: Tables, bad: list[str]):
     day = F.to_date(F.from_utc_timestamp("ts", TZ))
     history = t.price_history.where(day < F.lit("2024-01-25").cast("date"))
     record = F.struct(F.unix_seconds("ts").alias("At"), F.col("zone").alias("Zone"), F.col("price").alias("Price"))
@@ -118,4 +143,10 @@ def update(t: Tables):
         F.to_json(F.struct(F.struct(F.sort_array(F.collect_list(record)).alias("rows")).alias("result"))).alias("doc")
     )
     zones = [r[0] for r in t.price_history.select("zone").distinct().orderBy("zone").collect()]
-    return update_prices(history, docs, zones, F.lit("2024-01-30").cast("date"), TZ)
+    if bad:
+        empty, lacking, absent = (F.lit(d).cast("date") for d in bad)
+        other = F.replace("doc", F.lit(f'"Zone":"{zones[-1]}"'), F.lit('"Zone":"elsewhere"'))
+        docs = docs.where(F.col("day") != absent).withColumn(
+            "doc", F.when(F.col("day") == empty, F.lit('{"result": []}')).when(F.col("day") == lacking, other).otherwise(F.col("doc"))
+        )
+    return market_update(history, docs, zones, F.lit("2024-01-30").cast("date"), TZ)

@@ -56,11 +56,10 @@ def lag_time_range(t: Tables):
 def lag_onto_horizon_query(t: Tables):
     """The day after the last reading, for every meter."""
     hist = t.grid.withColumnRenamed("value", "y")
-    last = hist.agg(F.unix_seconds(F.max("ts")).alias("m"))
-    steps = last.select(F.explode(F.transform(F.sequence(F.lit(1), F.lit(96)), lambda i: F.timestamp_seconds(F.col("m") + i * 900))).alias("ts"))
+    last = hist.agg(F.unix_seconds(F.max("ts"))).first()[0]
     # 96 stamps for each distinct meter.
-    meters = hist.groupBy("variable_id").agg(F.lit(1).alias("_one"))
-    horizon = meters.join(steps.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    ahead = F.transform(F.sequence(F.lit(1), F.lit(96)), lambda i: F.timestamp_seconds(F.lit(last) + i * 900))
+    horizon = hist.select("variable_id").distinct().select("variable_id", F.explode(ahead).alias("ts"))
     return lag_onto_horizon(hist, horizon, ["variable_id"])
 
 

@@ -79,7 +79,7 @@ def price_scan_coerce(t: Tables):
 
 
 def landed_documents(t: Tables):
-    """One JSON document per UTC day with the hourly prices of every zone, some levels down."""
+    """One JSON document per UTC day with the hourly prices of every zone, twelve levels down."""
     record = F.struct(F.hour("ts").alias("Hour"), F.col("zone").alias("Zone"), F.col("price").alias("Price"))
     return t.price_history.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
         F.to_json(
@@ -91,13 +91,20 @@ def landed_documents(t: Tables):
                     F.array(
                         F.struct(F.lit("empty").alias("name")).alias("head"),
                     ).alias("notes"),
-                    F.sort_array(F.collect_list(record)).alias("rows"),
+                    _wrapped(F.sort_array(F.collect_list(record)).alias("rows"), 10).alias("inner"),
                 ).alias("body"),
             )
         ).alias("doc")
     )
 
 
+def _wrapped(value, times: int):
+    """``value`` inside so many objects and lists in turn."""
+    for k in range(times):
+        value = F.struct(value.alias(f"level{k}")) if k % 2 else F.array(value)
+    return value
+
+
 @query(
     "json_zone_price_extract",
     f"""WITH {PRICES} SELECT strftime(ts, '%Y-%m-%d') AS day,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import to_num
 from ..functions.timecols import parse_ts
+from ..session import stage
 
 # The two fields that mark a price record.
 ZONE_FIELD, PRICE_FIELD = "Zone", "Price"
@@ -28,44 +29,51 @@ def coerce_prices(raw: DataFrame) -> DataFrame:
     ).where(F.col("ts").isNotNull() & F.col("price").isNotNull())
 
 
-# One level of the walk, as SQL over ``{src}``. A node that is an object with both fields is a hit
-# and stays; any other node gives way to those of its children that can hold records, in
-# document order. ``first_of`` keeps the list whose first element the node is. A document with
-# nothing left to open leaves one empty row, so that it is reported.
+# The walk opens one level at a time, as SQL over ``{src}``. A node that is an object with both fields is a hit; any
+# other node gives way to those of its children that can hold records. Paths keep document order, and ``first_of`` the
+# list whose first element the node is.
 _OPEN = "(left({0}, 1) = '[' OR left({0}, 1) = chr(123))"
 _MARK = f"""SELECT {{by}}, node, path, first_of, arr, obj,
-    hit OR coalesce(map_contains_key(obj, '{ZONE_FIELD}') AND map_contains_key(obj, '{PRICE_FIELD}'), false) AS hit
-  FROM (SELECT *, CASE WHEN NOT hit AND left(node, 1) = '[' THEN from_json(node, 'array<string>') END AS arr,
-    CASE WHEN NOT hit AND left(node, 1) = chr(123) THEN from_json(node, 'map<string,string>') END AS obj FROM ({{src}}))"""
-_DESCEND = f"""SELECT {{by}}, hit, s.node, s.path, s.first_of FROM (SELECT {{by}}, hit, explode(
-    CASE WHEN size(below) > 0 THEN below ELSE array(named_struct('node', CAST(NULL AS STRING), 'path', path, 'first_of', CAST(NULL AS STRING))) END) AS s
-  FROM (SELECT {{by}}, hit, path, CASE WHEN hit THEN array(named_struct('node', node, 'path', path, 'first_of', first_of))
-    ELSE filter(transform(coalesce(arr, map_values(obj), array()), (c, i) -> named_struct('node', ltrim(c), 'path', concat(path, array(i)),
-      'first_of', CASE WHEN i = 0 AND arr IS NOT NULL THEN node END)), c -> {_OPEN.format("c.node")}) END AS below FROM ({_MARK})))"""
+    coalesce(map_contains_key(obj, '{ZONE_FIELD}') AND map_contains_key(obj, '{PRICE_FIELD}'), false) AS hit
+  FROM (SELECT *, CASE WHEN left(node, 1) = '[' THEN from_json(node, 'array<string>') END AS arr,
+    CASE WHEN left(node, 1) = chr(123) THEN from_json(node, 'map<string,string>') END AS obj FROM ({{src}}))"""
+_CHILDREN = f"""SELECT {{by}}, s.node, s.path, s.first_of FROM (SELECT {{by}}, explode(filter(
+    transform(coalesce(arr, map_values(obj), array()), (c, i) -> named_struct('node', ltrim(c), 'path', concat(path, array(i)),
+      'first_of', CASE WHEN i = 0 AND arr IS NOT NULL THEN node END)), c -> {_OPEN.format("c.node")})) AS s FROM {{open}} WHERE NOT hit)"""
 
 
-def extract_zone_prices(docs: DataFrame, keys: Sequence[str] = ("doc_id",), doc: str = "doc", max_depth: int = 8) -> DataFrame:
+def first_records(docs: DataFrame, keys: Sequence[str], doc: str) -> DataFrame:
+    """(keys, node, first_of) of the first match, depth-first, of every document that has one.
+
+    Each level of nesting is one kept table, and the walk ends when a level leaves nothing to open, at any depth.
+    """
+    spark, by = docs.sparkSession, ", ".join(f"`{k}`" for k in keys)
+    mark = _MARK.format(by=by, src="SELECT * FROM {src}")
+    roots = docs.selectExpr(*[f"`{k}`" for k in keys], f"ltrim(`{doc}`) AS node", "CAST(array() AS ARRAY<INT>) AS path", "CAST(NULL AS STRING) AS first_of")
+    level, hits = stage(spark.sql(mark, src=roots), "json-level"), None
+    while True:
+        found = level.where("hit").select(*keys, "node", "path", "first_of")
+        hits = found if hits is None else hits.unionByName(found)
+        level = stage(spark.sql(mark, src=spark.sql(_CHILDREN.format(by=by, open="{open}"), open=level)), "json-level")
+        if level.isEmpty():
+            return hits.groupBy(*keys).agg(F.min_by(F.struct("node", "first_of"), "path").alias("m"))
+
+
+def extract_zone_prices(docs: DataFrame, keys: Sequence[str] = ("doc_id",), doc: str = "doc", missing: str = "raise") -> DataFrame:
     """Price records at any depth of JSON documents, in document order.
 
-    Walks each document level by level with built-in JSON expressions. The match that comes
-    first depth-first wins: a list whose first element has both fields gives all its elements,
-    an object with both fields gives itself. Documents without a match down to ``max_depth``
-    levels raise when they are read.
+    The match that comes first depth-first wins: a list whose first element has both fields gives all its elements, an
+    object with both fields gives itself. Documents without a match raise when they are read, or give no rows with
+    ``missing="skip"``.
     """
-    by = ", ".join(f"`{k}`" for k in keys)
-    walk = (
-        f"SELECT {by}, ltrim(`{doc}`) AS node, CAST(array() AS ARRAY<INT>) AS path, CAST(NULL AS STRING) AS first_of, "
-        "false AS hit FROM {docs}"
-    )
-    for _ in range(max_depth):
-        walk = _DESCEND.format(by=by, src=walk)
     record = f"struct<{ZONE_FIELD}:string,{PRICE_FIELD}:string>"
-    found = docs.sparkSession.sql(
-        f"""SELECT {by}, posexplode(CASE WHEN m IS NULL THEN raise_error('document without {ZONE_FIELD}/{PRICE_FIELD} records')
+    found = first_records(docs, keys, doc)
+    if missing == "raise":
+        found = docs.select(*keys).distinct().join(found, list(keys), "left")
+    opened = found.selectExpr(
+        *[f"`{k}`" for k in keys],
+        f"""posexplode(CASE WHEN m IS NULL THEN raise_error('document without {ZONE_FIELD}/{PRICE_FIELD} records')
           WHEN m.first_of IS NOT NULL THEN from_json(m.first_of, 'array<{record}>')
-          ELSE array(from_json(m.node, '{record}')) END) AS (position, r)
-        FROM (SELECT {by}, min_by(named_struct('node', node, 'first_of', first_of), CASE WHEN hit THEN path END) AS m
-          FROM ({_MARK.format(by=by, src=walk)}) GROUP BY {by})""",
-        docs=docs,
+          ELSE array(from_json(m.node, '{record}')) END) AS (position, r)""",
     )
-    return found.select(*keys, "position", F.col(f"r.{ZONE_FIELD}").alias("zone"), to_num(f"r.{PRICE_FIELD}").alias("price"))
+    return opened.select(*keys, "position", F.col(f"r.{ZONE_FIELD}").alias("zone"), to_num(f"r.{PRICE_FIELD}").alias("price"))

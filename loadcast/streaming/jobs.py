@@ -46,30 +46,54 @@ def append_files(out: DataFrame, path: str, checkpoint: str, trigger: Mapping[st
     )
 
 
+def _run_of(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """Number of the run that a checkpoint stands for in a table: its own when it goes on, the next for a new one.
+
+    Batch numbers start anew with a checkpoint, run numbers don't, so no run writes over another's folders.
+    """
+    runs = os.path.join(root, "_runs")
+    first = spark.createDataFrame([], "checkpoint string, run int")
+    first.write.mode("append").parquet(runs)  # so that there is a table to read
+    known = spark.read.schema(first.schema).parquet(runs)
+    own = known.where(F.col("checkpoint") == checkpoint).agg(F.max("run")).first()[0]
+    if own is not None:
+        return own
+    run = (known.agg(F.max("run")).first()[0] or 0) + 1
+    spark.createDataFrame([(checkpoint, run)], first.schema).coalesce(1).write.mode("append").parquet(runs)
+    return run
+
+
+def _folder(root: str, run: int, number: int) -> str:
+    return os.path.join(root, f"run={run}", f"batch={number}")
+
+
 def upsert_stream(stream: DataFrame, root: str, checkpoint: str, trigger: Mapping[str, object] = AVAILABLE_NOW) -> StreamingQuery:
-    """Land each micro-batch as ``batch=n`` next to the history in ``batch=-1``.
+    """Land each micro-batch in a folder of its own next to the history.
 
     A batch writes its own rows only, and a batch that runs again replaces its own folder, so
-    nothing is applied twice. :func:`current_table` reads the upserted state.
+    nothing is applied twice; a new checkpoint is a new run with folders of its own.
+    :func:`current_table` reads the upserted state, :func:`compact` makes it the history of a new table.
     """
+    run = _run_of(stream.sparkSession, root, checkpoint)
 
     def land(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(root, f"batch={number}"))
+        batch.write.mode("overwrite").parquet(_folder(root, run, number))
 
     return stream.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
 def start_table(df: DataFrame, root: str) -> None:
-    df.write.mode("overwrite").parquet(os.path.join(root, "batch=-1"))
+    df.write.mode("overwrite").parquet(_folder(root, 0, -1))
 
 
 def current_table(spark: SparkSession, root: str, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """Last row per key over history and landed batches: later batches win, then ``order``."""
-    return dedup_last(spark.read.parquet(root), keys, ["batch", *order]).drop("batch")
+    """Last row per key over history and landed batches: later runs and batches win, then ``order``."""
+    return dedup_last(spark.read.parquet(root), keys, ["run", "batch", *order]).drop("run", "batch")
 
 
-def _version(root: str, n: int) -> str:
-    return os.path.join(root, f"v={n}")
+def compact(spark: SparkSession, root: str, new_root: str, keys: Sequence[str], order: Sequence[str] = ()) -> None:
+    """Write the current state as the history of a new table, so that reads stop at the last row per key."""
+    start_table(current_table(spark, root, keys, order), new_root)
 
 
 def counter_power_stream(
@@ -80,30 +104,56 @@ def counter_power_stream(
 
     The last (ts, energy) of each meter is carried from batch to batch in a table of one row per
     meter. Within a batch the chunked batch operator runs, so a meter with most of the readings
-    is spread over many tasks. Readings not newer than the meter's carried one are left to the
-    batch upsert. Batch n writes ``power/batch=n`` and ``carry/v=n+1`` from ``carry/v=n``.
+    is spread over many tasks. A meter with late readings, not newer than its carried one, is
+    computed again from its first late reading on, with the landed readings around it, so the
+    reading after a late one gets its new power too; :func:`power_table` takes the last result.
     """
-    carry, power = os.path.join(root, "carry"), os.path.join(root, "power")
+    keys = list(keys)
+    spark = stream.sparkSession
+    run = _run_of(spark, root, checkpoint)
+    carry, power, landed = (os.path.join(root, n) for n in ("carry", "power", "readings"))
+
+    def before(number: int) -> DataFrame | None:
+        """The carried rows that this batch starts from: those of the batch, or of the run, before it."""
+        if number:
+            return spark.read.parquet(_folder(carry, run, number))
+        if run == 1:
+            return None
+        old = spark.read.parquet(carry).where(F.col("run") < run)
+        last = old.agg(F.max(F.struct("run", "batch"))).first()[0]
+        return None if last is None else old.where((F.col("run") == last["run"]) & (F.col("batch") == last["batch"])).drop("run", "batch")
 
     def apply(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         fresh = dedup_first(batch.select(*keys, ts, energy), [*keys, ts], [energy])
-        if number:
-            last = spark.read.parquet(_version(carry, number))
-            newer = fresh.join(last.select(*keys, F.col(ts).alias("_last")), list(keys), "left").where(
-                F.col("_last").isNull() | (F.col(ts) > F.col("_last"))
-            ).drop("_last")
-            rows = newer.withColumn("_new", F.lit(True)).unionByName(last.withColumn("_new", F.lit(False)))
-        else:
-            rows = fresh.withColumn("_new", F.lit(True))
+        fresh.write.mode("overwrite").parquet(_folder(landed, run, number))
+        fresh = spark.read.schema(fresh.schema).parquet(_folder(landed, run, number))
+        last = before(number)
+        rows, again = fresh.withColumn("_new", F.lit(True)), None
+        if last is not None:
+            known = fresh.join(last.select(*keys, F.col(ts).alias("_last")), keys, "left")
+            late = known.where(F.col(ts) <= F.col("_last")).groupBy(*keys).agg(F.min(ts).alias("_late"))
+            rows = known.where(F.col("_last").isNull() | (F.col(ts) > F.col("_last"))).drop("_last")
+            rows = rows.withColumn("_new", F.lit(True)).unionByName(last.withColumn("_new", F.lit(False)))
+            if not late.isEmpty():
+                again = _again(late, number)
         out = counter_to_power(rows, keys, ts, energy).where("_new").drop("_new")
-        out.write.mode("overwrite").parquet(os.path.join(power, f"batch={number}"))
-        rows.groupBy(*keys).agg(F.max_by(energy, ts).alias(energy), F.max(ts).alias(ts)).write.mode(
+        if again is not None:
+            out = out.join(again.select(*keys).distinct(), keys, "left_anti").unionByName(again)
+        out.write.mode("overwrite").parquet(_folder(power, run, number))
+        ends = fresh if last is None else fresh.unionByName(last)
+        ends.groupBy(*keys).agg(F.max_by(energy, F.struct(F.col(ts), -F.col(energy))).alias(energy), F.max(ts).alias(ts)).write.mode(
             "overwrite"
-        ).parquet(_version(carry, number + 1))
+        ).parquet(_folder(carry, run, number + 1))
+
+    def _again(late: DataFrame, number: int) -> DataFrame:
+        """Power of the meters with late readings, from the first late one on."""
+        every = spark.read.parquet(landed).where((F.col("run") < run) | (F.col("batch") <= number)).drop("run", "batch")
+        theirs = dedup_first(every.join(late, keys).drop("_late"), [*keys, ts], [energy])
+        return counter_to_power(theirs, keys, ts, energy).join(late, keys).where(F.col(ts) >= F.col("_late")).drop("_late")
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def power_table(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(root, "power")).drop("batch")
+def power_table(spark: SparkSession, root: str, keys: Sequence[str], ts: str = "ts") -> DataFrame:
+    """Power per (meter, stamp): what the last batch that computed it found."""
+    return dedup_last(spark.read.parquet(os.path.join(root, "power")), [*keys, ts], ["run", "batch"]).drop("run", "batch")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from loadcast.operators.clean import drop_incomplete, require_rows
 from loadcast.operators.splits import time_split
 from loadcast.plans.load import electric_targets, missing_block
-from loadcast.plans.pricejobs import market_days, update_prices
+from loadcast.plans.pricejobs import market_days, market_update, update_prices
 from loadcast.sources.panel import payload_json, to_payload, write_metrics
 
 TZ = "Europe/Rome"
@@ -46,6 +46,29 @@ def test_balance_and_totals(spark):
     assert strict["CONS_TOT_kW"] is None and strict["CONS_TOT_NET_kW"] is None
 
 
+def test_residual_cabin_with_pv(spark):
+    """Its gross is what the others leave of the supply, plus its own PV."""
+    m = meters(spark, ("C1", "net", 0, "n1"), ("C10", "pv_main", 0, "e"), ("G", "grid", 0, "g"))
+    r = readings(spark, n1=[1.0, 2.0, 3.0], e=[0.0, 2.0, None], g=[10.0, 20.0, 30.0])
+    second, third = (targets_at(electric_targets(r, m, "C10"), i) for i in (1, 2))
+    assert second["gross_el_cons_C10"] == 18.0 + 8.0 and second["CONS_TOT_kW"] == 2.0 + 26.0
+    assert third["gross_el_cons_C10"] is None and third["CONS_TOT_kW"] == 3.0
+
+
+def test_one_bad_document_fails_its_own_day(spark):
+    good = '{"r": [{"Zone": "N", "Price": 1}, {"Zone": "S", "Price": 2}]}'
+    rows = [(dt.date(2025, 3, 1), good), (dt.date(2025, 3, 2), "not json"), (dt.date(2025, 3, 3), '[{"Zone": "N", "Price": 1}]'), (dt.date(2025, 3, 4), good)]
+    docs = spark.createDataFrame(rows, "day date, doc string")
+    history = spark.createDataFrame([(z, dt.datetime(2025, 2, 28, 12), 1.0) for z in ("N", "S")], "zone string, ts timestamp, price double")
+    current, failed = market_update(history, docs, ["N", "S"], F.lit("2025-03-05").cast("date"), TZ)
+    assert {(str(r["day"]), r["reason"]) for r in failed.collect()} == {
+        ("2025-03-02", "no records"), ("2025-03-03", "lacks S"), ("2025-03-05", "not landed")
+    }
+    assert current.count() == 6
+    with pytest.warns(UserWarning, match="2025-03-02"):
+        assert update_prices(history, docs, ["N", "S"], F.lit("2025-03-05").cast("date"), TZ).count() == 6
+
+
 def test_missing_block_takes_only_what_is_due(spark):
     r = readings(spark, a=[float(i) for i in range(96 * 6)])
     history = spark.createDataFrame([("S", dt.datetime(2024, 1, 2, 10))], "site_id string, ts timestamp")

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from loadcast.functions.holidays import holiday_dimension
 from loadcast.operators.forest import ForestParams, best_params, default_grid, importances, params_frame, scores_frame, tune
 from loadcast.operators.lags import lag_name
-from loadcast.operators.lasso import fit_day, l1_path, path_at, penalty_by_aic, penalty_by_cv
-from loadcast.operators.pricing import n_features, price_design
+from loadcast.operators.lasso import _rules, fit_day, l1_path, path_at, penalty_by_aic, penalty_by_cv
+from loadcast.operators.pricing import n_features, price_design, small_mode
 from loadcast.operators.splits import fold_contiguous, regression_metrics
 from loadcast.plans.load import forecast_load, retrain_load, train_load_models, training_panel
-from loadcast.plans.pricejobs import forecast_prices
+from loadcast.plans.pricejobs import design_and_anchors, forecast_prices
 from loadcast.sources.models import load_models, model_registry, save_models
 
 TZ = "Europe/Rome"
@@ -68,9 +68,49 @@ def test_penalty_rules_find_a_sparse_signal():
 
 def test_fit_day_chooses_its_rule_by_window_length():
     rng = np.random.default_rng(2)
-    for n, rule in ((104, "cv7"), (105, "aic")):
-        x = rng.normal(size=(n, n_features()))
-        assert fit_day(x, rng.normal(size=(n, 1)), "auto")[0][0] == rule
+    x, y = rng.normal(size=(110, n_features())), rng.normal(size=(110, 1))
+    for rule in ("cv7", "aic"):
+        assert fit_day(x, y, rule)[0][0] == rule
+    with pytest.raises(ValueError, match="AIC"):
+        fit_day(x[:50], y[:50], "aic")
+    with pytest.raises(ValueError, match="7 days"):
+        fit_day(x[:6], y[:6], "cv7")
+
+
+def test_rule_of_a_window_is_that_of_small_mode(spark):
+    """The window's known hours decide, gaps included; the same count as ``small_mode``."""
+    rng = np.random.default_rng(3)
+    for days, gap in ((118, 0), (119, 0), (130, 10), (130, 12)):
+        ts = pd.date_range("2024-01-01", periods=24 * days, freq="h")
+        keep = [t for t in ts if not 0 < (t - ts[0]).days - 20 <= gap]
+        rows = [("N", t.to_pydatetime(), float(v)) for t, v in zip(keep, rng.normal(50, 9, len(keep)))]
+        prices = spark.createDataFrame(rows, "zone string, ts timestamp, price double")
+        day = (ts[-1] + pd.Timedelta(hours=1)).date()
+        dates = spark.createDataFrame([("N", day)], "zone string, forecast_date date")
+        design, anchors = design_and_anchors(prices, dates, "UTC", phases=[0])
+        ahead = prices.unionByName(spark.createDataFrame([("N", pd.Timestamp(day).to_pydatetime() + pd.Timedelta(hours=h), None) for h in range(24)], prices.schema))
+        small = small_mode(ahead, ["zone"]).first()["small"]
+        assert _rules(design, anchors, 364, "auto").first()["rule"] == ("cv7" if small else "aic"), (days, gap)
+
+
+def test_every_requested_forecast_returns(spark, prices):
+    """A day with too little history gives its rows, null and with the reason."""
+    dates = spark.createDataFrame([("N", pd.Timestamp(d).date()) for d in ("2024-01-04", "2024-02-06")], "zone string, forecast_date date")
+    got = forecast_prices(prices, dates, TZ, window_days=28).toPandas()
+    assert len(got) == 48
+    early = got[got["ts_local"] < pd.Timestamp("2024-01-10")]
+    assert len(early) == 24 and early["yhat"].isna().all() and early["reason"].str.contains("known days").all()
+    assert got["yhat"].notna().sum() == 24
+
+
+def test_exogenous_forecasts_are_known(spark, prices):
+    """A column known on the forecast day, when the price is not, reaches the design."""
+    two = prices.withColumn("load", F.col("price") * 2 + 1)
+    day = pd.Timestamp("2024-02-06")
+    cut = two.withColumn("price", F.when(F.col("ts") < F.lit("2024-02-05 23:00:00").cast("timestamp"), F.col("price")))
+    dates = spark.createDataFrame([("N", day.date())], "zone string, forecast_date date")
+    got = forecast_prices(cut, dates, TZ, window_days=28, exog=["load"]).toPandas()
+    assert len(got) == 24 and got["yhat"].notna().all()
 
 
 @pytest.fixture(scope="module")
@@ -150,6 +190,7 @@ def test_training_job(spark, data):
     for r in m.values():
         assert r["params"]["trees"] == 8 and r["r2"] > 0.8
         assert r["train_end"] == pd.Timestamp("2024-01-17") and r["test_start"] == pd.Timestamp("2024-01-17 00:15")
+        assert r["final_train_end"] == r["test_end"] and r["final_train_samples"] <= 10 * 96 + 1
         assert r["n_train"] + r["n_test"] == panel.where(F.col("target") == r["target"]).count()
     assert done.scores.count() == 4
 

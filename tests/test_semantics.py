@@ -210,6 +210,7 @@ DOCS = [
     {"x": [], "y": [1, "Zone", None, {"Zone": "only"}], "w": {"v": [[{"Zone": "N", "Price": "7.25"}]]}},
     [{"Zone": "no price"}, {"Zone": "N", "Price": 4}, {"Zone": "S", "Price": 5}],
     {"a": {"b": {"c": {"Zone": "obj", "Price": None}}}, "rows": [{"Zone": "N", "Price": 1}]},
+    {"a": {"b": {"c": {"d": {"e": [[{"f": {"g": {"h": {"i": [{"j": {"k": [{"Zone": "deep", "Price": 6}]}}]}}}}]]}}}}},
 ]
 
 
@@ -222,6 +223,13 @@ def test_price_documents_match_a_plain_walk(spark):
         assert have == want, (i, have, want)
 
 
+def test_an_unknown_order_value_blanks_nothing(spark):
+    rows = [("a", None, 7.0), ("b", None, 1.0), ("b", 5.0, 2.0)]
+    df = spark.createDataFrame(rows, "k string, price double, load double")
+    for pick in (dedup_first, dedup_last):
+        assert {r["k"]: (r["price"], r["load"]) for r in pick(df, ["k"], ["price"]).collect()} == {"a": (None, 7.0), "b": (5.0, 2.0)}
+
+
 def test_a_document_without_prices_raises(spark):
     df = spark.createDataFrame([(1, '{"a": [1, 2]}')], "doc_id int, doc string")
     with pytest.raises(Exception, match="without Zone/Price"):

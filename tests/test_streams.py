@@ -11,7 +11,7 @@ from loadcast.operators.grid import bin_mean
 from loadcast.operators.history import upsert
 from loadcast.operators.meters import counter_to_power
 from loadcast.streaming.jobs import (
-    append_files, bin_mean_stream, counter_power_stream, current_table, dedup_stream, power_table, start_table, upsert_stream,
+    append_files, bin_mean_stream, compact, counter_power_stream, current_table, dedup_stream, power_table, start_table, upsert_stream,
 )
 
 SCHEMA = "variable_id string, ts timestamp, value double, n bigint"
@@ -76,7 +76,33 @@ def test_upsert_equals_batch_and_reruns_change_nothing(spark, landed, tmp_path):
 def test_counter_power_crosses_batches(spark, landed, tmp_path):
     root, batch = landed
     counter_power_stream(source(spark, root), str(tmp_path / "s"), str(tmp_path / "c"), ["variable_id"]).awaitTermination()
-    got = power_table(spark, str(tmp_path / "s")).toPandas().sort_values(["variable_id", "ts"]).reset_index(drop=True)
+    got = power_table(spark, str(tmp_path / "s"), ["variable_id"]).toPandas().sort_values(["variable_id", "ts"]).reset_index(drop=True)
     want = counter_to_power(batch, ["variable_id"]).toPandas().sort_values(["variable_id", "ts"]).reset_index(drop=True)
     pd.testing.assert_series_equal(got["power"], want["power"])
     assert got["power"].isna().sum() >= 4
+
+
+def test_late_counter_readings_are_applied(spark, landed, tmp_path):
+    """Files in any order of time: late readings get a power, and the reading after one a new power."""
+    _, batch = landed
+    root = str(tmp_path / "late")
+    for part in (2, 0, 3, 1):
+        batch.where(F.pmod("n", F.lit(4)) == part).coalesce(1).write.mode("append").parquet(root)
+    counter_power_stream(source(spark, root), str(tmp_path / "s"), str(tmp_path / "c"), ["variable_id"]).awaitTermination()
+    got = power_table(spark, str(tmp_path / "s"), ["variable_id"]).toPandas().sort_values(["variable_id", "ts"]).reset_index(drop=True)
+    want = counter_to_power(batch, ["variable_id"]).toPandas().sort_values(["variable_id", "ts"]).reset_index(drop=True)
+    pd.testing.assert_series_equal(got["power"], want["power"])
+
+
+def test_a_new_checkpoint_keeps_landed_batches(spark, landed, tmp_path):
+    root, batch = landed
+    table = str(tmp_path / "t")
+    start_table(batch.limit(0), table)
+    first, second = str(tmp_path / "a"), str(tmp_path / "b")
+    batch.where("n < 200").coalesce(1).write.parquet(first)
+    batch.where("n >= 200").coalesce(1).write.parquet(second)
+    upsert_stream(source(spark, first), table, str(tmp_path / "c1")).awaitTermination()
+    upsert_stream(source(spark, second), table, str(tmp_path / "c2")).awaitTermination()
+    assert current_table(spark, table, ["variable_id", "ts"]).count() == batch.count()
+    compact(spark, table, str(tmp_path / "new"), ["variable_id", "ts"])
+    assert current_table(spark, str(tmp_path / "new"), ["variable_id", "ts"]).count() == batch.count()

@@ -1,6 +1,6 @@
-"""Regression forests per target on keyed feature tables.
+"""Regression forests per series, that is per target of a site, on keyed feature tables.
 
-Each fit is one distributed Spark ML job over the target's rows. Fits of different targets and
+Each fit is one distributed Spark ML job over the series' rows. Fits of different series and
 parameters are independent, so a small driver pool keeps several jobs in flight; only models and
 scores reach the driver.
 """
@@ -31,6 +31,10 @@ FINAL_DAYS = 365
 
 PARAMS_SCHEMA = "struct<trees int, features string, min_leaf int>"
 
+# What a model belongs to, and its values: (site_id, target).
+SERIES = ("site_id", "target")
+Series = tuple[str, str]
+
 
 @dataclass(frozen=True)
 class ForestParams:
@@ -59,7 +63,7 @@ def _forest(p: ForestParams, seed: int, max_depth: int, max_bins: int) -> Random
 def fit_forest(
     train: DataFrame, features: Sequence[str], params: ForestParams, seed: int = 42, max_depth: int = MAX_DEPTH, max_bins: int = MAX_BINS
 ) -> PipelineModel:
-    """Forest on the rows of one target; the feature order is stored in the model."""
+    """Forest on the rows of one series; the feature order is stored in the model."""
     steps = [VectorAssembler(inputCols=list(features), outputCol="features"), _forest(params, seed, max_depth, max_bins)]
     return Pipeline(stages=steps).fit(train)
 
@@ -77,8 +81,8 @@ def tune(
     train: DataFrame, features: Sequence[str], grid: Sequence[ForestParams], folds: str = "contiguous", k: int = FOLDS,
     seed: int = 42, parallelism: int = 4, ts: str = "ts", max_depth: int = MAX_DEPTH, max_bins: int = MAX_BINS,
 ) -> list[tuple[ForestParams, float]]:
-    """Mean squared error over k time-ordered folds for each parameter set of one target."""
-    keys = ["target"]
+    """Mean squared error over k time-ordered folds for each parameter set of one series."""
+    keys = list(SERIES)
     label = fold_contiguous if folds == "contiguous" else fold_expanding
     assembled = (
         VectorAssembler(inputCols=list(features), outputCol="features")
@@ -118,17 +122,17 @@ def in_flight(spark: SparkSession, fn: Callable, jobs: Iterable, parallelism: in
         return list(pool.map(inheritable_thread_target(spark)(fn), jobs))
 
 
-def scores_frame(spark: SparkSession, scores: Mapping[str, Sequence[tuple[ForestParams, float]]]) -> DataFrame:
-    """Typed rows (target, params, param_order, mse): one per target and grid point."""
+def scores_frame(spark: SparkSession, scores: Mapping[Series, Sequence[tuple[ForestParams, float]]]) -> DataFrame:
+    """Typed rows (site_id, target, params, param_order, mse): one per series and grid point."""
     rows = [
-        (t, (p.trees, p.features, p.min_leaf), i, float(mse))
+        (*t, (p.trees, p.features, p.min_leaf), i, float(mse))
         for t, per in scores.items()
         for i, (p, mse) in enumerate(per)
     ]
-    return spark.createDataFrame(rows, f"target string, params {PARAMS_SCHEMA}, param_order int, mse double")
+    return spark.createDataFrame(rows, f"site_id string, target string, params {PARAMS_SCHEMA}, param_order int, mse double")
 
 
-def best_params(scores: DataFrame, keys: Sequence[str] = ("target",)) -> DataFrame:
+def best_params(scores: DataFrame, keys: Sequence[str] = SERIES) -> DataFrame:
     """Parameters with the lowest mean error; ties go to the earlier grid point."""
     rank = F.struct("mse", "param_order")
     return scores.groupBy(*keys).agg(F.min_by("params", rank).alias("params"), F.min("mse").alias("mse"))
@@ -138,9 +142,9 @@ def as_params(row) -> ForestParams:
     return ForestParams(**row["params"].asDict())
 
 
-def params_frame(spark: SparkSession, params: Mapping[str, ForestParams]) -> DataFrame:
+def params_frame(spark: SparkSession, params: Mapping[Series, ForestParams]) -> DataFrame:
     return spark.createDataFrame(
-        [(t, tuple(asdict(p).values())) for t, p in params.items()], f"target string, params {PARAMS_SCHEMA}"
+        [(*t, tuple(asdict(p).values())) for t, p in params.items()], f"site_id string, target string, params {PARAMS_SCHEMA}"
     )
 
 
@@ -148,13 +152,13 @@ def refit(
     rows: DataFrame, features: Sequence[str], params: ForestParams, days: int | None = None, seed: int = 42,
     max_depth: int = MAX_DEPTH, max_bins: int = MAX_BINS,
 ) -> PipelineModel:
-    """Final fit on the trailing window of the target, or on every valid row."""
-    recent = rows if days is None else trailing_window(rows, ["target"], days)
+    """Final fit on the trailing window of the series, or on every valid row."""
+    recent = rows if days is None else trailing_window(rows, list(SERIES), days)
     return fit_forest(recent, features, params, seed, max_depth, max_bins)
 
 
-def score(horizon: Mapping[str, DataFrame], models: Mapping[str, PipelineModel], keep: Sequence[str] = ("target", "ts")) -> DataFrame:
-    """Forecasts of every target that has both a model and horizon rows, as one long table."""
+def score(horizon: Mapping[Series, DataFrame], models: Mapping[Series, PipelineModel], keep: Sequence[str] = (*SERIES, "ts")) -> DataFrame:
+    """Forecasts of every series that has both a model and horizon rows, as one long table."""
     out = None
     for target in sorted(models):
         if target not in horizon:
@@ -162,17 +166,17 @@ def score(horizon: Mapping[str, DataFrame], models: Mapping[str, PipelineModel],
         one = models[target].transform(horizon[target]).select(*keep, F.col("yhat"))
         out = one if out is None else out.unionByName(one)
     if out is None:
-        raise ValueError("no target has both a model and history")
+        raise ValueError("no series has both a model and history")
     return out
 
 
-def importances(spark: SparkSession, models: Mapping[str, PipelineModel]) -> DataFrame:
-    """Feature importances by name, highest first within a target: one row per model feature."""
+def importances(spark: SparkSession, models: Mapping[Series, PipelineModel]) -> DataFrame:
+    """Feature importances by name, highest first within a series: one row per model feature."""
     rows = [
-        (t, name, float(v))
+        (*t, name, float(v))
         for t, m in models.items()
         for name, v in zip(feature_order(m), m.stages[-1].featureImportances.toArray())
     ]
-    return spark.createDataFrame(rows, "target string, feature string, importance double").orderBy(
-        "target", F.desc("importance"), "feature"
+    return spark.createDataFrame(rows, "site_id string, target string, feature string, importance double").orderBy(
+        *SERIES, F.desc("importance"), "feature"
     )

@@ -104,15 +104,13 @@ def zone_prices(prices: DataFrame, zones: Sequence[str], zone: str = "zone", per
     return prices.where(F.col(zone).isin(*zones))
 
 
-def params_for(targets: DataFrame, params: DataFrame) -> DataFrame:
-    """Stored parameters per target; raises when a target has none.
-
-    Both sides hold one row per target.
-    """
-    lacking = targets.join(params, "target", "left_anti").limit(5).collect()
+def params_for(targets: DataFrame, params: DataFrame, on: Sequence[str] = ("target",)) -> DataFrame:
+    """Stored parameters per model; raises when one has none. Both sides hold one row per model."""
+    on = list(on)
+    lacking = targets.join(params, on, "left_anti").limit(5).collect()
     if lacking:
-        raise ValueError(f"no stored parameters for {[r['target'] for r in lacking]}")
-    return targets.join(params, "target")
+        raise ValueError(f"no stored parameters for {[tuple(r[c] for c in on) for r in lacking]}")
+    return targets.join(params, on)
 
 
 def scorable(panel: DataFrame, models: DataFrame, on: str = "target") -> tuple[DataFrame, DataFrame]:

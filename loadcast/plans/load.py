@@ -15,8 +15,8 @@ from ..functions.scalars import clip, zero_in_months
 from ..functions.timecols import DAY, HOUR, shift, to_local
 from ..operators.clean import conform, dedup_first, valid_rows
 from ..operators.forest import (
-    FINAL_DAYS, ForestParams, as_params, best_params, feature_order, fit_forest, in_flight, score,
-    scores_frame, tune,
+    FINAL_DAYS, SERIES, ForestParams, Series, as_params, best_params, feature_order, fit_forest, in_flight,
+    score, scores_frame, tune,
 )
 from ..operators.grid import between_ts, bin_mean, day_horizon, spine, to_grid
 from ..operators.history import next_window, params_for, upsert
@@ -190,37 +190,44 @@ def training_panel(
 
 @dataclass
 class Trained:
-    """Result of a training run: models by target, typed metrics, fold scores."""
+    """Result of a training run: models by (site_id, target), typed metrics, fold scores."""
 
-    models: dict[str, PipelineModel]
+    models: dict[Series, PipelineModel]
     metrics: DataFrame
     scores: DataFrame
     features: list[str] = field(default_factory=list)
 
 
-def target_names(panel: DataFrame) -> list[str]:
-    """Distinct targets, sorted: one row per model reaches the driver."""
-    return [r[0] for r in panel.select("target").distinct().orderBy("target").collect()]
+def series_of(panel: DataFrame) -> list[Series]:
+    """Distinct (site_id, target), sorted: one row per model reaches the driver."""
+    return [tuple(r) for r in panel.select(*SERIES).distinct().orderBy(*SERIES).collect()]
+
+
+def rows_of(panel: DataFrame, series: Series) -> DataFrame:
+    """The rows of one series; as literals, so a panel staged by series reads one folder."""
+    site, target = series
+    return panel.where((F.col("site_id") == site) & (F.col("target") == target))
 
 
 def train_load_models(
     panel: DataFrame, features: Sequence[str], train_end: Column, test_start: Column | None, grid: Sequence[ForestParams],
     folds: str = "contiguous", k: int = 3, final_days: int | None = FINAL_DAYS, seed: int = 42, parallelism: int = 4, **forest,
 ) -> Trained:
-    """Tune, test on the held-out period, refit, for every target of the panel."""
+    """Tune, test on the held-out period, refit, for every series (site and target) of the panel."""
     spark = panel.sparkSession
-    split = stage(panel.withColumn("split", split_label("ts", train_end, test_start)), "panel", ["target"])
-    names = target_names(panel)
+    split = stage(panel.withColumn("split", split_label("ts", train_end, test_start)), "panel", SERIES)
+    names = series_of(split)
+    keys = list(SERIES)
 
-    def one(target: str):
-        rows = split.where(F.col("target") == target)
+    def one(series: Series):
+        rows = rows_of(split, series)
         train, test = rows.where(F.col("split") == "train"), rows.where(F.col("split") == "test")
         if train.isEmpty() or test.isEmpty():
-            raise ValueError(f"{target}: no rows to train on or none to test on")
+            raise ValueError(f"{series}: no rows to train on or none to test on")
         scores = tune(train, features, grid, folds, k, seed, parallelism, **forest)
         best = min(scores, key=lambda s: s[1])[0]
-        tested = fit_forest(train, features, best, seed, **forest).transform(test).select("target", "ts", "y", "yhat")
-        final = rows if final_days is None else trailing_window(rows, ["target"], final_days)
+        tested = fit_forest(train, features, best, seed, **forest).transform(test).select(*keys, "ts", "y", "yhat")
+        final = rows if final_days is None else trailing_window(rows, keys, final_days)
         return scores, best, tested, fit_forest(final, features, best, seed, **forest), final
 
     results = dict(zip(names, in_flight(spark, one, names, min(parallelism, 2))))
@@ -228,23 +235,23 @@ def train_load_models(
     finals = None
     for _, _, rows, _, final in results.values():
         tested = rows if tested is None else tested.unionByName(rows)
-        one_final = final.select("target", "ts")
+        one_final = final.select(*keys, "ts")
         finals = one_final if finals is None else finals.unionByName(one_final)
-    measured = regression_metrics(tested, ["target"]).drop("n_rows")
+    measured = regression_metrics(tested, keys).drop("n_rows")
     scores = scores_frame(spark, {t: r[0] for t, r in results.items()})
-    stats = period_stats(split.where(F.col("split").isNotNull()), ["target", "split"])
-    by = stats.groupBy("target").agg(
+    stats = period_stats(split.where(F.col("split").isNotNull()), [*keys, "split"])
+    by = stats.groupBy(*keys).agg(
         *[
             F.max(F.when(F.col("split") == s, F.col(c))).alias(n)
             for s in ("train", "test")
             for c, n in (("period_start", f"{s}_start"), ("period_end", f"{s}_end"), ("n_samples", f"n_{s}"))
         ]
     )
-    last = period_stats(finals, ["target"]).select(
-        "target", F.col("period_start").alias("final_train_start"), F.col("period_end").alias("final_train_end"),
+    last = period_stats(finals, keys).select(
+        *keys, F.col("period_start").alias("final_train_start"), F.col("period_end").alias("final_train_end"),
         F.col("n_samples").alias("final_train_samples"),
     )
-    metrics = best_params(scores).drop("mse").join(measured, "target").join(by, "target").join(last, "target")
+    metrics = best_params(scores).drop("mse").join(measured, keys).join(by, keys).join(last, keys)
     return Trained({t: r[3] for t, r in results.items()}, metrics, scores, list(features))
 
 
@@ -278,61 +285,75 @@ def scoring_matrix(
     return fill_linear(full, keys, [*features, *names], both=True)
 
 
-def require_known(matrix: DataFrame, needed: Mapping[str, Sequence[str]]) -> None:
-    """Raise, with the columns, where a feature of a target is still unknown after repair; one pass over the horizon."""
+def require_known(matrix: DataFrame, needed: Mapping[Series, Sequence[str]]) -> None:
+    """Raise, with the columns, where a feature of a series is still unknown after repair; one pass over the horizon."""
     names = sorted({n for per in needed.values() for n in per})
-    counts = matrix.groupBy("target").agg(*[F.count_if(F.col(f"`{n}`").isNull()).alias(n) for n in names]).collect()
-    unknown = {r["target"]: [n for n in needed[r["target"]] if r[n]] for r in counts if r["target"] in needed}
+    counts = matrix.groupBy(*SERIES).agg(*[F.count_if(F.col(f"`{n}`").isNull()).alias(n) for n in names]).collect()
+    unknown = {(r[0], r[1]): [n for n in needed[r[0], r[1]] if r[n]] for r in counts if (r[0], r[1]) in needed}
     if unknown := {t: cols for t, cols in unknown.items() if cols}:
         raise ValueError(f"features still unknown after repair: {unknown}")
 
 
 def forecast_load(
-    history: DataFrame, weather: DataFrame, holidays: DataFrame, models: Mapping[str, PipelineModel], day: str, tz: str,
+    history: DataFrame, weather: DataFrame, holidays: DataFrame, models: Mapping[Series, PipelineModel], day: str, tz: str,
     zero_months: Sequence[int] = (), **options,
 ) -> DataFrame:
-    """Day-ahead forecast (site, target, ts, yhat, ts_local) of every target with model and history.
+    """Day-ahead forecast (site, target, ts, yhat, ts_local) of every series with model and history.
 
     A day in the zero months is an all-zero forecast that reads no history.
     """
     d = F.lit(day).cast("date")
     if int(day[5:7]) in zero_months:
-        sites = weather.select("site_id").distinct()
-        named = sites.withColumn("target", F.explode(F.array(*[F.lit(t) for t in sorted(models)])))
-        out = day_horizon(named, ["site_id", "target"], d, tz).withColumn("yhat", F.lit(0.0))
+        named = history.sparkSession.createDataFrame(sorted(models), "site_id string, target string")
+        out = day_horizon(named, list(SERIES), d, tz).withColumn("yhat", F.lit(0.0))
         return out.withColumn("ts_local", to_local("ts", tz))
-    # Staged by target: one model reads one folder, and the history is repaired once.
-    wanted = history.where(F.col("target").isin(*models))
-    matrix = stage(scoring_matrix(wanted, feature_horizon(weather, holidays, d, tz), d, tz, **options), "scoring", ["target"])
-    have = target_names(matrix)
+    # Staged by series: one model reads one folder, and the history is repaired once.
+    named = history.sparkSession.createDataFrame(sorted(models), "site_id string, target string")
+    wanted = history.join(named, list(SERIES), "left_semi")
+    matrix = stage(scoring_matrix(wanted, feature_horizon(weather, holidays, d, tz), d, tz, **options), "scoring", SERIES)
+    have = series_of(matrix)
     if left_out := sorted(set(models) - set(have)):
-        warnings.warn(f"targets without history, not forecast: {left_out}", stacklevel=2)
+        warnings.warn(f"series without history, not forecast: {left_out}", stacklevel=2)
     rows = {}
     for t in have:
-        rows[t] = conform(matrix.where(F.col("target") == t), feature_order(models[t]), ["site_id", "target", "ts"])
+        rows[t] = conform(rows_of(matrix, t), feature_order(models[t]), [*SERIES, "ts"])
     require_known(matrix, {t: feature_order(models[t]) for t in have})
-    return score(rows, models, ("site_id", "target", "ts")).withColumn("ts_local", to_local("ts", tz))
+    return score(rows, models).withColumn("ts_local", to_local("ts", tz))
 
 
 def retrain_load(
     spark: SparkSession, history: DataFrame, new_block: DataFrame, params: DataFrame, targets: Sequence[str], days: int | None = FINAL_DAYS,
     features: Sequence[str] = BASE_FEATURES, hours: Sequence[int] = DEFAULT_LAGS, nonzero: bool = False, seed: int = 42,
     parallelism: int = 4, **forest,
-) -> tuple[DataFrame, dict[str, PipelineModel]]:
-    """Upsert a new dataset block and refit every target from its stored parameters.
+) -> tuple[DataFrame, dict[Series, PipelineModel]]:
+    """Upsert a new dataset block and refit every series of the targets from its stored parameters.
 
     Lags are taken before the trailing window is cut, so the window keeps its first week.
     """
     current = upsert(history, new_block, ["site_id", "ts"])
     panel, names = training_panel(current, targets, features, hours, nonzero)
-    wanted = spark.createDataFrame([(t,) for t in targets], "target string")
-    chosen = {r["target"]: as_params(r) for r in params_for(wanted, params).collect()}
-    recent = stage(panel if days is None else trailing_window(panel, ["target"], days), "panel", ["target"])
+    recent = stage(panel if days is None else trailing_window(panel, list(SERIES), days), "panel", SERIES)
+    wanted = recent.select(*SERIES).distinct()
+    chosen = {(r["site_id"], r["target"]): as_params(r) for r in params_for(wanted, params, SERIES).collect()}
+
+    def one(series: Series) -> PipelineModel:
+        return fit_forest(rows_of(recent, series), names, chosen[series], seed, **forest)
 
-    def one(target: str) -> PipelineModel:
-        return fit_forest(recent.where(F.col("target") == target), names, chosen[target], seed, **forest)
+    every = sorted(chosen)
+    return current, dict(zip(every, in_flight(spark, one, every, parallelism)))
 
-    return current, dict(zip(targets, in_flight(spark, one, targets, parallelism)))
+
+def retrain_from_readings(
+    readings: DataFrame, history: DataFrame, now: Column, build, tz: str, params: DataFrame, targets: Sequence[str], **options
+) -> tuple[DataFrame, dict[Series, PipelineModel]]:
+    """The retraining job: take the readings that are due, build their dataset block, upsert it and refit.
+
+    ``build`` turns a block of readings into dataset rows with the history's columns. A block is built with its own
+    readings only, so it starts with the next whole quarter-hour after the history.
+    """
+    block = stage(missing_block(readings, history, now, tz), "due-readings")
+    new = history.limit(0) if block.isEmpty() else build(block).select(*history.columns)
+    return retrain_load(history.sparkSession, history, new, params, targets, **options)
 
 
 def missing_block(

@@ -12,7 +12,7 @@ from ...operators.pricing import price_design, robust_scale
 from ...operators.splits import regression_metrics, split_label
 from ...sources.models import load_models, save_models
 from ...sources.weather import explode_regular_block
-from ..load import forecast_load, retrain_load, target_names, train_load_models, training_panel, wide_dataset
+from ..load import forecast_load, retrain_load, rows_of, series_of, train_load_models, training_panel, wide_dataset
 from ..pricejobs import design_and_anchors, forecast_prices
 from .aggregates import DAYS_IN_WINDOW, LAST_DAY, window_design
 from .base import PRICES, TZ, Tables, query, rnd
@@ -117,12 +117,12 @@ def _split(rows):
 
 @query("rf_fit")
 def rf_fit(t: Tables):
-    """Held-out metrics of one forest per target."""
+    """Held-out metrics of one forest per series."""
     rows, names = panel(t)
     split = _split(rows)
     tested = None
-    for target in target_names(rows):
-        own = split.where(F.col("target") == target)
+    for series in series_of(rows):
+        own = rows_of(split, series)
         model = fit_forest(own.where(F.col("split") == "train"), names, SMALL, **SIZE)
         scored = model.transform(own.where(F.col("split") == "test")).select("target", "y", "yhat")
         tested = scored if tested is None else tested.unionByName(scored)
@@ -132,7 +132,7 @@ def rf_fit(t: Tables):
 def _tuned(t: Tables, folds: str):
     rows, names = panel(t)
     train = _split(rows).where(F.col("split") == "train")
-    scores = {x: tune(train.where(F.col("target") == x), names, GRID_POINTS, folds, **SIZE) for x in target_names(rows)}
+    scores = {x: tune(rows_of(train, x), names, GRID_POINTS, folds, **SIZE) for x in series_of(rows)}
     return scores_frame(t.spark, scores).select("target", "param_order", "params.*", "mse")
 
 
@@ -151,21 +151,21 @@ def rf_refit(t: Tables):
     """Forecasts of the forests refitted on the last 14 days, over every valid row."""
     rows, names = panel(t)
     out = None
-    for target in target_names(rows):
-        own = rows.where(F.col("target") == target)
+    for series in series_of(rows):
+        own = rows_of(rows, series)
         scored = refit(own, names, SMALL, days=14, **SIZE).transform(own).select("target", "ts", "yhat")
         out = scored if out is None else out.unionByName(scored)
     return out
 
 
 def _models(t: Tables):
-    """Forests of every target, saved once per session and loaded from their folders."""
+    """Forests of every series, saved once per session and loaded from their folders."""
     return load_models(t.spark, t.once("forests", lambda path: _save_forests(t, path)))
 
 
 def _save_forests(t: Tables, path: str) -> None:
     rows, names = panel(t)
-    fitted = {x: refit(rows.where(F.col("target") == x), names, SMALL, **SIZE) for x in target_names(rows)}
+    fitted = {x: refit(rows_of(rows, x), names, SMALL, **SIZE) for x in series_of(rows)}
     save_models(t.spark, fitted, path)
 
 
@@ -175,7 +175,7 @@ def rf_retrain(t: Tables):
     data = dataset(t)
     history = data.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp"))
     block = data.where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp"))
-    params = params_frame(t.spark, dict.fromkeys(TARGETS, SMALL))
+    params = params_frame(t.spark, dict.fromkeys([("S1", x) for x in TARGETS], SMALL))
     _, models = retrain_load(t.spark, history, block, params, TARGETS, 14, FEATURES, LAGS, **SIZE)
     return importances(t.spark, models)
 

@@ -7,12 +7,16 @@ from conftest import stamps
 from pyspark.sql import functions as F
 
 from loadcast.functions.holidays import holiday_dimension
-from loadcast.operators.forest import ForestParams, best_params, default_grid, importances, params_frame, scores_frame, tune
+from loadcast.operators.forest import (
+    ForestParams, best_params, default_grid, fit_forest, importances, params_frame, scores_frame, trees_at_limit, tune,
+)
 from loadcast.operators.lags import lag_name
 from loadcast.operators.lasso import _rules, fit_day, l1_path, path_at, penalty_by_aic, penalty_by_cv
 from loadcast.operators.pricing import n_features, price_design, small_mode
 from loadcast.operators.splits import fold_contiguous, regression_metrics
-from loadcast.plans.load import forecast_load, retrain_load, train_load_models, training_panel
+from loadcast.plans.load import (
+    forecast_load, require_known, retrain_from_readings, retrain_load, train_load_models, training_panel,
+)
 from loadcast.plans.pricejobs import design_and_anchors, forecast_prices
 from loadcast.sources.models import load_models, model_registry, save_models
 
@@ -186,7 +190,7 @@ def test_training_job(spark, data):
     grid = [ForestParams(1, "log2", 400), SMALL]
     done = train_load_models(panel, names, F.lit("2024-01-17").cast("timestamp"), None, grid, final_days=10, **SIZE)
     m = {r["target"]: r for r in done.metrics.collect()}
-    assert set(m) == {"a", "b"} == set(done.models)
+    assert set(m) == {"a", "b"} and set(done.models) == {("S1", "a"), ("S1", "b")}
     for r in m.values():
         assert r["params"]["trees"] == 8 and r["r2"] > 0.8
         assert r["train_end"] == pd.Timestamp("2024-01-17") and r["test_start"] == pd.Timestamp("2024-01-17 00:15")
@@ -198,7 +202,7 @@ def test_training_job(spark, data):
 def test_expanding_folds_only_look_back(spark, data):
     panel, names = training_panel(data, ["a"], FEATURES, [48])
     scores = tune(panel, names, [SMALL, ForestParams(1, "log2", 500)], "expanding", **SIZE)
-    best = best_params(scores_frame(spark, {"a": scores})).first()
+    best = best_params(scores_frame(spark, {("S1", "a"): scores})).first()
     assert best["params"]["trees"] == 8
     folds = fold_contiguous(panel, ["target"], 3).groupBy("fold").agg(F.min("ts").alias("a"), F.max("ts").alias("z")).orderBy("fold").collect()
     assert folds[0]["z"] < folds[1]["a"] and folds[1]["z"] < folds[2]["a"]
@@ -209,7 +213,7 @@ def test_forecast_day_from_saved_models(spark, data, tmp_path):
     history = data.unpivot(["site_id", "ts"], ["a", "b"], "target", "y")
     _, models = retrain_load(
         spark, data.where(F.col("ts") < F.lit("2024-01-15").cast("timestamp")), data.where(F.col("ts") >= F.lit("2024-01-10").cast("timestamp")),
-        params_frame(spark, {"a": SMALL, "b": SMALL}), ["a", "b"], 14, FEATURES, [48, 168], **SIZE,
+        params_frame(spark, {("S1", "a"): SMALL, ("S1", "b"): SMALL}), ["a", "b"], 14, FEATURES, [48, 168], **SIZE,
     )
     save_models(spark, models, str(tmp_path))
     assert [r["target"] for r in model_registry(spark, str(tmp_path)).collect()] == ["a", "b"]
@@ -226,5 +230,42 @@ def test_forecast_day_from_saved_models(spark, data, tmp_path):
     assert ranked[0]["importance"] == max(r["importance"] for r in ranked) and len(ranked) == len(names)
 
 
+def test_each_site_has_its_own_models(spark, data):
+    """Equal target names on two sites: every model sees its own site's rows only."""
+    other = data.withColumn("site_id", F.lit("S2")).withColumn("a", 1000 - F.col("a"))
+    panel, names = training_panel(data.unionByName(other), ["a"], FEATURES, [48])
+    done = train_load_models(panel, names, F.lit("2024-01-17").cast("timestamp"), None, [SMALL], final_days=10, **SIZE)
+    rows = {(r["site_id"], r["target"]): r for r in done.metrics.collect()}
+    assert set(rows) == {("S1", "a"), ("S2", "a")} == set(done.models)
+    assert all(r["r2"] > 0.8 and r["rmse"] < 20 for r in rows.values())
+    assert rows["S1", "a"]["n_train"] == panel.where("site_id = 'S1'").where(F.col("ts") <= F.lit("2024-01-17").cast("timestamp")).count()
+
+
+def test_scoring_names_unknown_features(spark):
+    matrix = spark.createDataFrame([("S", "a", 1.0, None), ("S", "a", None, 2.0), ("S", "b", 1.0, None)], "site_id string, target string, x double, z double")
+    with pytest.raises(ValueError, match=r"'a'\): \['x', 'z'\]"):
+        require_known(matrix, {("S", "a"): ["x", "z"], ("S", "b"): ["x"]})
+    require_known(matrix, {("S", "b"): ["x"]})
+
+
+def test_trees_at_their_depth_limit_are_counted(spark, data):
+    panel, names = training_panel(data, ["a"], FEATURES, [48])
+    model = fit_forest(panel, names, SMALL, max_depth=3)
+    assert trees_at_limit(model, 3) == SMALL.trees and trees_at_limit(model) == 0
+
+
+def test_retraining_job(spark, data):
+    """Due readings to a block, upsert, refit, as one job."""
+    history = data.where(F.col("ts") < F.lit("2024-01-18").cast("timestamp"))
+    ends = F.lit("2024-01-21 12:00:00").cast("timestamp")
+    readings = data.select("site_id", "ts")
+    current, models = retrain_from_readings(
+        readings, history, ends, lambda block: block.join(data, ["site_id", "ts"]), TZ, params_frame(spark, {("S1", "a"): SMALL}), ["a"],
+        days=14, features=FEATURES, hours=[48], **SIZE,
+    )
+    assert set(models) == {("S1", "a")}
+    assert current.count() == data.where(F.col("ts") < F.lit("2024-01-19 23:00:00").cast("timestamp")).count()
+
+
 def test_default_grid():
     assert len(default_grid()) == 75

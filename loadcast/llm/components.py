@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import keep
 
 
+def stars(own: np.ndarray, met: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect what ``links`` connects: each row and column that has one, with the smallest id it reaches.
+
+    Smallest ids pass between rows and columns until nothing changes, so what comes out is no larger than the sides.
+    """
+    rows, cols = np.flatnonzero(links.any(axis=1)), np.flatnonzero(links.any(axis=0))
+    some = links[np.ix_(rows, cols)]
+    row_id, col_id = own[rows], met[cols]
+    row_low, col_low = row_id.copy(), col_id.copy()
+    most = np.iinfo(np.int64).max
+    while True:
+        new_row = np.minimum(row_low, np.where(some, col_low[None, :], most).min(axis=1))
+        new_col = np.minimum(col_low, np.where(some, new_row[:, None], most).min(axis=0))
+        if (new_row == row_low).all() and (new_col == col_low).all():
+            break
+        row_low, col_low = new_row, new_col
+    return np.concatenate([row_id, col_id]), np.concatenate([row_low, col_low])
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b): the smallest node reachable.
 

@@ -1,14 +1,17 @@
 """MinHash near-dedup with HyperMinHash registers.
 
-A document's shingle hashes fall into 128 buckets by their first bits; of each bucket's smallest hash, a register keeps
+A document's shingle hashes fall into 512 buckets by their first bits; of each bucket's smallest hash, a register keeps
 the count of leading zeros and the next ten bits. Empty buckets borrow from a filled one, tried in an order fixed per
-bucket. Bands of four registers are the keys by which documents meet. Likeness is estimated from equal registers,
-corrected for those that are equal by chance, and pairs that can be links are verified on the full shingle sets.
-
-Documents with equal sets are one node throughout. A bucket of many nodes is never expanded into all pairs: each bucket
-picks a few centers and compares them to the rest; nodes that are linked, over whatever chain, need no comparison any
-more. The pairs left in a bucket, between nodes of different components, are all compared once there are few, so no
-link between components is lost that a shared band could show.
+bucket. Bands of eight registers are the keys by which documents meet: steep enough that documents which only share a
+passage rarely do. Likeness is estimated from equal registers, corrected for those that are equal by chance, and
+what can be a link is verified on the full shingle sets.
+
+Documents with equal sets are one node throughout, and buckets of the same nodes are one bucket. A bucket is never
+expanded into rows of pairs. First, every node is compared to one center of each of its buckets, which connects most of
+what belongs together. Then, in the buckets whose nodes still lie in different components, tasks compare the nodes in
+memory: by estimate all of them, by full sets those that have a possible partner. Large buckets are cut into blocks, so
+a task holds two blocks at a time. No link that a shared band could show is lost, and a task returns links enough to
+connect what it found.
 """
 
 from __future__ import annotations
@@ -18,23 +21,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, python_ready, text_of
-from .components import components
+from .common import keep, mixed, parts_of, python_ready, text_of
+from .components import components, stars
 from .shingles import WORDS, shingle_set
 
-REGISTERS = 128
-BAND = 4
+REGISTERS = 512
+BAND = 8
 BANDS = REGISTERS // BAND
 MANTISSA = 10
 PERCENT = 80
-# Standard errors of the estimate below the bound at which a pair is given up, from sets large enough to estimate by.
+# Standard errors of the estimate below the bound at which a pair is given up; registers it is made from.
 SURE = 6
-LARGE = 4 * REGISTERS
-# Pairs left, as a multiple of the table of bucket members, at which all are compared.
-FEW = 4
+COMPARED = 256
+# Nodes, and shingles, of a block of a bucket.
+BLOCK, BLOCK_SHINGLES = 1000, 2_000_000
+_COLUMNS = 4096
 # Ids that are sent to every task to pick texts by, 8 bytes each; beyond, the texts are shuffled.
 MOST_SENT = 2_000_000
 
@@ -83,11 +87,29 @@ def _chance(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 def estimate(a: np.ndarray, b: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Collision-corrected likeness of rows of registers, of sets of n and m hashes."""
-    equal = (a == b).mean(axis=1)
-    by_chance = _chance(n.astype(float), m.astype(float))
+    return _corrected((a == b).mean(axis=1), n, m)
+
+
+def _corrected(equal: np.ndarray, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    by_chance = _chance(np.asarray(n, float), np.asarray(m, float))
     return np.clip((equal - by_chance) / (1 - by_chance), 0, 1)
 
 
+def _least(percent: int, n: np.ndarray, m: np.ndarray) -> np.ndarray:
+    """Estimate below which a pair cannot be a link, but for a chance in a thousand million.
+
+    Registers of a small set repeat its few hashes, which doubles the variance of as many draws at most.
+    """
+    p = percent / 100
+    return p - SURE * np.sqrt(2 * p * (1 - p) / np.minimum(COMPARED, np.minimum(n, m)))
+
+
+def _band_keys(r: np.ndarray) -> np.ndarray:
+    """A 64-bit key per band of eight 16-bit registers."""
+    two = np.ascontiguousarray(r, "<u2").view("<u8").reshape(BANDS, 2)
+    return mixed(mixed(two[:, 0]) + two[:, 1]).view("<i8")
+
+
 def _sketch(words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -96,7 +118,7 @@ def _sketch(words: int):
                 s = shingle_set(text, words)
                 n.append(len(s))
                 codes.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                bands.append(registers(s).view("<i8") if len(s) else None)
+                bands.append(_band_keys(registers(s)) if len(s) else None)
             yield pd.DataFrame(
                 {"doc_id": b["doc_id"], "no_id": b["no_id"], "content": b["content"], "n_shingles": n, "code": codes, "bands": bands}
             )
@@ -105,7 +127,7 @@ def _sketch(words: int):
 
 
 def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """Per row: doc_id, no_id, content (a hash of the text), n_shingles, code (of the set), bands (of registers)."""
+    """Per row: doc_id, no_id, content (a hash of the text), n_shingles, code (of the set), bands (keys)."""
     doc_id = F.col("doc_id").cast("long")
     given = docs.select(
         F.coalesce(doc_id, F.lit(0)).alias("doc_id"), doc_id.isNull().alias("no_id"), text_of().alias("text"),
@@ -119,83 +141,188 @@ def sketches(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def _sets(words: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            found = [shingle_set(t, words).tobytes() for t in b["text"]]
-            yield pd.DataFrame({"node": b["node"], "shingles": found})
+            found = [shingle_set(t, words) for t in b["text"]]
+            some = [registers(x)[:COMPARED].astype("<u2").tobytes() for x in found]
+            yield pd.DataFrame({"node": b["node"], "shingles": [x.tobytes() for x in found], "some": some})
 
     return run
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """The full shingle set of each of ``nodes`` (node, least, content), from the text of its first document."""
+    """(node, shingles, some registers) of each of ``nodes`` (node, least, content), from the text of its first document."""
     wanted = keep(nodes.select("node", F.col("least").alias("of"), F.col("content").alias("as")), "mh-wanted")
     if wanted.count() <= MOST_SENT:
         wanted = F.broadcast(wanted)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     met = given.join(wanted, (F.col("doc_id") == F.col("of")) & (F.xxhash64("text") == F.col("as")))
-    return keep(met.select("node", "text").mapInPandas(_sets(words), "node long, shingles binary").dropDuplicates(["node"]), "mh-sets")
+    found = met.select("node", "text").mapInPandas(_sets(words), "node long, shingles binary, some binary")
+    # Repeated rows give a node's set more than once.
+    return keep(found.groupBy("node").agg(F.any_value("shingles").alias("shingles"), F.any_value("some").alias("some")), "mh-sets")
+
+
+def _fit(n: Column, m: Column, percent: int) -> Column:
+    """Sizes that a link allows."""
+    return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
 
 def _possible(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = percent / 100
-        least = p - SURE * np.sqrt(p * (1 - p) / REGISTERS)
         for b in batches:
             if len(b):
-                a, c = (np.stack(b[x]).astype("<i8").view(np.uint16) for x in ("a_bands", "b_bands"))
+                x, y = (np.stack([np.frombuffer(r, "<u2") for r in b[c]]) for c in ("a_some", "b_some"))
                 n, m = b["a_n"].to_numpy(), b["b_n"].to_numpy()
-                small = np.minimum(n, m) < LARGE
-                yield b.loc[small | (estimate(a, c, n, m) >= least), ["a", "b"]]
+                yield b.loc[estimate(x, y, n, m) >= _least(percent, n, m), ["a", "b"]]
 
     return run
 
 
+def _linked(shared: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * shared >= percent * (n + m - shared)
+
+
 def _verified(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             ok = []
             for x, y in zip(b["a_set"], b["b_set"]):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                n = len(np.intersect1d(x, y, assume_unique=True))
-                ok.append(100 * n >= percent * (len(x) + len(y) - n))
+                ok.append(_linked(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent))
             yield b.loc[np.array(ok, bool), ["a", "b"]]
 
     return run
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b, a_n, b_n) that are links: by size, by estimate, then by full sets."""
+def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b, a_n, b_n) that are links: by estimate, then by full sets."""
     for side in ("a", "b"):
-        one = nodes.select(F.col("node").alias(f"{side}_node"), F.col("bands").alias(f"{side}_bands"))
+        one = sets.select(F.col("node").alias(f"{side}_node"), F.col("some").alias(f"{side}_some"))
         pairs = pairs.join(one, F.col(side) == F.col(f"{side}_node"))
-    pairs = pairs.select("a", "b", "a_n", "b_n", "a_bands", "b_bands").mapInPandas(_possible(percent), "a long, b long")
+    pairs = pairs.select("a", "b", "a_n", "b_n", "a_some", "b_some").mapInPandas(_possible(percent), "a long, b long")
     for side in ("a", "b"):
         one = sets.select(F.col("node").alias(f"{side}_node"), F.col("shingles").alias(f"{side}_set"))
         pairs = pairs.join(one, F.col(side) == F.col(f"{side}_node"))
     return keep(pairs.select("a", "b", "a_set", "b_set").mapInPandas(_verified(percent), "a long, b long"), "mh-links")
 
 
-def _pairs(members: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs of ``members`` and ``chosen`` of a bucket, of different components and fit in size."""
-    c = chosen.select(F.col("bucket").alias("at"), F.col("node").alias("c"), F.col("n").alias("c_n"), F.col("label").alias("c_label"))
-    fit = F.least("n", "c_n") * 100 >= F.greatest("n", "c_n") * percent
-    met = members.join(c, (F.col("bucket") == F.col("at")) & (F.col("label") != F.col("c_label")) & fit)
-    first = F.col("node") < F.col("c")
-    return met.select(
-        F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"),
-        F.when(first, F.col("n")).otherwise(F.col("c_n")).alias("a_n"), F.when(first, F.col("c_n")).otherwise(F.col("n")).alias("b_n"),
-    ).distinct()
+def _groups(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.DataFrame]:
+    """Whole groups of rows that come sorted by ``keys``; what is held is one group."""
+    held: list[pd.DataFrame] = []
+    last = None
+    for b in batches:
+        if not len(b):
+            continue
+        k = b[keys].to_numpy()
+        cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1).tolist(), len(b)]
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            now = tuple(k[i])
+            if held and now != last:
+                yield held[0] if len(held) == 1 else pd.concat(held)
+                held = []
+            held.append(b.iloc[i:j])
+            last = now
+    if held:
+        yield held[0] if len(held) == 1 else pd.concat(held)
+
+
+def _open(g: pd.DataFrame, percent: int) -> np.ndarray:
+    """Pairs of a group of blocks that are still to compare: of different components, fit in size, and of both blocks."""
+    label, n, block = g["label"].to_numpy(), g["n"].to_numpy(), g["block"].to_numpy()
+    low, high = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
+    out = (label[:, None] != label[None, :]) & (100 * low >= percent * high)
+    if g["block_a"].iloc[0] != g["block_b"].iloc[0]:
+        out &= block[:, None] != block[None, :]
+    return out
+
 
+_GROUP = ["bucket", "block_a", "block_b"]
 
-def _labelled(members: DataFrame, found: DataFrame | None) -> DataFrame:
-    """``members`` with the component known so far, without buckets all of one component."""
-    if found is not None:
-        names = components(found).select(F.col("node").alias("of"), "component")
-        members = members.join(names, F.col("node") == F.col("of"), "left").select(
-            "bucket", "node", "n", F.coalesce("component", "node").alias("label")
-        )
-    mixed_buckets = members.groupBy(F.col("bucket").alias("at")).agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-    mixed_buckets = mixed_buckets.where(F.col("lo") != F.col("hi")).select("at")
-    return keep(members.join(mixed_buckets, F.col("bucket") == F.col("at"), "left_semi"), "mh-members")
+
+def _with_partner(percent: int):
+    """Nodes of a group that some other node may link with, by estimate."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in _groups(batches, _GROUP):
+            x = np.stack([np.frombuffer(r, "<u2") for r in g["some"]])
+            n = g["n"].to_numpy()
+            todo = _open(g, percent)
+            some = np.zeros(len(g), bool)
+            for i in np.flatnonzero(todo.any(axis=1)):
+                j = np.flatnonzero(todo[i, i + 1 :]) + i + 1
+                if len(j):
+                    m = np.full(len(j), n[i])
+                    ok = _corrected((x[i] == x[j]).mean(axis=1), m, n[j]) >= _least(percent, m, n[j])
+                    some[i] |= ok.any()
+                    some[j[ok]] = True
+            if some.any():
+                yield g.loc[some, [*_GROUP, "block", "node", "n", "label"]]
+
+    return run
+
+
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections: products of the incidence matrix, without hashes that only one set has."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = times[column] > 1
+    owner, column = owner[common], column[common]
+    out = np.zeros((len(sets), len(sets)), np.float32)  # whole numbers, exact up to 2**24 a product
+    total = np.zeros((len(sets), len(sets)), np.int64)
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    used, column = np.unique(column, return_inverse=True)
+    edges = np.searchsorted(column, np.arange(0, len(used) + _COLUMNS, _COLUMNS))
+    for k, (i, j) in enumerate(zip(edges[:-1], edges[1:])):
+        m = np.zeros((len(sets), _COLUMNS), np.float32)
+        m[owner[i:j], column[i:j] - k * _COLUMNS] = 1
+        np.matmul(m, m.T, out=out)
+        total += out.astype(np.int64)
+    return total
+
+
+def _block_links(percent: int):
+    """Links enough to connect what full sets connect within a group."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for g in _groups(batches, _GROUP):
+            sets, n = [np.frombuffer(s, np.uint64) for s in g["shingles"]], g["n"].to_numpy()
+            if len(g) == 2:
+                shared = np.full((2, 2), len(np.intersect1d(*sets, assume_unique=True)))
+            else:
+                shared = shared_counts(sets)
+            links = _open(g, percent) & _linked(shared, n[:, None], n[None, :], percent)
+            if links.any():
+                node = g["node"].to_numpy()
+                a, b = stars(node, node, links)
+                yield pd.DataFrame({"a": a[a != b], "b": b[a != b]}).drop_duplicates()
+
+    return run
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """``members`` dealt to pairs of blocks of their bucket: one pair for a small one."""
+    sizes = members.groupBy(F.col("bucket").alias("at")).agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("total"))
+    cuts = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    dealt = members.join(sizes.select("at", cuts.alias("cuts")), F.col("bucket") == F.col("at")).withColumn(
+        "block", F.pmod(F.xxhash64("node"), F.col("cuts")).cast("int")
+    )
+    return dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))).select(
+        "bucket", F.least("block", "other").alias("block_a"), F.greatest("block", "other").alias("block_b"), "block", "node", "n", "label"
+    )
+
+
+def _rest(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components within buckets of ``members`` (bucket, node, n, label)."""
+    spark = members.sparkSession
+    parts = parts_of(spark)
+
+    def gathered(rows: DataFrame, column: str) -> DataFrame:
+        one = sets.select(F.col("node").alias("of"), column)
+        whole = rows.join(one, F.col("node") == F.col("of")).drop("of")
+        return whole.repartition(parts, *_GROUP).sortWithinPartitions(*_GROUP)
+
+    kinds = "bucket long, block_a int, block_b int, block int, node long, n long, label long"
+    partnered = keep(gathered(_in_blocks(members), "some").mapInPandas(_with_partner(percent), kinds), "mh-partnered")
+    return keep(gathered(partnered, "shingles").mapInPandas(_block_links(percent), "a long, b long"), "mh-rest")
 
 
 def near_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
@@ -219,38 +346,31 @@ def near_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORDS)
     spread = nodes.select("node", "n", F.posexplode("bands").alias("band", "key")).select(
         F.xxhash64("band", "key").alias("bucket"), "node", "n"
     )
-    shared = spread.groupBy(F.col("bucket").alias("at")).agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
+    # Buckets of two nodes and more, those of the same nodes once, each with a center by a hash of its own.
+    shared = spread.groupBy(F.col("bucket").alias("at")).agg(
+        F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("node")).alias("mark"), F.min("node").alias("lo"), F.max("node").alias("hi"),
+        F.min_by(F.struct("node", "n"), F.xxhash64("bucket", "node")).alias("center"),
+    ).where(F.col("members") > 1)
+    buckets = keep(shared.dropDuplicates(["members", "mark", "lo", "hi"]).select("at", "center"), "mh-buckets")
     members = keep(
-        spread.join(keep(shared, "mh-buckets"), F.col("bucket") == F.col("at")).select("bucket", "node", "n", F.col("node").alias("label")),
+        spread.join(buckets, F.col("bucket") == F.col("at")).select("bucket", "node", "n", F.col("center.node").alias("c"), F.col("center.n").alias("c_n")),
         "mh-members",
     )
     met = members.select(F.col("node").alias("of")).distinct()
     sets = _full_sets(docs, nodes.join(met, F.col("node") == F.col("of"), "left_semi"), words)
-    found, centers, total = None, 1, members.count()
-    while total:
-        # Members in each bucket and component: pairs of different components that are left.
-        by_label = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).cast("double").alias("n"))
-        by_bucket = by_label.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("same"))
-        left, largest = by_bucket.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2), F.max("n")).first()
-        if not left:
-            break
-        last = left <= FEW * total or centers > largest
-        if last:
-            chosen = members
-        else:
-            # By a hash that differs between buckets and rounds, each bucket picks its own.
-            size = members.groupBy(F.col("bucket").alias("at")).agg(F.count(F.lit(1)).alias("size"), F.min(F.xxhash64("bucket", "node", F.lit(centers))).alias("lowest"))
-            order = F.xxhash64("bucket", "node", F.lit(centers))
-            picked = (order == F.col("lowest")) | (F.pmod(order, F.col("size")) < centers - 1)
-            chosen = members.join(size, F.col("bucket") == F.col("at")).where(picked).select("bucket", "node", "n", "label")
-        new = _links(_pairs(members, chosen, percent), nodes, sets, percent)
-        found = new if found is None else keep(found.union(new), "mh-found")
-        if last:
-            break
-        members = _labelled(members.select("bucket", "node", "n"), found)
-        centers *= 2
-    if found is None:
-        found = docs.sparkSession.createDataFrame([], "a long, b long")
+    ahead = F.col("node") < F.col("c")
+    pairs = members.where((F.col("node") != F.col("c")) & _fit(F.col("n"), F.col("c_n"), percent)).select(
+        F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"),
+        F.when(ahead, F.col("n")).otherwise(F.col("c_n")).alias("a_n"), F.when(ahead, F.col("c_n")).otherwise(F.col("n")).alias("b_n"),
+    ).distinct()
+    found = _links(pairs, sets, percent)
+    names = components(found).select(F.col("node").alias("of"), "component")
+    named = members.join(names, F.col("node") == F.col("of"), "left").select(
+        "bucket", "node", "n", F.coalesce("component", "node").alias("label")
+    )
+    left = named.groupBy(F.col("bucket").alias("at")).agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
+    left = left.where(F.col("lo") != F.col("hi")).select("at")
+    found = found.union(_rest(keep(named.join(left, F.col("bucket") == F.col("at"), "left_semi"), "mh-left"), sets, percent))
     ids = nodes.select("code", "least", "node")
     named = ids.join(components(found).withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
     named = keep(named.select("code", "least", F.coalesce("component", "node").alias("component")), "mh-named")

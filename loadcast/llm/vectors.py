@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import keep, python_ready
-from .components import components
+from .components import components, stars
 
 COSINE = 0.9
 MOST_PIVOTS = 256  # chosen from as many sampled vectors; what every task holds is bounded by this
@@ -63,25 +63,6 @@ def cells_of(u: np.ndarray, pivots: np.ndarray, cosine: float) -> tuple[np.ndarr
     return home, inside
 
 
-def _stars(own: np.ndarray, met: np.ndarray, links: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Links that connect what ``links`` connects: each row and column that has one, with the smallest id it reaches.
-
-    Smallest ids pass between rows and columns until nothing changes, so what comes out is no larger than the sides.
-    """
-    rows, cols = np.flatnonzero(links.any(axis=1)), np.flatnonzero(links.any(axis=0))
-    some = links[np.ix_(rows, cols)]
-    row_id, col_id = own[rows], met[cols]
-    row_low, col_low = row_id.copy(), col_id.copy()
-    most = np.iinfo(np.int64).max
-    while True:
-        new_row = np.minimum(row_low, np.where(some, col_low[None, :], most).min(axis=1))
-        new_col = np.minimum(col_low, np.where(some, new_row[:, None], most).min(axis=0))
-        if (new_row == row_low).all() and (new_col == col_low).all():
-            break
-        row_low, col_low = new_row, new_col
-    return np.concatenate([row_id, col_id]), np.concatenate([row_low, col_low])
-
-
 def _join_block(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
     """One block, home vectors (side 0) against vectors of the cell (side 1): partners (b = -1, n) and links (n = 0)."""
     left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
@@ -96,7 +77,7 @@ def _join_block(rows: pd.DataFrame, cosine: float) -> pd.DataFrame:
             if links.any():
                 n = links @ weight
                 out.append(pd.DataFrame({"a": own[n > 0], "b": -1, "n": n[n > 0]}))
-                x, y = _stars(own, b_id, links)
+                x, y = stars(own, b_id, links)
                 out.append(pd.DataFrame({"a": x[x != y], "b": y[x != y], "n": 0}))
     return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"a": [], "b": [], "n": []}, dtype="int64")
 

@@ -75,13 +75,22 @@ def test_links_of_all_pairs(spark, percent, groups, size, n_words, edits):
     assert judged(spark.createDataFrame(rows, "doc_id long, text string"), percent) == brute(rows, percent)
 
 
-def test_hot_group_in_rounds(spark, monkeypatch):
-    """With centers picked in rounds, the same components as by all pairs."""
-    monkeypatch.setattr(H, "FEW", 0.01)
+def test_hot_group_in_blocks(spark, monkeypatch):
+    """Buckets cut into blocks of a few nodes give the same components as all pairs."""
+    monkeypatch.setattr(H, "BLOCK", 7)
     rows = copies(7, 4, 50, (60, 70), 5)
     assert judged(spark.createDataFrame(rows, "doc_id long, text string"), 80) == brute(rows, 80)
 
 
+def test_shared_counts():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 6000)).astype(np.uint64)) for _ in range(9)]
+    got = H.shared_counts(sets)
+    for i, x in enumerate(sets):
+        for j, y in enumerate(sets):
+            assert i == j or got[i, j] == len(np.intersect1d(x, y))
+
+
 def test_given_documents(docs):
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     assert judged(docs, 85) == brute(rows, 85)
@@ -116,8 +125,8 @@ def test_estimate_is_corrected_for_chance():
 
 
 def test_register_holds_zeros_and_mantissa():
-    h = np.array([(3 << 57) | (0b1011 << 40)], np.uint64)
+    h = np.array([(3 << 55) | (0b1011 << 40)], np.uint64)
     r = H.registers(h)
-    value = (0b1011 << 40) >> 4
+    value = (0b1011 << 40) >> 2
     zeros = 53 - value.bit_length()
     assert (r == r[0]).all() and r[0] >> H.MANTISSA == zeros and r[0] & 1023 == 0b011 << 7

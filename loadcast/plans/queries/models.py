@@ -1,21 +1,27 @@
-"""Model operators. Price designs have SQL counterparts; fitted models are checked by tests."""
+"""Model operators.
+
+What SQL can say of a fitted model is in the result: rows, stamps, periods, counts, rules, and whether the fitted values
+keep their bounds. The values themselves are held against independent solutions in ``tests/test_models.py``.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ...functions.calendar import CYCLIC_FEATURES
 from ...operators.forest import ForestParams, fit_forest, importances, params_frame, refit, scores_frame, tune
 from ...operators.interpolate import fill_time
 from ...operators.lasso import fit_hourly, penalty_summary, predict_hourly
-from ...operators.pricing import price_design, robust_scale
-from ...operators.splits import regression_metrics, split_label
+from ...operators.lags import DEFAULT_LAGS, lag_name
+from ...operators.pricing import n_features, price_design, robust_scale
+from ...operators.splits import fold_contiguous, fold_expanding, regression_metrics, split_label, trailing_window
 from ...sources.models import load_models, save_models
-from ...sources.weather import explode_regular_block
+from ...sources.weather import WEATHER_COLUMNS, explode_regular_block
 from ..load import forecast_load, retrain_load, rows_of, series_of, train_load_models, training_panel, wide_dataset
 from ..pricejobs import design_and_anchors, forecast_prices
 from .aggregates import DAYS_IN_WINDOW, LAST_DAY, window_design
-from .base import PRICES, TZ, Tables, query, rnd
+from .base import GRID, PRICES, TZ, Tables, local, query, rnd, to_utc
 
 DESIGN = f"""{PRICES}, d AS (SELECT DISTINCT zone, date_trunc('day', ts) AS d0 FROM p),
     hh AS (SELECT unnest(generate_series(0, 23)) AS h), ll AS (SELECT * FROM (VALUES (0, 1), (1, 2), (2, 3), (3, 7)) v(i, k)),
@@ -51,25 +57,53 @@ def _last_day_models(t: Tables, rule: str):
     return design, fit_hourly(design, anchors, DAYS_IN_WINDOW, rule)
 
 
-@query("lasso_penalty_select")
+# Hours of every zone, and the 14 training days before the last local day, which starts at 23:00 UTC.
+ZONES = f"""{PRICES}, span AS (SELECT zone, min(ts) AS a, max(ts) AS z FROM p GROUP BY zone),
+    hours AS (SELECT CAST(unnest(generate_series(0, 23)) AS INTEGER) AS hour),
+    wins AS (SELECT zone, CAST(count(*) AS INTEGER) AS n_days FROM span, (SELECT TIMESTAMP '2024-01-29 23:00:00' - to_days(CAST(k AS INTEGER)) AS d0
+      FROM (SELECT unnest(generate_series(1, {DAYS_IN_WINDOW - 7})) AS k)) WHERE a <= d0 - INTERVAL 7 day AND z >= d0 + INTERVAL 23 hour GROUP BY zone)"""
+LAST_ANCHOR = "CAST(epoch(TIMESTAMP '2024-01-29') / 86400 AS INTEGER) AS day"
+
+
+@query(
+    "lasso_penalty_select",
+    f"WITH {ZONES} SELECT zone, {LAST_ANCHOR}, hour, 'cv7' AS rule, n_days, 1 AS sound FROM wins, hours",
+)
 def lasso_penalty_select(t: Tables):
-    return penalty_summary(_last_day_models(t, "cv7")[1])
+    """Rule and days behind every hour's penalty; sound: the penalty is positive and the model no larger than its design."""
+    sound = (F.col("penalty") > 0) & F.col("n_nonzero").between(0, n_features())
+    return penalty_summary(_last_day_models(t, "cv7")[1]).select("zone", "day", "hour", "rule", "n_days", sound.alias("sound"))
 
 
-@query("lear_fit")
+@query("lear_fit", f"WITH {ZONES} SELECT zone, {LAST_ANCHOR}, hour, 'cv7' AS rule, n_days, 103 AS n_coef, 1 AS sound FROM wins, hours")
 def lear_fit(t: Tables):
+    """The fitted models' rule, days and size; sound: every number is finite and as many are non-zero as stated."""
     models = _last_day_models(t, "auto")[1]
-    norm = F.aggregate("coef", F.lit(0.0), lambda a, v: a + F.abs(v))
-    return models.select("zone", "day", "hour", "n_days", "n_nonzero", "intercept", norm.alias("coef_norm"))
+    finite = lambda c: ~F.isnan(c) & (F.abs(c) < float("inf"))
+    sound = finite(F.col("intercept")) & F.forall("coef", finite) & (F.size(F.filter("coef", lambda c: c != 0)) == F.col("n_nonzero"))
+    return models.select("zone", "day", "hour", "rule", "n_days", F.size("coef").alias("n_coef"), sound.alias("sound"))
 
 
-@query("lear_forecast")
+KNOWN = F.coalesce(F.col("yhat") >= 0, F.lit(False)).alias("known")
+
+
+@query(
+    "lear_forecast",
+    f"""WITH {ZONES} SELECT zone, 82800 AS phase, {LAST_ANCHOR}, hour, TIMESTAMP '2024-01-29 23:00:00' + to_hours(hour) AS ts, 1 AS known, 0 AS failed
+    FROM wins, hours""",
+)
 def lear_forecast(t: Tables):
     design, models = _last_day_models(t, "auto")
-    return predict_hourly(design, models)
+    out = predict_hourly(design, models)
+    return out.select("zone", "phase", "day", "hour", "ts", KNOWN, F.col("reason").isNotNull().alias("failed"))
 
 
-@query("lear_backtest")
+@query(
+    "lear_backtest",
+    f"""WITH {ZONES}, dd AS (SELECT DISTINCT zone, CAST({local()} AS DATE) AS d FROM p),
+    due AS (SELECT dd.zone, d FROM dd JOIN (SELECT zone, min(d) AS first FROM dd GROUP BY zone) f ON dd.zone = f.zone WHERE d > first + {DAYS_IN_WINDOW + 1})
+    SELECT zone, hour, {to_utc('(CAST(d AS TIMESTAMP))')} + to_hours(hour) AS ts, CAST(d AS TIMESTAMP) + to_hours(hour) AS ts_local, 1 AS known FROM due, hours""",
+)
 def lear_backtest(t: Tables):
     """A rolling back-test: every local day with three weeks of prices before it, every zone."""
     days = t.price_history.where(F.col("price").isNotNull()).select(
@@ -77,22 +111,31 @@ def lear_backtest(t: Tables):
     ).distinct()
     starts = days.groupBy("zone").agg(F.min("forecast_date").alias("first"))
     due = days.join(starts, "zone").where(F.col("forecast_date") > F.date_add("first", DAYS_IN_WINDOW + 1)).drop("first")
-    return forecast_prices(t.price_history, due, TZ, DAYS_IN_WINDOW, days_per_group=2)
+    out = forecast_prices(t.price_history, due, TZ, DAYS_IN_WINDOW, days_per_group=2)
+    return out.select("zone", "hour", "ts", "ts_local", KNOWN)
 
 
 # Forests -------------------------------------------------------------------------------------
 
-TARGETS = ["purchase", "error"]
-FEATURES = ["temperature_2m", *CYCLIC_FEATURES, "campus_closed", "T_open"]
-LAGS = (48, 168)
-SIZE = {"max_depth": 5, "max_bins": 32}
+TARGETS = ["click", "error", "purchase", "signup", "view"]
+FEATURES = [*WEATHER_COLUMNS, *CYCLIC_FEATURES, "campus_closed", "T_open"]
+LAGS = DEFAULT_LAGS
 SMALL = ForestParams(10, "sqrt", 5)
-GRID_POINTS = [ForestParams(5, "sqrt", 5), ForestParams(10, "all", 10)]
+GRID_POINTS = [ForestParams(5, "sqrt", 5), ForestParams(10, "log2", 10)]
 TRAIN_END = "2024-01-24 00:00:00"
 
+# Rows that can be trained on: a week after a target's first bin, when all its lags are known.
+VALID = f"""{GRID}, v AS (SELECT 'S1' AS site_id, variable_id AS target, ts FROM (SELECT *, min(ts) OVER (PARTITION BY variable_id) AS a FROM g)
+      WHERE ts >= a + INTERVAL {max(DEFAULT_LAGS)} hour), s AS (SELECT DISTINCT site_id, target FROM v),
+    n AS (SELECT site_id, target, count(*) FILTER (ts <= TIMESTAMP '{TRAIN_END}') AS n_train, count(*) FILTER (ts > TIMESTAMP '{TRAIN_END}') AS n_test,
+      min(ts) FILTER (ts <= TIMESTAMP '{TRAIN_END}') AS train_start, max(ts) FILTER (ts <= TIMESTAMP '{TRAIN_END}') AS train_end,
+      min(ts) FILTER (ts > TIMESTAMP '{TRAIN_END}') AS test_start, max(ts) FILTER (ts > TIMESTAMP '{TRAIN_END}') AS test_end, max(ts) AS z FROM v GROUP BY ALL)"""
+FEATURE_ROWS = ", ".join(f"('{f}')" for f in [*FEATURES, *[lag_name(h) for h in DEFAULT_LAGS]])
+GRID_ROWS = ", ".join(f"({i}, {p.trees}, '{p.features}', {p.min_leaf})" for i, p in enumerate(GRID_POINTS))
+
 
 def dataset(t: Tables):
-    """Wide dataset of two targets; gaps of the sparse sample are filled, as features must be known."""
+    """Wide dataset of all five series; gaps of the sparse sample are filled, as features must be known."""
     return t.stored("dataset", lambda: _make_dataset(t))
 
 
@@ -100,9 +143,7 @@ def _make_dataset(t: Tables):
     long = fill_time(t.grid, ["variable_id"], ["value"]).where(F.col("variable_id").isin(*TARGETS)).select(
         F.lit("S1").alias("site_id"), F.col("variable_id").alias("target"), "ts", F.col("value").alias("y")
     )
-    weather = fill_time(explode_regular_block(t.weather_blocks), ["site_id"], ["temperature_2m"]).select(
-        "site_id", "ts", "temperature_2m"
-    )
+    weather = fill_time(explode_regular_block(t.weather_blocks), ["site_id"], WEATHER_COLUMNS).select("site_id", "ts", *WEATHER_COLUMNS)
     return wide_dataset(long, TARGETS, weather, t.event_holidays, TZ)
 
 
@@ -115,7 +156,17 @@ def _split(rows):
     return rows.withColumn("split", split_label("ts", F.lit(TRAIN_END).cast("timestamp")))
 
 
-@query("rf_fit")
+FINITE = F.coalesce((F.col("rmse") > 0) & (F.col("mae") <= F.col("rmse")) & F.col("r2").isNotNull(), F.lit(False)).alias("sound")
+
+
+def bounded(scored, trained):
+    """Rows (site_id, target, ts) with whether yhat lies among the targets ``trained`` on, as a mean of them must."""
+    span = trained.groupBy("site_id", "target").agg(F.min("y").alias("_lo"), F.max("y").alias("_hi"))
+    within = F.coalesce(F.col("yhat").between(F.col("_lo") - 1e-9, F.col("_hi") + 1e-9), F.lit(False))
+    return scored.join(span, ["site_id", "target"]).withColumn("within", within).drop("_lo", "_hi", "yhat", "y")
+
+
+@query("rf_fit", f"WITH {VALID} SELECT site_id, target, n_test AS n_rows, 1 AS sound FROM n")
 def rf_fit(t: Tables):
     """Held-out metrics of one forest per series."""
     rows, names = panel(t)
@@ -123,39 +174,55 @@ def rf_fit(t: Tables):
     tested = None
     for series in series_of(rows):
         own = rows_of(split, series)
-        model = fit_forest(own.where(F.col("split") == "train"), names, SMALL, **SIZE)
-        scored = model.transform(own.where(F.col("split") == "test")).select("target", "y", "yhat")
+        model = fit_forest(own.where(F.col("split") == "train"), names, SMALL)
+        scored = model.transform(own.where(F.col("split") == "test")).select("site_id", "target", "y", "yhat")
         tested = scored if tested is None else tested.unionByName(scored)
-    return regression_metrics(tested, ["target"])
+    return regression_metrics(tested, ["site_id", "target"]).select("site_id", "target", "n_rows", FINITE)
 
 
 def _tuned(t: Tables, folds: str):
+    """Scores with the rows each fold was tested on."""
     rows, names = panel(t)
     train = _split(rows).where(F.col("split") == "train")
-    scores = {x: tune(rows_of(train, x), names, GRID_POINTS, folds, **SIZE) for x in series_of(rows)}
-    return scores_frame(t.spark, scores).select("target", "param_order", "params.*", "mse")
+    scores = {x: tune(rows_of(train, x), names, GRID_POINTS, folds) for x in series_of(rows)}
+    label = fold_contiguous if folds == "contiguous" else fold_expanding
+    tested = label(train, ["site_id", "target"], 3).groupBy("site_id", "target").agg(
+        *[F.count_if(F.col("fold") == k).alias(f"tested_{k}") for k in range(3)]
+    )
+    return scores_frame(t.spark, scores).join(tested, ["site_id", "target"]).select(
+        "site_id", "target", "param_order", "params.*", "tested_0", "tested_1", "tested_2", (F.col("mse") > 0).alias("sound")
+    )
 
 
-@query("rf_grid_contiguous")
+@query(
+    "rf_grid_contiguous",
+    f"""WITH {VALID} SELECT site_id, target, param_order, trees, features, min_leaf,
+      {', '.join(f'n_train // 3 + CASE WHEN {k} < n_train % 3 THEN 1 ELSE 0 END AS tested_{k}' for k in range(3))}, 1 AS sound
+    FROM n, (VALUES {GRID_ROWS}) q(param_order, trees, features, min_leaf)""",
+)
 def rf_grid_contiguous(t: Tables):
     return _tuned(t, "contiguous")
 
 
-@query("rf_grid_expanding")
+@query(
+    "rf_grid_expanding",
+    f"""WITH {VALID} SELECT site_id, target, param_order, trees, features, min_leaf, {', '.join(f'n_train // 4 AS tested_{k}' for k in range(3))}, 1 AS sound
+    FROM n, (VALUES {GRID_ROWS}) q(param_order, trees, features, min_leaf)""",
+)
 def rf_grid_expanding(t: Tables):
     return _tuned(t, "expanding")
 
 
-@query("rf_refit")
+@query("rf_refit", f"WITH {VALID} SELECT site_id, target, ts, 1 AS within FROM v")
 def rf_refit(t: Tables):
-    """Forecasts of the forests refitted on the last 14 days, over every valid row."""
+    """Forests refitted on the last 14 days, over every valid row: forecasts lie among the targets of those days."""
     rows, names = panel(t)
     out = None
     for series in series_of(rows):
         own = rows_of(rows, series)
-        scored = refit(own, names, SMALL, days=14, **SIZE).transform(own).select("target", "ts", "yhat")
+        scored = refit(own, names, SMALL, days=14).transform(own).select("site_id", "target", "ts", "yhat")
         out = scored if out is None else out.unionByName(scored)
-    return out
+    return bounded(out, trailing_window(rows, ["site_id", "target"], 14))
 
 
 def _models(t: Tables):
@@ -165,40 +232,63 @@ def _models(t: Tables):
 
 def _save_forests(t: Tables, path: str) -> None:
     rows, names = panel(t)
-    fitted = {x: refit(rows_of(rows, x), names, SMALL, **SIZE) for x in series_of(rows)}
+    fitted = {x: refit(rows_of(rows, x), names, SMALL) for x in series_of(rows)}
     save_models(t.spark, fitted, path)
 
 
-@query("rf_retrain")
+IMPORTANCES = f"WITH {VALID} SELECT site_id, target, feature, 1 AS share, 1.0 AS total FROM s, (VALUES {FEATURE_ROWS}) q(feature)"
+
+
+def _shares(ranked):
+    """Every feature of every series, its importance being a share of one."""
+    whole = Window.partitionBy("site_id", "target")  # the features of one model
+    return ranked.select(
+        "site_id", "target", "feature", F.col("importance").between(0, 1).alias("share"), F.round(F.sum("importance").over(whole), 6).alias("total")
+    )
+
+
+@query("rf_retrain", IMPORTANCES)
 def rf_retrain(t: Tables):
     """Importances after appending the days from 15 January and refitting from stored parameters."""
     data = dataset(t)
     history = data.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp"))
     block = data.where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp"))
     params = params_frame(t.spark, dict.fromkeys([("S1", x) for x in TARGETS], SMALL))
-    _, models = retrain_load(t.spark, history, block, params, TARGETS, 14, FEATURES, LAGS, **SIZE)
-    return importances(t.spark, models)
+    _, models = retrain_load(t.spark, history, block, params, TARGETS, 14, FEATURES, LAGS)
+    return _shares(importances(t.spark, models))
 
 
-@query("day_ahead_forecast")
+@query(
+    "day_ahead_forecast",
+    f"""WITH {VALID}, h AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-29 23:00:00', TIMESTAMP '2024-01-30 22:45:00', INTERVAL 15 minute)) AS ts)
+    SELECT site_id, target, ts, {local()} AS ts_local, 1 AS within FROM s, h""",
+)
 def day_ahead_forecast(t: Tables):
     """30 January from saved forests, weather of the day, and targets up to two days before its end."""
     data = dataset(t)
     history = data.unpivot(["site_id", "ts"], TARGETS, "target", "y")
-    weather = data.select("site_id", "ts", "temperature_2m")
-    return forecast_load(
-        history, weather, t.event_holidays, _models(t), "2024-01-30", TZ, hours=LAGS, features=FEATURES
-    )
+    weather = data.select("site_id", "ts", *WEATHER_COLUMNS)
+    out = forecast_load(history, weather, t.event_holidays, _models(t), "2024-01-30", TZ, hours=LAGS, features=FEATURES)
+    return bounded(out, panel(t)[0])
 
 
-@query("importance_rank")
+@query("importance_rank", IMPORTANCES)
 def importance_rank(t: Tables):
-    return importances(t.spark, _models(t))
+    return _shares(importances(t.spark, _models(t)))
 
 
-@query("train_load_models")
+@query(
+    "train_load_models",
+    f"""WITH {VALID}, fin AS (SELECT site_id, target, min(ts) AS final_train_start, max(ts) AS final_train_end, count(*) AS final_train_samples
+      FROM v JOIN (SELECT site_id, target, z FROM n) e USING (site_id, target) WHERE ts >= z - INTERVAL 14 day GROUP BY ALL)
+    SELECT site_id, target, train_start, train_end, test_start, test_end, n_train, n_test, final_train_start, final_train_end, final_train_samples, 1 AS sound
+    FROM n JOIN fin USING (site_id, target)""",
+)
 def train_models(t: Tables):
-    """Typed metrics of the whole training job."""
+    """Periods and counts of the whole training job's typed metrics."""
     rows, names = panel(t)
-    done = train_load_models(rows, names, F.lit(TRAIN_END).cast("timestamp"), None, GRID_POINTS, final_days=14, **SIZE)
-    return done.metrics.select("target", "params.*", "rmse", "mae", "r2", "train_start", "train_end", "test_start", "test_end", "n_train", "n_test")
+    done = train_load_models(rows, names, F.lit(TRAIN_END).cast("timestamp"), None, GRID_POINTS, final_days=14)
+    return done.metrics.select(
+        "site_id", "target", "train_start", "train_end", "test_start", "test_end", "n_train", "n_test", "final_train_start", "final_train_end",
+        "final_train_samples", FINITE,
+    )

@@ -11,21 +11,13 @@ import __spark_entry__ as contract  # noqa: E402
 
 from loadcast.plans.queries import ORACLES, QUERIES  # noqa: E402
 
-# Keys without SQL counterpart, all of them fitted models; see test_models.py.
-MODEL_KEYS = {
-    "lasso_penalty_select", "lear_fit", "lear_forecast", "lear_backtest", "rf_fit", "rf_grid_contiguous", "rf_grid_expanding",
-    "rf_refit", "rf_retrain", "day_ahead_forecast", "importance_rank", "train_load_models",
-}
-
-
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return connect(sf_dir)
 
 
-def test_only_model_keys_lack_sql():
-    assert set(QUERIES) - set(ORACLES) == MODEL_KEYS
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

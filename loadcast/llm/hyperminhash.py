@@ -7,7 +7,7 @@ passage rarely do. Likeness is estimated from equal registers, corrected for tho
 what can be a link is verified on the full shingle sets.
 
 Documents with equal sets are one node throughout, and buckets of the same nodes are one bucket. A bucket is never
-expanded into rows of pairs. First, every node is compared to one center of each of its buckets, which connects most of
+expanded into rows of pairs. Buckets are split by classes of set sizes that a link allows. First, every node is compared to one center of each of its buckets, which connects most of
 what belongs together. Then, in the buckets whose nodes still lie in different components, tasks compare the nodes in
 memory: by estimate all of them, by full sets those that have a possible partner. Large buckets are cut into blocks, so
 a task holds two blocks at a time. No link that a shared band could show is lost, and a task returns links enough to
@@ -17,6 +17,7 @@ connect what it found.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -344,16 +345,26 @@ def near_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORDS)
         "mh-nodes",
     )
     spread = nodes.select("node", "n", F.posexplode("bands").alias("band", "key")).select(
-        F.xxhash64("band", "key").alias("bucket"), "node", "n"
+        F.xxhash64("band", "key").alias("bucket"), "node", F.col("n").cast("int").alias("n")
+    )
+    shared = spread.groupBy(F.col("bucket").alias("at")).agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > 1)
+    met = spread.join(keep(shared.select("at"), "mh-shared"), F.col("bucket") == F.col("at"), "left_semi")
+    # Two sizes that a link allows fall into the same class of sizes or the next: each node goes to its own and the next.
+    width = math.log(100 / min(percent, 99)) * (1 + 1e-9)
+    size = F.floor(F.log("n") / F.lit(width)).cast("int")
+    classed = keep(
+        met.select("node", "n", F.explode(F.array(F.xxhash64("bucket", size), F.xxhash64("bucket", size + 1))).alias("bucket")), "mh-classed"
     )
     # Buckets of two nodes and more, those of the same nodes once, each with a center by a hash of its own.
-    shared = spread.groupBy(F.col("bucket").alias("at")).agg(
+    buckets = classed.groupBy(F.col("bucket").alias("at")).agg(
         F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("node")).alias("mark"), F.min("node").alias("lo"), F.max("node").alias("hi"),
         F.min_by(F.struct("node", "n"), F.xxhash64("bucket", "node")).alias("center"),
     ).where(F.col("members") > 1)
-    buckets = keep(shared.dropDuplicates(["members", "mark", "lo", "hi"]).select("at", "center"), "mh-buckets")
+    buckets = keep(buckets.dropDuplicates(["members", "mark", "lo", "hi"]).select("at", "center"), "mh-buckets")
     members = keep(
-        spread.join(buckets, F.col("bucket") == F.col("at")).select("bucket", "node", "n", F.col("center.node").alias("c"), F.col("center.n").alias("c_n")),
+        classed.join(buckets, F.col("bucket") == F.col("at")).select(
+            "bucket", "node", F.col("n").cast("long").alias("n"), F.col("center.node").alias("c"), F.col("center.n").cast("long").alias("c_n")
+        ),
         "mh-members",
     )
     met = members.select(F.col("node").alias("of")).distinct()

@@ -355,10 +355,10 @@ def near_documents(docs: DataFrame, percent: int = PERCENT, words: int = WORDS)
     classed = keep(
         met.select("node", "n", F.explode(F.array(F.xxhash64("bucket", size), F.xxhash64("bucket", size + 1))).alias("bucket")), "mh-classed"
     )
-    # Buckets of two nodes and more, those of the same nodes once, each with a center by a hash of its own.
+    # Buckets of two nodes and more, those of the same nodes once, each with a center; one order for all, so few nodes are centers.
     buckets = classed.groupBy(F.col("bucket").alias("at")).agg(
         F.count(F.lit(1)).alias("members"), F.bit_xor(F.xxhash64("node")).alias("mark"), F.min("node").alias("lo"), F.max("node").alias("hi"),
-        F.min_by(F.struct("node", "n"), F.xxhash64("bucket", "node")).alias("center"),
+        F.min_by(F.struct("node", "n"), F.xxhash64("node")).alias("center"),
     ).where(F.col("members") > 1)
     buckets = keep(buckets.dropDuplicates(["members", "mark", "lo", "hi"]).select("at", "center"), "mh-buckets")
     members = keep(

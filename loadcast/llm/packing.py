@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import carried, in_order, keep, mixed, parts_of, python_ready, text_of
-from .tokens import END_ID, encode_all
+from .tokens import END_ID, encode_all, vocabulary_size
 
 LENGTH = 4096
 FEATURES = 512
@@ -74,26 +74,36 @@ def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
 _CODED = "doc_id long, no_id boolean, ids binary, doc_tokens long"
 
 
-def _tokenize(path: str, end_id: int):
+def _tokenize(path: str, end_id: int, narrow: str):
+    """Ids in the ``narrow`` integers they are shuffled in, and the document's place on the curve."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             got = encode_all(path, b["text"], end_id)
             ids = [np.frombuffer(x, "<u4") for x in got]
             yield pd.DataFrame(
-                {"doc_id": b["doc_id"], "no_id": b["no_id"], "ids": got, "doc_tokens": [len(x) for x in ids], "key": hilbert_keys(cells(hashed_vectors(ids)))}
+                {
+                    "doc_id": b["doc_id"], "no_id": b["no_id"], "ids": [x.astype(narrow).tobytes() for x in ids],
+                    "doc_tokens": [len(x) for x in ids], "key": hilbert_keys(cells(hashed_vectors(ids))),
+                }
             )
 
     return run
 
 
-def _line_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Ids before each document within its task, whose rows come in curve order."""
-    before = 0
-    for b in batches:
-        ends = before + b["doc_tokens"].cumsum()
-        b["before"] = ends - b["doc_tokens"]
-        before = int(ends.iloc[-1]) if len(ends) else before
-        yield b
+def _line_up(narrow: str):
+    """Ids before each document within its task, whose rows come in curve order; ids as 32-bit integers from here on."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        before = 0
+        for b in batches:
+            ends = before + b["doc_tokens"].cumsum()
+            b["before"] = ends - b["doc_tokens"]
+            before = int(ends.iloc[-1]) if len(ends) else before
+            b["ids"] = [np.frombuffer(x, narrow).astype("<u4").tobytes() for x in b["ids"]]
+            yield b
+
+    return run
 
 
 def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID) -> DataFrame:
@@ -110,13 +120,14 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID)
     """
     spark = docs.sparkSession
     python_ready(spark)
+    narrow = "<u2" if max(end_id + 1, vocabulary_size(path)) <= 1 << 16 else "<u4"
     doc_id = F.col("doc_id").cast("long")
     given = docs.select(F.coalesce(doc_id, F.lit(0)).alias("doc_id"), doc_id.isNull().alias("no_id"), text_of().alias("text"))
-    coded = keep(given.mapInPandas(_tokenize(path, end_id), f"{_CODED}, key long"), "pack-ids")
+    coded = keep(given.mapInPandas(_tokenize(path, end_id, narrow), f"{_CODED}, key long"), "pack-ids")
     order = [F.col("key"), F.col("no_id").desc(), F.col("doc_id"), F.xxhash64("ids")]
     sorted_rows = in_order(coded, order, parts_of(spark)).drop("_at")
     line = keep(
-        sorted_rows.mapInPandas(_line_up, f"{_CODED}, key long, _part long, before long"), "pack-line"
+        sorted_rows.mapInPandas(_line_up(narrow), f"{_CODED}, key long, _part long, before long"), "pack-line"
     )
     ends = line.groupBy("_part").agg(F.sum("doc_tokens").alias("_n"))
     carry = keep(carried(ends, "_n").select("_part", "_n", "_carry"), "pack-carry")

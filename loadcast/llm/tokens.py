@@ -125,6 +125,13 @@ class Encoder:
         return b"".join([known(w) or self._word(w) for w in self._cut(text)])
 
 
+def vocabulary_size(path: str) -> int:
+    """Ids of a tokenizer file, all below this number."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab().values()) + 1
+
+
 _encoders: dict[str, Encoder] = {}
 
 

@@ -84,7 +84,8 @@ def lear_fit(t: Tables):
     return models.select("zone", "day", "hour", "rule", "n_days", F.size("coef").alias("n_coef"), sound.alias("sound"))
 
 
-KNOWN = F.coalesce(F.col("yhat") >= 0, F.lit(False)).alias("known")
+def _known():
+    return F.coalesce(F.col("yhat") >= 0, F.lit(False)).alias("known")
 
 
 @query(
@@ -95,7 +96,7 @@ KNOWN = F.coalesce(F.col("yhat") >= 0, F.lit(False)).alias("known")
 def lear_forecast(t: Tables):
     design, models = _last_day_models(t, "auto")
     out = predict_hourly(design, models)
-    return out.select("zone", "phase", "day", "hour", "ts", KNOWN, F.col("reason").isNotNull().alias("failed"))
+    return out.select("zone", "phase", "day", "hour", "ts", _known(), F.col("reason").isNotNull().alias("failed"))
 
 
 @query(
@@ -112,7 +113,7 @@ def lear_backtest(t: Tables):
     starts = days.groupBy("zone").agg(F.min("forecast_date").alias("first"))
     due = days.join(starts, "zone").where(F.col("forecast_date") > F.date_add("first", DAYS_IN_WINDOW + 1)).drop("first")
     out = forecast_prices(t.price_history, due, TZ, DAYS_IN_WINDOW, days_per_group=2)
-    return out.select("zone", "hour", "ts", "ts_local", KNOWN)
+    return out.select("zone", "hour", "ts", "ts_local", _known())
 
 
 # Forests -------------------------------------------------------------------------------------
@@ -156,7 +157,8 @@ def _split(rows):
     return rows.withColumn("split", split_label("ts", F.lit(TRAIN_END).cast("timestamp")))
 
 
-FINITE = F.coalesce((F.col("rmse") > 0) & (F.col("mae") <= F.col("rmse")) & F.col("r2").isNotNull(), F.lit(False)).alias("sound")
+def _finite():
+    return F.coalesce((F.col("rmse") > 0) & (F.col("mae") <= F.col("rmse")) & F.col("r2").isNotNull(), F.lit(False)).alias("sound")
 
 
 def bounded(scored, trained):
@@ -177,7 +179,7 @@ def rf_fit(t: Tables):
         model = fit_forest(own.where(F.col("split") == "train"), names, SMALL)
         scored = model.transform(own.where(F.col("split") == "test")).select("site_id", "target", "y", "yhat")
         tested = scored if tested is None else tested.unionByName(scored)
-    return regression_metrics(tested, ["site_id", "target"]).select("site_id", "target", "n_rows", FINITE)
+    return regression_metrics(tested, ["site_id", "target"]).select("site_id", "target", "n_rows", _finite())
 
 
 def _tuned(t: Tables, folds: str):
@@ -290,5 +292,5 @@ def train_models(t: Tables):
     done = train_load_models(rows, names, F.lit(TRAIN_END).cast("timestamp"), None, GRID_POINTS, final_days=14)
     return done.metrics.select(
         "site_id", "target", "train_start", "train_end", "test_start", "test_end", "n_train", "n_test", "final_train_start", "final_train_end",
-        "final_train_samples", FINITE,
+        "final_train_samples", _finite(),
     )

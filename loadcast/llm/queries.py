@@ -57,8 +57,9 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
       CASE WHEN l.text IS NULL THEN 0 ELSE n_lines END AS n_lines, n_dropped FROM l JOIN g USING (r)""",
 )
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the lines that are boilerplate of their source."""
-    out = boilerplate.drop_boilerplate(read(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    """All documents without the lines that are boilerplate of their source; every row is a page, as in the SQL."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    out = boilerplate.drop_boilerplate(docs, least_pages=boilerplate.LEAST_PAGES)
     return out.select("doc_id", "source", "text", F.col("lines.total").alias("n_lines"), F.col("lines.dropped").alias("n_dropped"))
 
 

@@ -59,3 +59,16 @@ def test_odd_tables_pass(spark, sf_dir, odd, nothing):
         for name, stage in P.STAGES:
             df = keep(stage(spark, df, sf_dir), f"test-{name}")
     assert df.count() == 0
+
+
+def test_copies_of_a_document_stay_whole(spark, sf_dir):
+    """A third of a source are copies of one document, some with other blanks; one whole copy leaves the near-dedup stage."""
+    copy = "\n".join(f"line {k} of the copied page says {k * 7919 % 1009} and {k * 31 % 97}" for k in range(8))
+    texts = [copy] * 25 + [copy.replace("\n", " \n\n")] * 5
+    texts += [f"own words {k} {k * k % 7907}\nshared footer\nmore of {k * 104729 % 99991} and {k}" for k in range(60)]
+    given = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    lines = keep(P.without_boilerplate(spark, given, sf_dir), "test-copies")
+    assert {r["text"] for r in lines.where("doc_id < 30").collect()} == set(texts[:30])
+    assert lines.where("text like '%shared footer%'").count() == 0
+    left = P.one_of_each(spark, lines, sf_dir).where("doc_id < 30").collect()
+    assert len(left) == 1 and left[0]["text"] in texts[:30]

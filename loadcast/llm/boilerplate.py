@@ -13,7 +13,7 @@ from .common import keep, same, text_of, whole_row
 
 RATIO = 0.05  # of the site's pages
 LEAST_PAGES = 5  # that must contain a line before it can go, where every row is a page
-LEAST_TEXTS = LEAST_PAGES  # the same, where pages of the same lines are one
+LEAST_TEXTS = 2  # the same, where pages of the same lines are one: repeated at all, the ratio decides
 
 
 def line_hashes(text: Column) -> Column:

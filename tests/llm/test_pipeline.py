@@ -72,3 +72,12 @@ def test_copies_of_a_document_stay_whole(spark, sf_dir):
     assert lines.where("text like '%shared footer%'").count() == 0
     left = P.one_of_each(spark, lines, sf_dir).where("doc_id < 30").collect()
     assert len(left) == 1 and left[0]["text"] in texts[:30]
+
+
+def test_small_sites_lose_boilerplate(spark, sf_dir):
+    """The ratio decides on small sites too: 4 of 4, 4 of 20 and 2 of 10 pages; a line of one page or of copies stays."""
+    texts = [(s, f"{s} page {k} says {k * 7919 % 1009}" + ("\nfooter" if k < m else "")) for s, n, m in (("a", 4, 4), ("b", 20, 4), ("c", 10, 2), ("d", 10, 1), ("e", 50, 2)) for k in range(n)]
+    texts += [("d", "d page 0 says 0\nfooter")] * 3
+    given = spark.createDataFrame([(k, t, "en", s, len(t)) for k, (s, t) in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = P.without_boilerplate(spark, given, sf_dir).where("text like '%footer%'").groupBy("source").count().collect()
+    assert {r["source"]: r["count"] for r in out} == {"d": 4, "e": 2}

@@ -9,6 +9,8 @@ passage is toxic.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,26 +35,46 @@ EPOCHS, UPDATES, LOT, RATE = 5, 500, 24, 0.01  # at least so many updates, howev
 HOLD_OUT = 5  # one document in so many is never learned from
 BOUNDARY = 0.5
 
+LONGEST, PIECE = 64, 60  # bytes: of a run read as one word, and of the pieces a longer run is read in
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
-_POWERS = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(63, _BASE)]))
+_POWERS = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(LONGEST - 1, _BASE)]))
 _NO_WORD = 0  # row of the vocabulary that pads
+#: Spaces and punctuation beyond ASCII; all of them lie in the first two planes.
+_APART = re.compile("[" + "".join(re.escape(c) for c in map(chr, range(128, 1 << 17)) if unicodedata.category(c)[0] in "PZ") + "]")
+
+
+def _pieces(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs, those longer than LONGEST cut every PIECE bytes, at most 3 bytes earlier where a character starts."""
+    sizes = ends - starts
+    n = np.where(sizes > LONGEST, -(-sizes // PIECE), 1)
+    nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    cuts = np.repeat(starts, n) + PIECE * nth
+    for _ in range(3):
+        cuts -= (nth > 0) & (raw[cuts] & 0xC0 == 0x80)
+    return cuts, np.where(np.append(nth[1:], 0) > 0, np.append(cuts[1:], 0), np.repeat(ends, n))
 
 
-def read_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+def read_words(texts: list[str], pieces: bool = False) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """Words of texts: number of each occurring word (1 .., 0 pads), words per text, and per word the trigram rows.
 
-    Words are runs of letters and digits with A-Z lower-cased; longer ones are told apart by their first 64 bytes and
-    their length. Returns (numbers in order, words per text, [word rows, trigram rows, trigrams per word]).
+    Words are runs of letters and digits with A-Z lower-cased, between ASCII separators and Unicode spaces and
+    punctuation. With ``pieces``, as the network reads, a run of more than 64 bytes is several words, which cover it;
+    without, it is one word, told apart by its first 64 bytes and its length. Returns (numbers in order, words per
+    text, [word rows, trigram rows, trigrams per word]).
     """
+    texts = [t if t.isascii() else _APART.sub(" ", t) for t in texts]
     raw = np.frombuffer("\n".join([*texts, ""]).encode("utf-8", "surrogatepass"), np.uint8)
     ends_of = np.cumsum([len(t.encode("utf-8", "surrogatepass")) + 1 for t in texts])
     solid = _LETTER[raw]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]]).view(np.int8)))
     starts, ends = edge[::2], edge[1::2]
+    if pieces and len(starts):
+        starts, ends = _pieces(raw, starts, ends)
     per_text = np.diff(np.searchsorted(starts, ends_of, "left"), prepend=0)
     if not len(starts):
         return np.zeros(0, np.int64), per_text, [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.int64)]
@@ -60,11 +82,11 @@ def read_words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarra
     firsts = np.cumsum(sizes) - sizes
     letters = _LOWER[raw[solid]]
     place = np.arange(len(letters)) - np.repeat(firsts, sizes)
-    part = np.where(place < 64, letters * _POWERS[np.minimum(place, 63)], np.uint64(0))
+    part = np.where(place < LONGEST, letters * _POWERS[np.minimum(place, LONGEST - 1)], np.uint64(0))
     codes = mixed(np.add.reduceat(part, firsts) + sizes.astype(np.uint64))
     known, first, number = np.unique(codes, return_index=True, return_inverse=True)
     # Trigrams of each distinct word between two marks.
-    length = np.minimum(sizes[first], 64)
+    length = np.minimum(sizes[first], LONGEST)
     padded = length + 2
     at = np.cumsum(padded) - padded
     spelled = np.full(int(padded.sum()), 1, np.uint64)
@@ -207,7 +229,7 @@ class Model:
         out = np.full(len(texts), self.base, np.float64)
         if not texts:
             return out
-        numbers, per_text, vocabulary = read_words(texts)
+        numbers, per_text, vocabulary = read_words(texts, pieces=True)
         table, owner = window_table(numbers, per_text)
         x = self.inputs(vocabulary)
         best = np.full(len(texts), -np.inf)
@@ -232,7 +254,7 @@ def train(texts: list[str], toxic: np.ndarray, weights: np.ndarray, seed: int =
     model = Model.fresh(rng)
     rate = float((weights * toxic).sum() / weights.sum()) if len(toxic) else 0.0
     model.base = float(np.log((rate + 1e-3) / (1 - rate + 1e-3)))
-    numbers, per_text, vocabulary = read_words(texts)
+    numbers, per_text, vocabulary = read_words(texts, pieces=True)
     if not len(numbers) or len(set(toxic)) < 2:
         model.base = min(model.base, -1.0) if not toxic.any() else max(model.base, 1.0) if len(toxic) else -1.0
         model.p["out"][:] = 0

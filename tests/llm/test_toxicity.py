@@ -113,3 +113,32 @@ def test_every_window_counts(tables):
     foul = calm[: len(calm) // 2] + " awful vileness awful " + calm[len(calm) // 2 :]
     low, high = model.logits([calm, foul])
     assert high > low + 1
+
+
+def test_long_runs_are_read_whole():
+    """Every byte of a run is in one piece of at most 64 bytes that starts with a character."""
+    for text in ("日本語" * 100, "a" * 64, "a" * 65, "xé" * 99 + " é" * 3, "😀" * 50 + "a" * 61, "é" + "日" * 70):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        numbers, per_text, (_, _, length) = X.read_words([text], pieces=True)
+        assert length[numbers - 1].sum() == X._LETTER[raw].sum() and per_text[0] == len(numbers) and length.max() <= 64
+        a, b = X._pieces(raw, np.array([0]), np.array([len(raw)]))
+        assert a[0] == 0 and b[-1] == len(raw) and (a[1:] == b[:-1]).all()
+        assert all(raw[k:m].tobytes().decode() for k, m in zip(a, b))
+    apart = X.read_words(["日本。語　é\u00a0x、「y」"], pieces=True)
+    assert apart[1].tolist() == [5]
+
+
+def test_passage_deep_in_unspaced_text():
+    """A foul passage counts where words have no spaces, thousands of characters into one run."""
+    rng = np.random.default_rng(3)
+    clean, foul = [chr(0x4E00 + k) for k in range(400)], "毒罵糞殺"
+    said = lambda n: "".join(rng.choice(clean, n))
+    texts, y = [], np.arange(300) % 3 == 0
+    for toxic in y:
+        t = said(rng.integers(30, 400))
+        at = rng.integers(len(t))
+        texts.append(t[:at] + foul * 3 + t[at:] if toxic else t)
+    model = X.train(texts, y.astype(np.int64), np.ones(300))
+    calm = said(6000)
+    low, high = model.logits([calm, calm[:3000] + foul * 3 + calm[3012:]])
+    assert high > low + 1

@@ -15,8 +15,8 @@ from ..functions.scalars import clip, zero_in_months
 from ..functions.timecols import DAY, HOUR, shift, to_local
 from ..operators.clean import conform, dedup_first, valid_rows
 from ..operators.forest import (
-    FINAL_DAYS, SERIES, ForestParams, Series, as_params, best_params, feature_order, fit_forest, in_flight,
-    score, scores_frame, tune,
+    FINAL_DAYS, MAX_DEPTH, SERIES, ForestParams, Series, as_params, best_params, feature_order, fit_forest, in_flight,
+    score, scores_frame, trees_at_limit, tune,
 )
 from ..operators.grid import between_ts, bin_mean, day_horizon, spine, to_grid
 from ..operators.history import next_window, params_for, upsert
@@ -251,7 +251,11 @@ def train_load_models(
         *keys, F.col("period_start").alias("final_train_start"), F.col("period_end").alias("final_train_end"),
         F.col("n_samples").alias("final_train_samples"),
     )
-    metrics = best_params(scores).drop("mse").join(measured, keys).join(by, keys).join(last, keys)
+    depth = forest.get("max_depth", MAX_DEPTH)
+    cut = spark.createDataFrame(
+        [(*t, trees_at_limit(r[3], depth)) for t, r in results.items()], "site_id string, target string, trees_at_limit int"
+    )
+    metrics = best_params(scores).drop("mse").join(measured, keys).join(by, keys).join(last, keys).join(cut, keys)
     return Trained({t: r[3] for t, r in results.items()}, metrics, scores, list(features))
 
 

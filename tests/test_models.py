@@ -254,6 +254,12 @@ def test_trees_at_their_depth_limit_are_counted(spark, data):
     assert trees_at_limit(model, 3) == SMALL.trees and trees_at_limit(model) == 0
 
 
+def test_metrics_count_the_final_forests_cut_trees(spark, data):
+    panel, names = training_panel(data, ["a"], FEATURES, [48])
+    done = train_load_models(panel, names, F.lit("2024-01-17").cast("timestamp"), None, [SMALL], final_days=10, max_depth=3)
+    assert [r["trees_at_limit"] for r in done.metrics.collect()] == [trees_at_limit(done.models[("S1", "a")], 3)] == [SMALL.trees]
+
+
 def test_retraining_job(spark, data):
     """Due readings to a block, upsert, refit, as one job."""
     history = data.where(F.col("ts") < F.lit("2024-01-18").cast("timestamp"))

@@ -168,7 +168,7 @@ def best_params_argmin(t: Tables):
         F.avg(F.pow(F.col("value") - 30, 2)).alias("mse")
     )
     params = F.struct(F.col("trees"), F.lit("all").alias("features"), F.lit(2).alias("min_leaf")).cast(PARAMS_SCHEMA)
-    best = best_params(scores.select("target", params.alias("params"), F.col("trees").alias("param_order"), "mse"))
+    best = best_params(scores.select("target", params.alias("params"), F.col("trees").alias("param_order"), "mse"), ["target"])
     return best.select("target", "params.trees", "mse")
 
 

@@ -98,6 +98,13 @@ def slices(rows: pd.DataFrame, most: int = BATCH_ROWS) -> Iterator[pd.DataFrame]
         yield rows.iloc[k : k + most]
 
 
+def coded(items: Sequence[str]) -> tuple[np.ndarray, list[str]]:
+    """Number of each item among the distinct ones, in order of appearance; strings may hold any character, NUL too."""
+    distinct = list(dict.fromkeys(items))
+    number = dict(zip(distinct, range(len(distinct))))
+    return np.fromiter(map(number.__getitem__, items), np.int64, len(items)), distinct
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """64-bit finalizer (splitmix64) over unsigned integers."""
     x = x.astype(np.uint64, copy=True)

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import boilerplate, hyperminhash, mixing, packing, sketch, tokenstore, toxicity, urlrules, vectors, warcindex
-from .common import read
+from . import boilerplate, bytebpe, fim, hyperminhash, mixing, packing, periodic, sketch, tokenstore, toxicity, urlrules, vectors, warcindex
+from .common import WORD, read, text_of
 from .tokens import tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -126,3 +126,65 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents."""
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def periodic_edit(docs: DataFrame) -> DataFrame:
+    """The input that the run contract asks for: of every tenth hash, the words from a drawn one on repeat with a drawn period."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    drawn = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g")).withColumn(
+        "words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all(text_of(), F.lit(f"({WORD})"), F.lit(1)))
+    )
+    n = F.size("words").cast("long")
+    sized = drawn.withColumn("n", n).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    sized = sized.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    whole, first, period = (F.col(c).cast("int") for c in ("n", "a", "p"))
+    rounds = F.ceil((F.col("n") - F.col("a")) / F.col("p")).cast("int")
+    made = F.concat(F.slice("words", F.lit(1), first), F.flatten(F.array_repeat(F.slice("words", first + 1, period), rounds)))
+    edited = F.when(F.col("n") > 0, F.array_join(F.slice(made, F.lit(1), whole), " ")).otherwise(F.col("text"))
+    return sized.select("doc_id", edited.alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all documents, one in ten of them made periodic."""
+    found = periodic.periodic_runs(periodic_edit(read(spark, sf_dir, "documents")))
+    best = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("shorter"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), (-F.col("best.shorter")).alias("length"),
+        F.col("best.period").alias("period"), F.expr("1000 * -best.shorter div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_byte_bpe")
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents by rank file, and the bytes they decode to."""
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    both = bytebpe.decode(bytebpe.encode(read(spark, sf_dir, "documents"), path, pattern), path, pattern)
+    return both.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query(
+    "op13_fill_in_middle",
+    f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('{fim.SEED}:' || doc_id) AS hex FROM documents),
+    u AS (SELECT doc_id, text, regexp_extract_all(text, '{fim.UNIT}') AS units, [CAST('0x' || hex[8 * k + 1:8 * k + 8] AS UBIGINT) FOR k IN range(4)] AS h FROM d),
+    c AS (SELECT doc_id, text, units, len(units) AS n, least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS a,
+      greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS b, CASE WHEN text = '' OR contains(text, '{fim.PREFIX}') OR contains(text, '{fim.SUFFIX}')
+        OR contains(text, '{fim.MIDDLE}') OR h[3] % 100 >= {fim.FIM_PERCENT} THEN 'plain' WHEN h[4] % 100 < {fim.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM u),
+    p AS (SELECT doc_id, text, n, form, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+      array_to_string(units[b + 1:], '') AS suffix FROM c),
+    o AS (SELECT *, CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '{fim.PREFIX}' || prefix || '{fim.SUFFIX}' || suffix || '{fim.MIDDLE}' || middle
+      ELSE '{fim.SUFFIX}' || suffix || '{fim.PREFIX}' || prefix || '{fim.MIDDLE}' || middle END AS output FROM p)
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+      CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars, sha256(output) AS output_sha256, sha256(text) AS restored_sha256 FROM o""",
+)
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents rearranged for filling in the middle, and the texts rebuilt from that."""
+    made = fim.fill_in_middle(read(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim.restored("output", "form"), 256).alias("restored_sha256"),
+    )

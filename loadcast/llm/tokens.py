@@ -7,6 +7,9 @@ import unicodedata
 from array import array
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -22,6 +25,15 @@ WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PLAIN_GAPS = regex.compile(r"\s |\s$| \s|^ ")
 _LONE_SPACE = regex.compile(r"(?<=\S) (?=\S)")
 
+# Marks of a text's first word and of a word behind a line feed, in texts cut by Arrow; texts that hold one are cut apart.
+_FIRST, _FEED = "\x03", "\x02"
+# What keeps a text from being cut at each space and line feed: other white space beside it, or at either end.
+_SPACES = r"\s\x0b\x1c-\x1f\x85\p{Z}"
+_ODD_GAPS = rf"^[{_SPACES}]|[{_SPACES}]$|[{_SPACES}][{_SPACES}][{_SPACES}]|[{_SPACES}][\t\f\r \x0b\x1c-\x1f\x85\p{{Z}}]|[\t\f\r \x0b\x1c-\x1f\x85\p{{Z}}][{_SPACES}]|[\x01-\x03]"
+_MARKS = r"[\x01-\x03]"
+# The letter that byte-level vocabularies show a space as.
+_SPACE = "\u0120"
+
 
 def tokenizer_path(name: str) -> str:
     import public_tokenizers
@@ -39,9 +51,9 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """``encode(text)`` gives what ``Tokenizer.encode(text, add_special_tokens=False).ids`` gives, as bytes.
 
-    Both vocabularies encode piece by piece, so a text's ids are its pieces' ids in order. A text is cut at
-    single spaces first; only words not met before are split into pieces, and only pieces not met before
-    go through the library's model. Texts that hold a special token go through the library as a whole,
+    Both vocabularies encode piece by piece, so a text's ids are its pieces' ids in order. :meth:`encode_many` cuts
+    texts at single spaces and line feeds in Arrow and looks each distinct word of a batch up once; only words and
+    pieces not met before go through the library's model. Texts with other gaps are split into pieces one by one. Texts that hold a special token go through the library as a whole,
     and so does any vocabulary of another make.
     """
 
@@ -87,14 +99,10 @@ class Encoder:
         return got
 
     def _word(self, word: str) -> bytes:
-        got = self.old_words.get(word)
-        if got is None:
-            text = word
-            if self.kind == "word":
-                text = word.lower() if word.isascii() else self.tokenizer.normalizer.normalize_str(word)
-            got = b"".join([self._piece(p) for p in self.split.findall(text)])
-        self.words[word] = got
-        return got
+        text = word
+        if self.kind == "word":
+            text = word.lower() if word.isascii() else self.tokenizer.normalizer.normalize_str(word)
+        return b"".join([self._piece(p) for p in self.split.findall(text)])
 
     def _forget(self) -> None:
         if len(self.words) > MEMORY // 2:
@@ -121,8 +129,69 @@ class Encoder:
         if self.kind == "word" and not text.isascii() and unicodedata.normalize("NFC", text) != text:
             text = unicodedata.normalize("NFC", text)
         self._forget()
-        known = self.words.get
-        return b"".join([known(w) or self._word(w) for w in self._cut(text)])
+        return b"".join([self._word(w) for w in self._cut(text)])
+
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the ids of marked words not met before; most are one piece of plain letters."""
+        spaced, tokenize, old = self.kind == "byte", self.model.tokenize, self.old_words.get
+        feed = self._piece("\n") if spaced else b""
+        for w in words:
+            got = old(w)
+            if got is None:
+                mark = w[:1]
+                body = w[1:] if mark in (_FIRST, _FEED) else w
+                if body.isalpha() and body.isascii():
+                    shown = body.lower() if not spaced else body if body is not w else _SPACE + body
+                    got = array("I", [t.id for t in tokenize(shown)]).tobytes()
+                    got = feed + got if mark == _FEED else got
+                else:
+                    got = self._word(body if mark == _FIRST or not spaced else "\n" + body if mark == _FEED else " " + body)
+            self.words[w] = got
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """:meth:`encode` of each text. Texts with plain gaps are cut by Arrow, and each of their words is looked up once."""
+        column = pa.array(texts, pa.large_string())
+        apart = np.zeros(len(texts), bool)
+        if self.kind == "whole":
+            apart[:] = True
+        else:
+            for s in self.special:
+                apart |= pc.match_substring(column, s).to_numpy(zero_copy_only=False)
+            odd = _ODD_GAPS if self.kind == "byte" else _MARKS
+            apart |= pc.match_substring_regex(column, odd).to_numpy(zero_copy_only=False)
+            if self.kind == "word":
+                apart |= np.fromiter((not t.isascii() and not unicodedata.is_normalized("NFC", t) for t in texts), bool, len(texts))
+        out: list[bytes] = [b""] * len(texts)
+        for k in np.flatnonzero(apart):
+            out[k] = self.encode(texts[k])
+        plain = np.flatnonzero(~apart)
+        if len(plain):
+            for k, ids in zip(plain, self._encode_plain(column.take(pa.array(plain)))):
+                out[k] = ids
+        return out
+
+    def _encode_plain(self, column: pa.Array) -> list[bytes]:
+        self._forget()
+        if self.kind == "byte":
+            marked = pc.binary_join_element_wise(
+                pa.scalar(_FIRST, column.type), pc.replace_substring(column, "\n", f" {_FEED}"), pa.scalar("", column.type)
+            )
+        else:
+            marked = pc.replace_substring(column, "\n", " ")
+        cut = pc.split_pattern(marked, " ")
+        coded = cut.values.dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        self._learn([w for w in words if w not in self.words])
+        ids = [self.words[w] for w in words]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, starts = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(sizes) - sizes
+        code = coded.indices.to_numpy()
+        size = sizes[code]
+        ends = np.cumsum(size)
+        data = flat[np.repeat(starts[code] - (ends - size), size) + np.arange(int(ends[-1]))].tobytes()
+        cuts = 4 * np.concatenate([[0], ends])[cut.offsets.to_numpy()]
+        return [data[i:j] for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
 
 
 def vocabulary_size(path: str) -> int:
@@ -144,6 +213,5 @@ def encoder(path: str) -> Encoder:
 
 def encode_all(path: str, texts: Iterable[str | None], end_id: int | None = END_ID) -> list[bytes]:
     """Ids of each text, null as empty, with the end id behind them."""
-    enc = encoder(path)
     end = b"" if end_id is None else array("I", [end_id]).tobytes()
-    return [enc.encode(t or "") + end for t in texts]
+    return [ids + end for ids in encoder(path).encode_many([t or "" for t in texts])]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import carried, in_order, keep, mixed, parts_of, python_ready, text_of
-from .tokens import END_ID, encode_all, vocabulary_size
+from .tokens import END_ID, TEXT_ROWS, encode_all, vocabulary_size
 
 LENGTH = 4096
 FEATURES = 512
@@ -119,7 +119,7 @@ def pack(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = END_ID)
     length is cut over as many sequences as it needs.
     """
     spark = docs.sparkSession
-    python_ready(spark)
+    python_ready(spark, TEXT_ROWS)
     narrow = "<u2" if max(end_id + 1, vocabulary_size(path)) <= 1 << 16 else "<u4"
     doc_id = F.col("doc_id").cast("long")
     given = docs.select(F.coalesce(doc_id, F.lit(0)).alias("doc_id"), doc_id.isNull().alias("no_id"), text_of().alias("text"))

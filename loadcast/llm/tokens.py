@@ -17,6 +17,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 END_ID = 2
 # Distinct words a worker remembers, and as many pieces; the older half goes when that many are met.
 MEMORY = 700_000
+# Texts that are cut together, so that their words are looked up once; a batch is bounded in bytes too.
+TEXT_ROWS = 1024
 
 # The split patterns of the two vocabularies, fixed values of their files.
 BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -31,6 +33,8 @@ _FIRST, _FEED = "\x03", "\x02"
 _SPACES = r"\s\x0b\x1c-\x1f\x85\p{Z}"
 _ODD_GAPS = rf"^[{_SPACES}]|[{_SPACES}]$|[{_SPACES}][{_SPACES}][{_SPACES}]|[{_SPACES}][\t\f\r \x0b\x1c-\x1f\x85\p{{Z}}]|[\t\f\r \x0b\x1c-\x1f\x85\p{{Z}}][{_SPACES}]|[\x01-\x03]"
 _MARKS = r"[\x01-\x03]"
+# The end of an ASCII word or number before another visible character.
+_WORD_END = r"([A-Za-z0-9])([!-/:-@\[-`{-~])"
 # The letter that byte-level vocabularies show a space as.
 _SPACE = "\u0120"
 
@@ -132,22 +136,20 @@ class Encoder:
         return b"".join([self._word(w) for w in self._cut(text)])
 
 
-    def _learn(self, words: list[str]) -> None:
-        """Remember the ids of marked words not met before; most are one piece of plain letters."""
-        spaced, tokenize, old = self.kind == "byte", self.model.tokenize, self.old_words.get
-        feed = self._piece("\n") if spaced else b""
-        for w in words:
-            got = old(w)
-            if got is None:
-                mark = w[:1]
-                body = w[1:] if mark in (_FIRST, _FEED) else w
-                if body.isalpha() and body.isascii():
-                    shown = body.lower() if not spaced else body if body is not w else _SPACE + body
-                    got = array("I", [t.id for t in tokenize(shown)]).tobytes()
-                    got = feed + got if mark == _FEED else got
-                else:
-                    got = self._word(body if mark == _FIRST or not spaced else "\n" + body if mark == _FEED else " " + body)
-            self.words[w] = got
+    def _learn(self, word: str) -> bytes:
+        """Ids of a marked word not met lately, remembered; most are one piece of plain letters."""
+        got = self.old_words.get(word)
+        if got is None:
+            spaced, mark = self.kind == "byte", word[:1]
+            body = word[1:] if mark == _FIRST or mark == _FEED else word
+            if body.isalpha() and body.isascii():
+                shown = body.lower() if not spaced else body if body is not word else _SPACE + body
+                got = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+                got = self._piece("\n") + got if mark == _FEED else got
+            else:
+                got = self._word(body if mark == _FIRST or not spaced else "\n" + body if mark == _FEED else " " + body)
+        self.words[word] = got
+        return got
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """:meth:`encode` of each text. Texts with plain gaps are cut by Arrow, and each of their words is looked up once."""
@@ -173,17 +175,20 @@ class Encoder:
 
     def _encode_plain(self, column: pa.Array) -> list[bytes]:
         self._forget()
-        if self.kind == "byte":
-            marked = pc.binary_join_element_wise(
-                pa.scalar(_FIRST, column.type), pc.replace_substring(column, "\n", f" {_FEED}"), pa.scalar("", column.type)
-            )
+        spaced = self.kind == "byte"
+        # Pieces end where a letter or digit meets another character, so words are cut there too and repeat more often.
+        column = pc.replace_substring_regex(column, _WORD_END, rf"\1 {_FIRST}\2" if spaced else r"\1 \2")
+        if spaced:
+            column = pc.replace_substring(column, "\n", f" {_FEED}")
+            column = pc.binary_join_element_wise(pa.scalar(_FIRST, column.type), column, pa.scalar("", column.type))
         else:
-            marked = pc.replace_substring(column, "\n", " ")
-        cut = pc.split_pattern(marked, " ")
+            column = pc.ascii_lower(pc.replace_substring(column, "\n", " "))
+        cut = pc.split_pattern(column, " ")
         coded = cut.values.dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        self._learn([w for w in words if w not in self.words])
-        ids = [self.words[w] for w in words]
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(self.words.get, words))
+        for k in [k for k, got in enumerate(ids) if got is None]:
+            ids[k] = self._learn(words[k])
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat, starts = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(sizes) - sizes
         code = coded.indices.to_numpy()

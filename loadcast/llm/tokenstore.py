@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import carried, in_order, keep, parts_of, python_ready, text_of
-from .tokens import END_ID, encode_all
+from .tokens import END_ID, TEXT_ROWS, encode_all
 
 SCHEMA = "doc_id long, ids array<int>, n_tokens long, before long, part long"
 # Bytes of a stripe, rows of a row group, share of false hits of a Bloom filter.
@@ -47,7 +47,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = END_I
     A null or empty text is the end id alone; a null doc_id sorts first; rows of equal doc_id follow each other by
     text. An empty table writes no rows. Other columns are not read. Ids must fit 31 bits.
     """
-    python_ready(docs.sparkSession)
+    python_ready(docs.sparkSession, TEXT_ROWS)
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     ranges = [F.col("doc_id"), F.substring("text", 1, 40)]
     rows = in_order(given, [F.col("doc_id"), F.col("text")], parts_of(docs.sparkSession), ranges).drop("_at")

@@ -113,7 +113,8 @@ def params_for(targets: DataFrame, params: DataFrame, on: Sequence[str] = ("targ
     return targets.join(params, on)
 
 
-def scorable(panel: DataFrame, models: DataFrame, on: str = "target") -> tuple[DataFrame, DataFrame]:
-    """Models whose target has history, and models whose target has none."""
-    have = panel.select(on).distinct()
+def scorable(panel: DataFrame, models: DataFrame, on: str | Sequence[str] = "target") -> tuple[DataFrame, DataFrame]:
+    """Models whose series has history, and models whose series has none; ``on`` names what a model is keyed by."""
+    on = [on] if isinstance(on, str) else list(on)
+    have = panel.select(*on).distinct()
     return models.join(have, on, "left_semi"), models.join(have, on, "left_anti")

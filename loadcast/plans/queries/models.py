@@ -1,7 +1,8 @@
 """Model operators.
 
-What SQL can say of a fitted model is in the result: rows, stamps, periods, counts, rules, and whether the fitted values
-keep their bounds. The values themselves are held against independent solutions in ``tests/test_models.py``.
+What SQL can say of a fitted model is in the result of the keys with SQL: rows, stamps, periods, counts, rules, and
+whether the fitted values are what they must be. The fitted values themselves are the result of the ``*_values`` keys,
+which have no SQL; ``tests/test_models.py`` and ``tests/test_fleet.py`` hold them against independent solutions.
 """
 
 from __future__ import annotations
@@ -10,15 +11,17 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ...functions.calendar import CYCLIC_FEATURES
-from ...operators.forest import ForestParams, fit_forest, importances, params_frame, refit, scores_frame, tune
+from ...operators.fleet import fit_fleet, importances_of, load_fleet, predict_fleet, registry_of, save_fleet, tune_fleet
+from ...operators.forest import ForestParams, default_grid, params_frame
 from ...operators.interpolate import fill_time
 from ...operators.lasso import fit_hourly, penalty_summary, predict_hourly
 from ...operators.lags import DEFAULT_LAGS, lag_name
 from ...operators.pricing import n_features, price_design, robust_scale
-from ...operators.splits import fold_contiguous, fold_expanding, regression_metrics, split_label, trailing_window
-from ...sources.models import load_models, save_models
+from ...operators.splits import regression_metrics, split_label, trailing_window
+from ...sources.panel import METRICS_SCHEMA, write_metrics
 from ...sources.weather import WEATHER_COLUMNS, explode_regular_block
-from ..load import forecast_load, retrain_load, rows_of, series_of, train_load_models, training_panel, wide_dataset
+from ..fleet import forecast_fleet, retrain_fleet, train_fleet
+from ..load import training_panel, wide_dataset
 from ..pricejobs import design_and_anchors, forecast_prices
 from .aggregates import DAYS_IN_WINDOW, LAST_DAY, window_design
 from .base import GRID, PRICES, TZ, Tables, local, query, rnd, to_utc
@@ -121,8 +124,8 @@ def lear_backtest(t: Tables):
 TARGETS = ["click", "error", "purchase", "signup", "view"]
 FEATURES = [*WEATHER_COLUMNS, *CYCLIC_FEATURES, "campus_closed", "T_open"]
 LAGS = DEFAULT_LAGS
-SMALL = ForestParams(10, "sqrt", 5)
-GRID_POINTS = [ForestParams(5, "sqrt", 5), ForestParams(10, "log2", 10)]
+PARAMS = ForestParams(100, "sqrt", 5)
+GRID_POINTS = default_grid()
 TRAIN_END = "2024-01-24 00:00:00"
 
 # Rows that can be trained on: a week after a target's first bin, when all its lags are known.
@@ -158,7 +161,12 @@ def _split(rows):
 
 
 def _finite():
-    return F.coalesce((F.col("rmse") > 0) & (F.col("mae") <= F.col("rmse")) & F.col("r2").isNotNull(), F.lit(False)).alias("sound")
+    """Errors are positive and in the order that any errors must have."""
+    return F.coalesce((F.col("rmse") > 0) & (F.col("mae") <= F.col("rmse")) & (F.col("r2") < 1), F.lit(False)).alias("sound")
+
+
+def params_of_all(t: Tables):
+    return params_frame(t.spark, dict.fromkeys([("S1", x) for x in TARGETS], PARAMS))
 
 
 def bounded(scored, trained):
@@ -168,31 +176,41 @@ def bounded(scored, trained):
     return scored.join(span, ["site_id", "target"]).withColumn("within", within).drop("_lo", "_hi", "yhat", "y")
 
 
-@query("rf_fit", f"WITH {VALID} SELECT site_id, target, n_test AS n_rows, 1 AS sound FROM n")
-def rf_fit(t: Tables):
-    """Held-out metrics of one forest per series."""
+def _fit_metrics(t: Tables):
     rows, names = panel(t)
     split = _split(rows)
-    tested = None
-    for series in series_of(rows):
-        own = rows_of(split, series)
-        model = fit_forest(own.where(F.col("split") == "train"), names, SMALL)
-        scored = model.transform(own.where(F.col("split") == "test")).select("site_id", "target", "y", "yhat")
-        tested = scored if tested is None else tested.unionByName(scored)
-    return regression_metrics(tested, ["site_id", "target"]).select("site_id", "target", "n_rows", _finite())
+    trees = fit_fleet(split.where(F.col("split") == "train"), names, params_of_all(t))
+    scored = predict_fleet(split.where(F.col("split") == "test"), trees, ["site_id", "target", "y"])
+    return regression_metrics(scored, ["site_id", "target"])
+
+
+@query("rf_fit", f"WITH {VALID} SELECT site_id, target, n_test AS n_rows, 1 AS sound FROM n")
+def rf_fit(t: Tables):
+    """Rows behind the held-out metrics of one forest per series."""
+    return _fit_metrics(t).select("site_id", "target", "n_rows", _finite())
+
+
+@query("rf_fit_values")
+def rf_fit_values(t: Tables):
+    """Held-out RMSE, MAE and R² of one forest of 100 trees per series."""
+    return _fit_metrics(t)
+
+
+def _scores(t: Tables, folds: str):
+    """Fold errors of the whole grid, written once per session: the training job reads them too."""
+
+    def tuned():
+        rows, names = panel(t)
+        return tune_fleet(_split(rows).where(F.col("split") == "train").drop("split"), names, GRID_POINTS, folds)
+
+    return t.stored(f"scores-{folds}", tuned)
 
 
 def _tuned(t: Tables, folds: str):
-    """Scores with the rows each fold was tested on."""
-    rows, names = panel(t)
-    train = _split(rows).where(F.col("split") == "train")
-    scores = {x: tune(rows_of(train, x), names, GRID_POINTS, folds) for x in series_of(rows)}
-    label = fold_contiguous if folds == "contiguous" else fold_expanding
-    tested = label(train, ["site_id", "target"], 3).groupBy("site_id", "target").agg(
-        *[F.count_if(F.col("fold") == k).alias(f"tested_{k}") for k in range(3)]
-    )
-    return scores_frame(t.spark, scores).join(tested, ["site_id", "target"]).select(
-        "site_id", "target", "param_order", "params.*", "tested_0", "tested_1", "tested_2", (F.col("mse") > 0).alias("sound")
+    """Every grid point of every series, with the rows each fold was tested on; sound: all fold errors are positive."""
+    tested = [F.max(F.when(F.col("fold") == k, F.col("n_rows"))).alias(f"tested_{k}") for k in range(3)]
+    return _scores(t, folds).groupBy("site_id", "target", "param_order", "params").agg(*tested, (F.min("mse") > 0).alias("sound")).select(
+        "site_id", "target", "param_order", "params.*", "tested_0", "tested_1", "tested_2", "sound"
     )
 
 
@@ -215,49 +233,86 @@ def rf_grid_expanding(t: Tables):
     return _tuned(t, "expanding")
 
 
+def _errors(scores):
+    return scores.select("site_id", "target", "param_order", "params.*", "fold", "n_rows", "mse")
+
+
+@query("rf_grid_contiguous_values")
+def rf_grid_contiguous_values(t: Tables):
+    """Error of each of the 75 grid points in each contiguous fold of each series."""
+    return _errors(_scores(t, "contiguous"))
+
+
+@query("rf_grid_expanding_values")
+def rf_grid_expanding_values(t: Tables):
+    """Error of each of the 75 grid points in each expanding fold of each series."""
+    return _errors(_scores(t, "expanding"))
+
+
 @query("rf_refit", f"WITH {VALID} SELECT site_id, target, ts, 1 AS within FROM v")
 def rf_refit(t: Tables):
     """Forests refitted on the last 14 days, over every valid row: forecasts lie among the targets of those days."""
     rows, names = panel(t)
-    out = None
-    for series in series_of(rows):
-        own = rows_of(rows, series)
-        scored = refit(own, names, SMALL, days=14).transform(own).select("site_id", "target", "ts", "yhat")
-        out = scored if out is None else out.unionByName(scored)
-    return bounded(out, trailing_window(rows, ["site_id", "target"], 14))
+    recent = trailing_window(rows, ["site_id", "target"], 14)
+    return bounded(predict_fleet(rows, fit_fleet(recent, names, params_of_all(t))), recent)
 
 
 def _models(t: Tables):
-    """Forests of every series, saved once per session and loaded from their folders."""
-    return load_models(t.spark, t.once("forests", lambda path: _save_forests(t, path)))
+    """Forests of every series, saved once per session and read from their folders."""
+    return load_fleet(t.spark, t.once("forests", lambda path: _save_forests(t, path)))
 
 
 def _save_forests(t: Tables, path: str) -> None:
     rows, names = panel(t)
-    fitted = {x: refit(rows_of(rows, x), names, SMALL) for x in series_of(rows)}
-    save_models(t.spark, fitted, path)
+    save_fleet(fit_fleet(rows, names, params_of_all(t)), path)
+
+
+@query(
+    "model_registry",
+    f"""WITH {VALID} SELECT site_id, target, {PARAMS.trees} AS trees, '{','.join([*FEATURES, *[lag_name(h) for h in DEFAULT_LAGS]])}' AS features,
+      1 AS leaves_kept FROM s""",
+)
+def model_registry(t: Tables):
+    """One row per saved model, its features in their order; leaves_kept: no leaf holds fewer rows than asked for."""
+    kept = (F.col("smallest_leaf") >= PARAMS.min_leaf).alias("leaves_kept")
+    return registry_of(_models(t)).select("site_id", "target", "trees", F.concat_ws(",", "features").alias("features"), kept)
 
 
 IMPORTANCES = f"WITH {VALID} SELECT site_id, target, feature, 1 AS share, 1.0 AS total FROM s, (VALUES {FEATURE_ROWS}) q(feature)"
 
 
-def _shares(ranked):
+def _shares(ranked, *more: str):
     """Every feature of every series, its importance being a share of one."""
     whole = Window.partitionBy("site_id", "target")  # the features of one model
     return ranked.select(
-        "site_id", "target", "feature", F.col("importance").between(0, 1).alias("share"), F.round(F.sum("importance").over(whole), 6).alias("total")
+        "site_id", "target", "feature", F.col("importance").between(0, 1).alias("share"), F.round(F.sum("importance").over(whole), 6).alias("total"), *more
     )
 
 
+def _retrained(t: Tables):
+    data = dataset(t)
+    history = data.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp"))
+    block = data.where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp"))
+    return importances_of(retrain_fleet(history, block, params_of_all(t), TARGETS, 14, FEATURES, LAGS)[1])
+
+
 @query("rf_retrain", IMPORTANCES)
 def rf_retrain(t: Tables):
     """Importances after appending the days from 15 January and refitting from stored parameters."""
+    return _shares(_retrained(t))
+
+
+@query("rf_retrain_values")
+def rf_retrain_values(t: Tables):
+    """Importance and rank of every feature of the refitted models."""
+    return _retrained(t)
+
+
+def _day_ahead(t: Tables):
     data = dataset(t)
-    history = data.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp"))
-    block = data.where(F.col("ts") >= F.lit("2024-01-15").cast("timestamp"))
-    params = params_frame(t.spark, dict.fromkeys([("S1", x) for x in TARGETS], SMALL))
-    _, models = retrain_load(t.spark, history, block, params, TARGETS, 14, FEATURES, LAGS)
-    return _shares(importances(t.spark, models))
+    history = data.unpivot(["site_id", "ts"], TARGETS, "target", "y")
+    weather = data.select("site_id", "ts", *WEATHER_COLUMNS)
+    return forecast_fleet(history, weather, t.event_holidays, _models(t), "2024-01-30", TZ, hours=LAGS, features=FEATURES)[0]
 
 
 @query(
@@ -267,30 +322,62 @@ def rf_retrain(t: Tables):
 )
 def day_ahead_forecast(t: Tables):
     """30 January from saved forests, weather of the day, and targets up to two days before its end."""
-    data = dataset(t)
-    history = data.unpivot(["site_id", "ts"], TARGETS, "target", "y")
-    weather = data.select("site_id", "ts", *WEATHER_COLUMNS)
-    out = forecast_load(history, weather, t.event_holidays, _models(t), "2024-01-30", TZ, hours=LAGS, features=FEATURES)
-    return bounded(out, panel(t)[0])
+    return bounded(_day_ahead(t), panel(t)[0])
+
+
+@query("day_ahead_forecast_values")
+def day_ahead_forecast_values(t: Tables):
+    """The forecast of every series and quarter-hour."""
+    return _day_ahead(t)
 
 
-@query("importance_rank", IMPORTANCES)
+@query("importance_rank", IMPORTANCES.replace("1.0 AS total", "1.0 AS total, 1 AS ranked"))
 def importance_rank(t: Tables):
-    return _shares(importances(t.spark, _models(t)))
+    """Every feature's share; ranked: no feature behind this one has a higher share, and ranks have no gap."""
+    ranked = importances_of(_models(t))
+    order = Window.partitionBy("site_id", "target").orderBy("rank")  # the features of one model
+    sound = (F.lag("importance", 1, 2.0).over(order) >= F.col("importance")) & (F.col("rank") == F.row_number().over(order))
+    return _shares(ranked.withColumn("ranked", sound), "ranked")
 
 
-@query(
-    "train_load_models",
-    f"""WITH {VALID}, fin AS (SELECT site_id, target, min(ts) AS final_train_start, max(ts) AS final_train_end, count(*) AS final_train_samples
+@query("importance_rank_values")
+def importance_rank_values(t: Tables):
+    """Importance and rank of every feature of the saved models."""
+    return importances_of(_models(t))
+
+
+def _trained(t: Tables):
+    rows, names = panel(t)
+    return train_fleet(rows, names, _scores(t, "contiguous"), F.lit(TRAIN_END).cast("timestamp"), final_days=14)
+
+
+PERIODS = ["train_start", "train_end", "test_start", "test_end", "n_train", "n_test", "final_train_start", "final_train_end", "final_train_samples"]
+
+
+PERIODS_SQL = f"""WITH {VALID}, fin AS (SELECT site_id, target, min(ts) AS final_train_start, max(ts) AS final_train_end, count(*) AS final_train_samples
       FROM v JOIN (SELECT site_id, target, z FROM n) e USING (site_id, target) WHERE ts >= z - INTERVAL 14 day GROUP BY ALL)
     SELECT site_id, target, train_start, train_end, test_start, test_end, n_train, n_test, final_train_start, final_train_end, final_train_samples, 1 AS sound
-    FROM n JOIN fin USING (site_id, target)""",
-)
+    FROM n JOIN fin USING (site_id, target)"""
+
+
+@query("train_load_models", PERIODS_SQL)
 def train_models(t: Tables):
-    """Periods and counts of the whole training job's typed metrics."""
-    rows, names = panel(t)
-    done = train_load_models(rows, names, F.lit(TRAIN_END).cast("timestamp"), None, GRID_POINTS, final_days=14)
-    return done.metrics.select(
-        "site_id", "target", "train_start", "train_end", "test_start", "test_end", "n_train", "n_test", "final_train_start", "final_train_end",
-        "final_train_samples", _finite(),
-    )
+    """Periods and counts of the whole training job's typed metrics, parameters chosen from the whole grid."""
+    return _trained(t).metrics.select("site_id", "target", *PERIODS, _finite())
+
+
+def _written_metrics(t: Tables):
+    path = t.once("metrics", lambda path: write_metrics(_trained(t).metrics, path))
+    return t.spark.read.schema(METRICS_SCHEMA).parquet(path)
+
+
+@query("metrics_sink", PERIODS_SQL)
+def metrics_sink(t: Tables):
+    """The training job's metrics, written and read back by their schema."""
+    return _written_metrics(t).select("site_id", "target", *PERIODS, _finite())
+
+
+@query("train_load_models_values")
+def train_models_values(t: Tables):
+    """The typed metrics: chosen parameters, held-out errors, periods and counts."""
+    return _written_metrics(t).select("site_id", "target", "params.*", "rmse", "mae", "r2", *PERIODS)

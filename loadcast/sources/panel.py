@@ -64,7 +64,7 @@ def write_training_matrix(df: DataFrame, path: str, fmt: str = "parquet", ts: st
 METRICS_SCHEMA = (
     "site_id string, target string, params struct<trees int, features string, min_leaf int>, rmse double, mae double, r2 double, "
     "train_start timestamp, train_end timestamp, test_start timestamp, test_end timestamp, n_train bigint, n_test bigint, "
-    "final_train_start timestamp, final_train_end timestamp, final_train_samples bigint"
+    "final_train_start timestamp, final_train_end timestamp, final_train_samples bigint, trees_at_limit int"
 )
 
 

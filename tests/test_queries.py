@@ -17,7 +17,9 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    """All but the fitted values of model queries, whose digests have it."""
+    assert {name for name in QUERIES if not name.endswith("_values")} == set(ORACLES)
+    assert {name.removesuffix("_values") for name in QUERIES} == set(ORACLES)
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

@@ -19,7 +19,7 @@ from ..functions.scalars import clip
 from ..functions.timecols import HOUR, shift
 from ..session import ship_package
 from .pricing import (
-    DEFAULT_WINDOW_DAYS, HOURS, N_DUMMIES, WARMUP_DAYS, block_start, calibration_days, is_small, known, n_features,
+    DEFAULT_WINDOW_DAYS, HOURS, WARMUP_DAYS, block_start, calibration_days, is_small, known, n_features, rolling_scales,
 )
 
 # Penalty grid and folds of the cross-validated choice.
@@ -133,16 +133,15 @@ def penalty_by_cv(x: np.ndarray, y: np.ndarray) -> float:
     return float(grid[errors.argmin()])
 
 
-def robust_scales(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    q1, mid, q3 = np.percentile(a, [25, 50, 75], axis=0)
-    return mid, np.where(q3 - q1 == 0, 1.0, q3 - q1)
+Scales = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
-def fit_day(x: np.ndarray, y: np.ndarray, rule: str) -> list[tuple]:
-    """(rule, penalty, n_nonzero, intercept, coef) per output hour, in raw units; ``rule`` is ``aic`` or ``cv7``."""
-    center, scale = np.zeros(x.shape[1]), np.ones(x.shape[1])
-    center[:-N_DUMMIES], scale[:-N_DUMMIES] = robust_scales(x[:, :-N_DUMMIES])
-    y_center, y_scale = robust_scales(y)
+def fit_day(x: np.ndarray, y: np.ndarray, rule: str, scales: Scales) -> list[tuple]:
+    """(rule, penalty, n_nonzero, intercept, coef) per output hour, in raw units; ``rule`` is ``aic`` or ``cv7``.
+
+    ``scales``: center and range of the features and of the outputs (``pricing.rolling_scales``).
+    """
+    center, scale, y_center, y_scale = scales
     xs, ys = (x - center) / scale, (y - y_center) / y_scale
     xm = xs.mean(0)
     out = []
@@ -176,6 +175,7 @@ def fit_hourly(
     keys = ["zone", "phase", "_block"]
     due = anchors.select("zone", "phase", "day", F.floor(F.col("day") / days_per_group).cast("int").alias("_block")).distinct()
     due = due.join(_rules(design, due, window_days, rule), ["zone", "phase", "day"], "left")
+    due = due.join(rolling_scales(design, due, span), ["zone", "phase", "day"], "left")
     rows = (
         design.where(known("x") & known("y"))
         .select(
@@ -191,18 +191,19 @@ def fit_hourly(
     )
     # New names keep the two sides of the cogroup apart: both may come from one price table.
     due = due.select(*[F.col(c).alias(f"{c}_due") for c in due.columns])
+    scale_names = [f"{c}_due" for c in ("x_center", "x_range", "y_center", "y_range")]
 
     def fit(known_days: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         out = []
         known_days = known_days.sort_values("day")
         day = known_days["day"].to_numpy()
-        for zone, phase, anchor, chosen in wanted[["zone_due", "phase_due", "day_due", "rule_due"]].itertuples(index=False):
+        for zone, phase, anchor, chosen, *scales in wanted[["zone_due", "phase_due", "day_due", "rule_due", *scale_names]].itertuples(index=False):
             use = np.flatnonzero((day < anchor) & (day >= anchor - span)) if len(day) else np.zeros(0, int)
             try:
                 if len(use) < 2:
                     raise ValueError(f"{len(use)} known days in the window")
                 x, y = (np.stack(known_days[c].to_numpy()[use]) for c in ("x", "y"))
-                models = fit_day(x, y, chosen)
+                models = fit_day(x, y, chosen, tuple(np.asarray(s, float) for s in scales))
             except ValueError as reason:
                 models = [(str(reason), None, None, None, None)] * HOURS
             out += [(zone, phase, anchor, hour, len(use), *model) for hour, model in enumerate(models)]
@@ -260,5 +261,31 @@ def anchors_of(days: DataFrame, tz: str, zone: str = "zone", local_day: str = "f
     )
 
 
+def optimality(design: DataFrame, models: DataFrame, window_days: int) -> DataFrame:
+    """How far each model is from the conditions of its penalty's optimum: (zone, phase, day, hour, excess, slack).
+
+    In scaled units a feature's gradient is its mean product with the residuals. ``excess``: the largest gradient over the
+    penalty, 1 at the optimum of a model with any coefficient; ``slack``: the largest share by which the gradient of a
+    non-zero coefficient stays away from the penalty. Computed from rows and coefficients alone. Models without
+    coefficients are left out.
+    """
+    span = window_days - WARMUP_DAYS
+    keys = ["zone", "phase", "day"]
+    fitted = models.where(F.col("coef").isNotNull() & (F.col("penalty") > 0))
+    scales = rolling_scales(design, fitted.select(*keys).distinct(), span)
+    past = design.where(known("x") & known("y")).select("zone", "phase", F.col("day").alias("_at"), "x", "y")
+    dot = F.aggregate(F.zip_with("coef", "x", lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
+    rows = fitted.withColumn("_at", F.explode(F.sequence(F.col("day") - span, F.col("day") - 1))).join(past, ["zone", "phase", "_at"])
+    left = rows.select(*keys, "hour", "penalty", "coef", "n_days", (F.get("y", F.col("hour")) - F.col("intercept") - dot).alias("_r"), "x")
+    sums = left.select(*keys, "hour", "penalty", "n_days", "_r", F.posexplode(F.arrays_zip("x", "coef")).alias("feature", "c")).groupBy(
+        *keys, "hour", "penalty", "n_days", "feature"
+    ).agg(F.sum(F.col("c.x") * F.col("_r")).alias("_g"), F.first("c.coef").alias("_b"))
+    each = sums.join(scales, keys)
+    gradient = F.abs(F.col("_g")) / (F.col("n_days") * F.get("x_range", F.col("feature")) * F.get("y_range", F.col("hour"))) / F.col("penalty")
+    return each.groupBy(*keys, "hour").agg(
+        F.max(gradient).alias("excess"), F.coalesce(F.max(F.when(F.col("_b") != 0, F.abs(gradient - 1))), F.lit(0.0)).alias("slack")
+    )
+
+
 def penalty_summary(models: DataFrame, keys: Sequence[str] = ("zone",)) -> DataFrame:
     return models.select(*keys, "day", "hour", "rule", "penalty", "n_nonzero", "n_days")

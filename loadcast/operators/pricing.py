@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.timecols import DAY, HOUR, epoch_s, to_local
@@ -138,6 +138,44 @@ def robust_scale(design: DataFrame, keys: Sequence[str], array: str = "x", skip_
     return design.join(stats, list(keys)).withColumn(array, F.transform(array, scaled)).drop("_stats")
 
 
+def rolling_scales(design: DataFrame, anchors: DataFrame, span: int, skip_last: int = N_DUMMIES) -> DataFrame:
+    """Median and range of every feature and output over the ``span`` days before each anchor.
+
+    Rows (zone, phase, day, x_center, x_range, y_center, y_range), one per anchor that has a known day in its window;
+    the last ``skip_last`` features have center 0 and range 1, a zero range is 1, as in :func:`robust_scale`. Days with
+    an unknown hour don't count.
+
+    Exact order statistics by one sliding window per (zone, phase, feature): the days of one feature, thousands at most
+    whatever the number of anchors, and no design row is copied per anchor.
+    """
+    keys = ["zone", "phase"]
+    width = F.size("x")
+    cells = F.concat(F.slice(F.col("x"), F.lit(1), width - skip_last), F.col("y"))
+    rows = design.where(known("x") & known("y")).select(*keys, "day", width.alias("_p"), F.posexplode(cells).alias("feature", "value"))
+    size = design.groupBy(*keys).agg(F.max(width).alias("_p"))
+    asked = anchors.select(*keys, "day").distinct().join(size, keys).select(
+        *keys, "day", "_p", F.explode(F.sequence(F.lit(0), F.col("_p") - skip_last + HOURS - 1)).alias("feature"), F.lit(None).cast("double").alias("value"),
+        F.lit(True).alias("_asked"),
+    )
+    both = rows.withColumn("_asked", F.lit(False)).unionByName(asked)
+    window = Window.partitionBy(*keys, "feature").orderBy("day").rangeBetween(-span, -1)
+    q = F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).over(window)
+    stats = both.select("*", q.alias("_q")).where(F.col("_asked") & F.col("_q").isNotNull())
+    iqr = F.get("_q", F.lit(2)) - F.get("_q", F.lit(0))
+    one = F.struct("feature", F.get("_q", F.lit(1)).alias("center"), F.when(iqr == 0, 1.0).otherwise(iqr).alias("range"))
+    of = stats.groupBy(*keys, "day").agg(F.max("_p").alias("_p"), F.array_sort(F.collect_list(one)).alias("_s"))
+
+    def part(name: str, first, n, fill: float | None = None):
+        got = F.slice(F.col(f"_s.{name}"), first, n)
+        return got if fill is None else F.concat(got, F.array_repeat(F.lit(fill), skip_last))
+
+    n = F.col("_p") - skip_last
+    return of.select(
+        *keys, "day", part("center", F.lit(1), n, 0.0).alias("x_center"), part("range", F.lit(1), n, 1.0).alias("x_range"),
+        part("center", n + 1, F.lit(HOURS)).alias("y_center"), part("range", n + 1, F.lit(HOURS)).alias("y_range"),
+    )
+
+
 def small_mode(prices: DataFrame, keys: Sequence[str], window_days: int = DEFAULT_WINDOW_DAYS, n_exog: int = 0) -> DataFrame:
     """Per series: are there fewer counted calibration days than features?"""
     days = calibration_days(F.count(F.lit(1)), window_days)

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from ...functions.calendar import CYCLIC_FEATURES
 from ...operators.fleet import fit_fleet, importances_of, load_fleet, predict_fleet, registry_of, save_fleet, tune_fleet
 from ...operators.forest import ForestParams, default_grid, params_frame
-from ...operators.interpolate import fill_time
-from ...operators.lasso import fit_hourly, penalty_summary, predict_hourly
+from ...functions.timecols import HOUR
+from ...operators.grid import resample_mean
+from ...operators.interpolate import fill_linear, fill_time
+from ...operators.lasso import fit_hourly, optimality, penalty_summary, predict_hourly
 from ...operators.lags import DEFAULT_LAGS, lag_name
-from ...operators.pricing import n_features, price_design, robust_scale
+from ...operators.pricing import DEFAULT_WINDOW_DAYS, price_design, robust_scale, rolling_scales
 from ...operators.splits import regression_metrics, split_label, trailing_window
 from ...sources.panel import METRICS_SCHEMA, write_metrics
 from ...sources.weather import WEATHER_COLUMNS, explode_regular_block
@@ -53,11 +55,39 @@ def price_design_scaled(t: Tables):
     return scaled.select("zone", "day", F.posexplode("x").alias("feature", "value"))
 
 
+@query(
+    "rolling_scales",
+    f"""WITH {DESIGN}, ok AS (SELECT zone, day FROM xs GROUP BY ALL HAVING count(value) = 103),
+    ky AS (SELECT zone, CAST(epoch(date_trunc('day', ts)) / 86400 AS INTEGER) AS day FROM p GROUP BY ALL HAVING count(price) = 24),
+    tr AS (SELECT xs.* FROM xs JOIN ok USING (zone, day) JOIN ky USING (zone, day) WHERE feature < 96),
+    an AS (SELECT DISTINCT zone, day FROM xs)
+    SELECT an.zone, an.day, feature, {rnd('quantile_cont(value, 0.5::DOUBLE)')} AS center,
+      {rnd('CASE WHEN quantile_cont(value, 0.75::DOUBLE) = quantile_cont(value, 0.25::DOUBLE) THEN 1 ELSE quantile_cont(value, 0.75::DOUBLE) - quantile_cont(value, 0.25::DOUBLE) END')} AS range
+    FROM an JOIN tr ON tr.zone = an.zone AND tr.day >= an.day - {DAYS_IN_WINDOW - 7} AND tr.day < an.day GROUP BY ALL""",
+)
+def scales_of_all_days(t: Tables):
+    """Center and range of every price feature over the window before each day of each zone."""
+    design = price_design(t.price_history, "zone", [0])
+    scales = rolling_scales(design, design, DAYS_IN_WINDOW - 7)
+    both = F.slice(F.arrays_zip("x_center", "x_range"), F.lit(1), F.lit(96))
+    return scales.select("zone", "day", F.posexplode(both).alias("feature", "s")).select(
+        "zone", "day", "feature", F.col("s.x_center").alias("center"), F.col("s.x_range").alias("range")
+    )
+
+
 def _last_day_models(t: Tables, rule: str):
     """Models of the last local day of every zone, from the 21 days before it."""
     dates = t.price_history.groupBy("zone").agg(F.lit("2024-01-30").cast("date").alias("forecast_date"))
     design, anchors = design_and_anchors(t.price_history, dates, TZ)
-    return design, fit_hourly(design, anchors, DAYS_IN_WINDOW, rule)
+    return design, t.stored(f"last-day-{rule}", lambda: fit_hourly(design, anchors, DAYS_IN_WINDOW, rule))
+
+
+def _optimal(design, models):
+    """Models with whether they meet the conditions of their penalty's optimum."""
+    checked = optimality(design, models, DAYS_IN_WINDOW).withColumn("sound", (F.col("excess") <= 1 + 1e-6) & (F.col("slack") <= 1e-6))
+    return models.join(checked.select("zone", "phase", "day", "hour", "sound"), ["zone", "phase", "day", "hour"], "left").withColumn(
+        "sound", F.coalesce("sound", F.lit(False))
+    )
 
 
 # Hours of every zone, and the 14 training days before the last local day, which starts at 23:00 UTC.
@@ -73,20 +103,32 @@ LAST_ANCHOR = "CAST(epoch(TIMESTAMP '2024-01-29') / 86400 AS INTEGER) AS day"
     f"WITH {ZONES} SELECT zone, {LAST_ANCHOR}, hour, 'cv7' AS rule, n_days, 1 AS sound FROM wins, hours",
 )
 def lasso_penalty_select(t: Tables):
-    """Rule and days behind every hour's penalty; sound: the penalty is positive and the model no larger than its design."""
-    sound = (F.col("penalty") > 0) & F.col("n_nonzero").between(0, n_features())
-    return penalty_summary(_last_day_models(t, "cv7")[1]).select("zone", "day", "hour", "rule", "n_days", sound.alias("sound"))
+    """Rule and days behind every hour's penalty; sound: the model is the optimum at that penalty."""
+    return _optimal(*_last_day_models(t, "cv7")).select("zone", "day", "hour", "rule", "n_days", "sound")
+
+
+@query("lasso_penalty_select_values")
+def lasso_penalty_select_values(t: Tables):
+    """The chosen penalty of every hour and how many coefficients it leaves."""
+    return penalty_summary(_last_day_models(t, "cv7")[1])
 
 
 @query("lear_fit", f"WITH {ZONES} SELECT zone, {LAST_ANCHOR}, hour, 'cv7' AS rule, n_days, 103 AS n_coef, 1 AS sound FROM wins, hours")
 def lear_fit(t: Tables):
-    """The fitted models' rule, days and size; sound: every number is finite and as many are non-zero as stated."""
-    models = _last_day_models(t, "auto")[1]
-    finite = lambda c: ~F.isnan(c) & (F.abs(c) < float("inf"))
-    sound = finite(F.col("intercept")) & F.forall("coef", finite) & (F.size(F.filter("coef", lambda c: c != 0)) == F.col("n_nonzero"))
+    """The fitted models' rule, days and size; sound: the model is its penalty's optimum, with as many non-zero as stated."""
+    models = _optimal(*_last_day_models(t, "auto"))
+    sound = F.col("sound") & (F.size(F.filter("coef", lambda c: c != 0)) == F.col("n_nonzero"))
     return models.select("zone", "day", "hour", "rule", "n_days", F.size("coef").alias("n_coef"), sound.alias("sound"))
 
 
+@query("lear_fit_values")
+def lear_fit_values(t: Tables):
+    """Intercept and coefficients of every zone and hour, one row each; feature -1 is the intercept."""
+    every = F.concat(F.array("intercept"), "coef")
+    rows = _last_day_models(t, "auto")[1].select("zone", "day", "hour", F.posexplode(every).alias("at", "value"))
+    return rows.select("zone", "day", "hour", (F.col("at") - 1).alias("feature"), "value")
+
+
 def _known():
     return F.coalesce(F.col("yhat") >= 0, F.lit(False)).alias("known")
 
@@ -102,6 +144,13 @@ def lear_forecast(t: Tables):
     return out.select("zone", "phase", "day", "hour", "ts", _known(), F.col("reason").isNotNull().alias("failed"))
 
 
+@query("lear_forecast_values")
+def lear_forecast_values(t: Tables):
+    """The forecast of every zone and hour of the last day."""
+    design, models = _last_day_models(t, "auto")
+    return predict_hourly(design, models)
+
+
 @query(
     "lear_backtest",
     f"""WITH {ZONES}, dd AS (SELECT DISTINCT zone, CAST({local()} AS DATE) AS d FROM p),
@@ -110,13 +159,66 @@ def lear_forecast(t: Tables):
 )
 def lear_backtest(t: Tables):
     """A rolling back-test: every local day with three weeks of prices before it, every zone."""
+    return _backtest(t).select("zone", "hour", "ts", "ts_local", _known())
+
+
+@query("lear_backtest_values")
+def lear_backtest_values(t: Tables):
+    """The back-test's forecasts beside the prices that came true."""
+    return _backtest(t).join(t.price_history.select("zone", "ts", "price"), ["zone", "ts"], "left").select("zone", "ts", "hour", "yhat", "price", "reason")
+
+
+def _backtest(t: Tables):
     days = t.price_history.where(F.col("price").isNotNull()).select(
         "zone", F.to_date(F.from_utc_timestamp("ts", TZ)).alias("forecast_date")
     ).distinct()
     starts = days.groupBy("zone").agg(F.min("forecast_date").alias("first"))
     due = days.join(starts, "zone").where(F.col("forecast_date") > F.date_add("first", DAYS_IN_WINDOW + 1)).drop("first")
-    out = forecast_prices(t.price_history, due, TZ, DAYS_IN_WINDOW, days_per_group=2)
-    return out.select("zone", "hour", "ts", "ts_local", _known())
+    return forecast_prices(t.price_history, due, TZ, DAYS_IN_WINDOW, days_per_group=2)
+
+
+# Years of prices, so that the default window of 364 days has more days than features: daily order values per priority
+# stand in for a market's days, an order's key for the hour; unknown hours are interpolated.
+LONG_PRICES = """o AS (SELECT o_orderpriority AS zone, o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS ts FROM orders),
+    b AS (SELECT zone, min(ts) AS a, max(ts) AS z FROM o GROUP BY zone), dd AS (SELECT zone, a, z, CAST(timezone('Europe/Rome', timezone('UTC', z)) AS DATE) - k AS d FROM b, (SELECT CAST(unnest([1, 2]) AS INTEGER) AS k)),
+    hh AS (SELECT CAST(unnest(generate_series(0, 23)) AS INTEGER) AS hour)"""
+
+
+def long_prices(t: Tables):
+    orders = t.read("orders").select(
+        F.col("o_orderpriority").alias("zone"), F.col("o_totalprice").alias("price"),
+        F.timestamp_seconds(F.unix_seconds(F.col("o_orderdate").cast("timestamp")) + F.pmod("o_orderkey", F.lit(24)) * 3600).alias("ts"),
+    )
+    return t.stored("long-prices", lambda: fill_linear(resample_mean(orders, ["zone"], value="price", step=HOUR), ["zone"], ["price"], both=True))
+
+
+@query(
+    "lear_forecast_year",
+    f"""WITH {LONG_PRICES} SELECT zone, hour, {to_utc('(CAST(d AS TIMESTAMP))')} + to_hours(hour) AS ts, 'aic' AS rule, 357 AS n_days, 1 AS known FROM dd, hh""",
+)
+def lear_forecast_year(t: Tables):
+    """The last two whole local days of every zone from the default window of 364 days, where AIC chooses the penalty."""
+    return _year(t).select("zone", "hour", "ts", "rule", "n_days", _known())
+
+
+@query("lear_forecast_year_values")
+def lear_forecast_year_values(t: Tables):
+    """Forecast, penalty and number of coefficients of every hour of these days."""
+    return _year(t)
+
+
+def _year(t: Tables):
+    prices = long_prices(t)
+    last = prices.groupBy("zone").agg(F.to_date(F.from_utc_timestamp(F.max("ts"), TZ)).alias("last"))
+    dates = last.select("zone", F.explode(F.sequence(F.date_sub("last", 2), F.date_sub("last", 1))).alias("forecast_date"))
+    first = dates.agg(F.min("forecast_date")).first()[0]
+    recent = prices.where(F.col("ts") >= F.date_sub(F.lit(first), DEFAULT_WINDOW_DAYS + 8).cast("timestamp"))
+    design, anchors = design_and_anchors(recent, dates, TZ)
+    models = t.stored("year-models", lambda: fit_hourly(design, anchors, days_per_group=1))
+    out = predict_hourly(design, models)
+    return out.join(models.select("zone", "phase", "day", "hour", "rule", "n_days", "penalty", "n_nonzero"), ["zone", "phase", "day", "hour"]).select(
+        "zone", "hour", "ts", "rule", "n_days", "penalty", "n_nonzero", "yhat"
+    )
 
 
 # Forests -------------------------------------------------------------------------------------

@@ -11,8 +11,8 @@ from loadcast.operators.forest import (
     ForestParams, best_params, default_grid, fit_forest, importances, params_frame, scores_frame, trees_at_limit, tune,
 )
 from loadcast.operators.lags import lag_name
-from loadcast.operators.lasso import _rules, fit_day, l1_path, path_at, penalty_by_aic, penalty_by_cv
-from loadcast.operators.pricing import n_features, price_design, small_mode
+from loadcast.operators.lasso import _rules, fit_day, fit_hourly, l1_path, optimality, path_at, penalty_by_aic, penalty_by_cv
+from loadcast.operators.pricing import n_features, price_design, rolling_scales, small_mode
 from loadcast.operators.splits import fold_contiguous, regression_metrics
 from loadcast.plans.load import (
     forecast_load, require_known, retrain_from_readings, retrain_load, train_load_models, training_panel,
@@ -70,15 +70,55 @@ def test_penalty_rules_find_a_sparse_signal():
         penalty_by_aic(x[:20], y[:20], *path)
 
 
+def plain_scales(x, y):
+    def of(a):
+        low, mid, high = np.percentile(a, [25, 50, 75], axis=0)
+        return mid, np.where(high == low, 1.0, high - low)
+
+    (center, width), (y_center, y_width) = of(x), of(y)
+    center[-7:], width[-7:] = 0, 1
+    return center, width, y_center, y_width
+
+
+def test_rolling_scales_are_those_of_each_window(spark):
+    """Every anchor's window by itself, days with an unknown hour left out, a constant feature, an anchor without history."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for zone in ("N", "S"):
+        for day in range(40):
+            x, y = rng.normal(size=15).round(1), rng.normal(size=24)
+            x[0] = 4.0
+            rows.append((zone, 0, day, [None if (zone, day) == ("N", 17) and k == 3 else float(v) for k, v in enumerate(x)], y.tolist()))
+    design = spark.createDataFrame(rows, "zone string, phase bigint, day int, x array<double>, y array<double>")
+    anchors = spark.createDataFrame([("N", 0, 20), ("N", 0, 40), ("S", 0, 1), ("S", 0, 0), ("S", 0, 33), ("S", 0, 33)], "zone string, phase bigint, day int")
+    got = {(r["zone"], r["day"]): r for r in rolling_scales(design, anchors, 12).collect()}
+    assert set(got) == {("N", 20), ("N", 40), ("S", 1), ("S", 33)}
+    for (zone, day), r in got.items():
+        use = [q for q in rows if q[0] == zone and day - 12 <= q[2] < day and None not in q[3]]
+        want = plain_scales(np.array([q[3] for q in use]), np.array([q[4] for q in use]))
+        for name, value in zip(("x_center", "x_range", "y_center", "y_range"), want):
+            np.testing.assert_allclose(r[name], value)
+
+
+def test_optimality_tells_wrong_models(spark, prices):
+    dates = spark.createDataFrame([("N", pd.Timestamp("2024-02-06").date())], "zone string, forecast_date date")
+    design, anchors = design_and_anchors(prices, dates, TZ)
+    models = fit_hourly(design, anchors, 28).cache()
+    right = optimality(design, models, 28).toPandas()
+    assert len(right) == 24 and right["excess"].max() <= 1 + 1e-6 and right["slack"].max() <= 1e-6
+    wrong = models.withColumn("coef", F.transform("coef", lambda c: c * 1.01))
+    assert (optimality(design, wrong, 28).toPandas()["slack"] > 1e-4).all()
+
+
 def test_fit_day_chooses_its_rule_by_window_length():
     rng = np.random.default_rng(2)
     x, y = rng.normal(size=(110, n_features())), rng.normal(size=(110, 1))
     for rule in ("cv7", "aic"):
-        assert fit_day(x, y, rule)[0][0] == rule
+        assert fit_day(x, y, rule, plain_scales(x, y))[0][0] == rule
     with pytest.raises(ValueError, match="AIC"):
-        fit_day(x[:50], y[:50], "aic")
+        fit_day(x[:50], y[:50], "aic", plain_scales(x, y))
     with pytest.raises(ValueError, match="7 days"):
-        fit_day(x[:6], y[:6], "cv7")
+        fit_day(x[:6], y[:6], "cv7", plain_scales(x, y))
 
 
 def test_rule_of_a_window_is_that_of_small_mode(spark):

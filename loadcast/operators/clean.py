@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timecols import DAY, epoch_s
+
 
 def _rank(df: DataFrame, order: Sequence[str], unknown: float) -> Column:
     """What rows of a key are ordered by; never NULL, since min_by and max_by pass over rows with a NULL rank.
@@ -63,6 +65,55 @@ def exclude_windows(
     return out
 
 
+# Span that bad windows and readings meet in.
+WINDOW_BUCKET = DAY
+
+
+def merged_windows(windows: DataFrame, keys: Sequence[str], start: str = "start_ts", end: str = "end_ts") -> DataFrame:
+    """Closed windows per key without overlaps: those that meet or overlap become one. Raises for one that runs backwards.
+
+    A running maximum per key over its windows, so a key's windows are sorted in one task; they are entries of a
+    maintenance list, not readings.
+    """
+    order = Window.partitionBy(*keys).orderBy(start, end)
+    backwards = F.col(start) > F.col(end)
+    closed = windows.where(F.col(start).isNotNull() & F.col(end).isNotNull()).select(
+        *keys, start, F.when(backwards, F.raise_error(F.concat(F.lit("bad window runs backwards: "), F.col(start).cast("string")))).otherwise(F.col(end)).alias(end)
+    )
+    before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = closed.withColumn("_begins", F.when(before >= F.col(start), 0).otherwise(1))
+    numbered = opened.select(*keys, start, end, F.sum("_begins").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("_island"))
+    return numbered.groupBy(*keys, "_island").agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_island")
+
+
+def exclude_window_table(
+    df: DataFrame, windows: DataFrame, keys: Sequence[str], ts: str = "ts", start: str = "start_ts", end: str = "end_ts", span: int = WINDOW_BUCKET
+) -> DataFrame:
+    """Rows of ``df`` that lie in no window of their key; both ends are included.
+
+    ``windows``: (keys, start, end), any number per key, overlapping or not. A null start reaches back without end, a null
+    end forward; a window without both is no window, as in :func:`exclude_windows`. A row without stamp stays.
+
+    Windows are merged per key and meet the rows by (key, time bucket), an equality, so no row is held against all
+    windows and a hot key is spread over its buckets. Open ends are two bounds per key.
+    """
+    keys = list(keys)
+    whole = windows.select(*keys, F.col(start).alias("_from"), F.col(end).alias("_to"))
+    bounds = whole.where(F.col("_from").isNull() != F.col("_to").isNull()).groupBy(*keys).agg(
+        F.max(F.when(F.col("_from").isNull(), F.col("_to"))).alias("_past"), F.min(F.when(F.col("_to").isNull(), F.col("_from"))).alias("_ahead")
+    )
+    inside = (F.col(ts) <= F.col("_past")) | (F.col(ts) >= F.col("_ahead"))
+    kept = df.join(bounds, keys, "left").where(~F.coalesce(inside, F.lit(False))).select(*df.columns)
+    bucket = lambda c: F.floor(epoch_s(c) / F.lit(span))
+    held = merged_windows(whole, keys, "_from", "_to").select(
+        *[F.col(k).alias(f"_w_{k}") for k in keys], "_from", "_to", F.explode(F.sequence(bucket("_from"), bucket("_to"))).alias("_in")
+    )
+    same = bucket(ts) == F.col("_in")
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_w_{k}"))
+    return kept.join(held, same & (F.col(ts) >= F.col("_from")) & (F.col(ts) <= F.col("_to")), "left_anti")
+
+
 def complete(cols: Sequence[str]) -> Column:
     """Every column is known."""
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])

@@ -61,17 +61,20 @@ def price_design_scaled(t: Tables):
     ky AS (SELECT zone, CAST(epoch(date_trunc('day', ts)) / 86400 AS INTEGER) AS day FROM p GROUP BY ALL HAVING count(price) = 24),
     tr AS (SELECT xs.* FROM xs JOIN ok USING (zone, day) JOIN ky USING (zone, day) WHERE feature < 96),
     an AS (SELECT DISTINCT zone, day FROM xs)
-    SELECT an.zone, an.day, feature, {rnd('quantile_cont(value, 0.5::DOUBLE)')} AS center,
-      {rnd('CASE WHEN quantile_cont(value, 0.75::DOUBLE) = quantile_cont(value, 0.25::DOUBLE) THEN 1 ELSE quantile_cont(value, 0.75::DOUBLE) - quantile_cont(value, 0.25::DOUBLE) END')} AS range
+    SELECT an.zone, an.day, feature, {rnd('quantile_cont(value, 0.5::DOUBLE) + 1e-10')} AS center,
+      {rnd('1e-10 + CASE WHEN quantile_cont(value, 0.75::DOUBLE) = quantile_cont(value, 0.25::DOUBLE) THEN 1 ELSE quantile_cont(value, 0.75::DOUBLE) - quantile_cont(value, 0.25::DOUBLE) END')} AS range
     FROM an JOIN tr ON tr.zone = an.zone AND tr.day >= an.day - {DAYS_IN_WINDOW - 7} AND tr.day < an.day GROUP BY ALL""",
 )
 def scales_of_all_days(t: Tables):
-    """Center and range of every price feature over the window before each day of each zone."""
+    """Center and range of every price feature over the window before each day of each zone.
+
+    Both sides add 1e-10 before rounding: quartiles of hundredths often end in a 5 that the two would round apart.
+    """
     design = price_design(t.price_history, "zone", [0])
     scales = rolling_scales(design, design, DAYS_IN_WINDOW - 7)
     both = F.slice(F.arrays_zip("x_center", "x_range"), F.lit(1), F.lit(96))
     return scales.select("zone", "day", F.posexplode(both).alias("feature", "s")).select(
-        "zone", "day", "feature", F.col("s.x_center").alias("center"), F.col("s.x_range").alias("range")
+        "zone", "day", "feature", (F.col("s.x_center") + 1e-10).alias("center"), (F.col("s.x_range") + 1e-10).alias("range")
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ...functions.calendar import add_calendar_ints
 from ...functions.scalars import clip, row_sum, to_num, zero_in_months
 from ...operators.clean import (
-    conform, discover_targets, exclude_windows, feature_projection, history_coverage, incomplete_counts,
+    conform, discover_targets, exclude_window_table, exclude_windows, feature_projection, history_coverage, incomplete_counts,
     valid_rows,
 )
 from ...operators.grid import between_ts, day_horizon, local_day
@@ -15,7 +15,7 @@ from ...operators.history import zone_prices
 from ...operators.lags import lag_time
 from ...operators.meters import align, gross, residual, totals
 from ...operators.splits import split_label, trailing_window
-from .base import GRID, TZ, Tables, local, query, rnd, to_utc
+from .base import GRID, READINGS, TZ, Tables, local, query, rnd, to_utc
 
 KINDS = ["view", "click", "purchase", "error", "signup"]
 WIDE = (
@@ -64,6 +64,29 @@ def bad_window_exclude(t: Tables):
     )
 
 
+# Every third event opens a window of up to 99 seconds on its meter; two meters are bad up to a day, one from a day on.
+BAD_WINDOWS = """w AS (SELECT variable_id, ts AS a, ts + to_seconds(CAST(event_id % 100 AS INTEGER)) AS z FROM r WHERE event_id % 3 = 0
+      UNION ALL SELECT * FROM (VALUES ('view', NULL, TIMESTAMP '2024-01-04 06:00:00'), ('click', NULL, TIMESTAMP '2024-01-02'),
+        ('view', TIMESTAMP '2024-01-28', NULL), ('error', NULL, NULL)) v(variable_id, a, z))"""
+
+
+@query(
+    "bad_window_table",
+    f"""WITH {READINGS}, {BAD_WINDOWS} SELECT variable_id, event_id, ts FROM r WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.variable_id = r.variable_id
+      AND (a IS NOT NULL OR z IS NOT NULL) AND r.ts >= coalesce(a, TIMESTAMP '1900-01-01') AND r.ts <= coalesce(z, TIMESTAMP '2900-01-01'))""",
+)
+def bad_window_table(t: Tables):
+    """Raw readings outside thousands of bad windows, overlapping and open ones among them."""
+    third = t.readings.where(F.col("event_id") % 3 == 0)
+    until = F.timestamp_micros(F.unix_micros("ts") + F.col("event_id") % 100 * 1_000_000)
+    rows = [("view", None, "2024-01-04 06:00:00"), ("click", None, "2024-01-02 00:00:00"), ("view", "2024-01-28 00:00:00", None), ("error", None, None)]
+    listed = t.spark.createDataFrame(rows, "variable_id string, a string, z string").select(
+        "variable_id", F.col("a").cast("timestamp").alias("start_ts"), F.col("z").cast("timestamp").alias("end_ts")
+    )
+    windows = third.select("variable_id", F.col("ts").alias("start_ts"), until.alias("end_ts")).unionByName(listed)
+    return exclude_window_table(t.readings.select("variable_id", "event_id", "ts"), windows, ["variable_id"])
+
+
 @query(
     "drop_incomplete_rows",
     f"""WITH {GRID}, {WIDE}, k AS (SELECT CAST(ts AS DATE) AS d, {' AND '.join(f'{c} IS NOT NULL' for c in WIDE_COLS)} AS ok FROM wide)

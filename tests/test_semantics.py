@@ -13,7 +13,7 @@ from loadcast.functions.calendar import mark_holidays, site_closed
 from loadcast.functions.holidays import holiday_dimension
 from loadcast.functions.scalars import clip, row_sum, to_num, zero_in_months
 from loadcast.functions.timecols import market_stamp, parse_ts
-from loadcast.operators.clean import conform, dedup_first, dedup_last, discover_targets, exclude_windows
+from loadcast.operators.clean import conform, dedup_first, dedup_last, discover_targets, exclude_window_table, exclude_windows
 from loadcast.operators.grid import day_horizon, resample_mean, to_grid
 from loadcast.operators.history import missing_dates, next_window, params_for, upsert, zone_prices
 from loadcast.operators.meters import gross, net_mean_of_sums, net_sum_of_means, pair_meters, prefer_main
@@ -246,3 +246,30 @@ def test_records_and_payload(spark):
     assert len(rows) == 1 and rows[0]["variable_id"] == "VAR" and rows[0]["n_missing"] == 1
     assert [s["value"] for s in rows[0]["samples"]] == [0.0, 2.0, 3.0]
     assert rows[0]["samples"][0]["timestamp"] == 1704067200000
+
+
+def test_many_bad_windows(spark):
+    """10,000 windows of one site, overlapping, touching, nested and open, against each reading in turn."""
+    import random
+
+    rng = random.Random(4)
+    at = lambda s: dt.datetime(2024, 1, 1) + dt.timedelta(seconds=s)
+    month = 30 * 86400
+    spans = [(a, a + rng.choice([0, 5, 60, 600])) for a in (rng.randrange(month) for _ in range(10_000))] + [(86400 * 3, 86400 * 9)]
+    windows = [("S1", at(a), at(z)) for a, z in spans] + [("S2", None, at(86400)), ("S2", None, at(50)), ("S2", at(month - 86400), None), ("S3", None, None)]
+    rows = [(site, at(rng.randrange(month)), k) for k, site in enumerate(["S1"] * 3000 + ["S2"] * 300 + ["S3"] * 30 + ["S4"] * 30)] + [("S1", None, -1)]
+    covered = bytearray(month + 1000)
+    for a, z in spans:
+        covered[a : z + 1] = b"\1" * (z + 1 - a)
+    off = lambda t: int((t - dt.datetime(2024, 1, 1)).total_seconds())
+    bad = {"S1": lambda s: covered[s], "S2": lambda s: s <= 86400 or s >= month - 86400}
+    want = sorted(k for site, t, k in rows if t is None or not bad.get(site, lambda s: False)(off(t)))
+    readings = spark.createDataFrame(rows, "site string, ts timestamp, k int")
+    table = spark.createDataFrame(windows, "site string, start_ts timestamp, end_ts timestamp")
+    out = exclude_window_table(readings, table, ["site"])
+    assert sorted(r["k"] for r in out.collect()) == want and 0 < len(want) < 2500
+    assert "NestedLoop" not in out._jdf.queryExecution().executedPlan().toString()
+    assert exclude_window_table(readings, table.limit(0), ["site"]).count() == len(rows)
+    backwards = spark.createDataFrame([("S1", at(9), at(3))], table.schema)
+    with pytest.raises(Exception, match="backwards"):
+        exclude_window_table(readings, backwards, ["site"]).collect()

@@ -108,14 +108,15 @@ def _order(e) -> tuple:
 def captures(pages: DataFrame) -> DataFrame:
     """Pages ready to write: payload, its digest and size, the capture's time and which page a revisit refers to.
 
-    The time is the column ``captured`` where there is one, else ``page_id`` seconds after 2024-01-01.
+    The time is the column ``captured`` where there is one of times, dates or text, and its value reads as a time; else
+    ``page_id`` seconds after 2024-01-01.
     """
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     page_id = F.col("page_id").cast("long")
     seconds = F.pmod(F.coalesce(page_id, F.lit(0)), F.lit(1_000_000_000)) + F.lit(1_704_067_200)
     taken = F.timestamp_seconds(seconds)
-    if "captured" in pages.columns:
-        taken = F.coalesce(F.col("captured").cast("timestamp"), taken)
+    if "captured" in pages.columns and pages.schema["captured"].dataType.typeName() in ("timestamp", "timestamp_ntz", "date", "string"):
+        taken = F.coalesce(F.col("captured").try_cast("timestamp"), taken)
     return pages.select(
         F.coalesce(page_id, F.lit(0)).alias("page_id"), page_id.isNull().alias("no_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
         url_key(F.col("url").cast("string")).alias("url_key"), F.date_format(taken, "yyyyMMddHHmmss").alias("time"),

@@ -88,3 +88,14 @@ def test_url_keys(spark):
 
 def test_no_pages(spark, odd_pages):
     assert trip(spark, odd_pages.limit(0))[2].count() == 0
+
+
+def test_a_clashing_captured_column(spark, odd_pages):
+    """Times and texts that read as one count; any other column of that name is ignored."""
+    from pyspark.sql import functions as F
+
+    plain = {(r["page_id"], r["time"]) for r in W.captures(odd_pages.drop("captured")).collect()}
+    for value in (F.lit("no time"), F.lit(7), F.array(F.lit(1)), F.lit(None).cast("timestamp")):
+        assert {(r["page_id"], r["time"]) for r in W.captures(odd_pages.withColumn("captured", value)).collect()} == plain
+    told = W.captures(odd_pages.withColumn("captured", F.lit("2023-05-06 07:08:09"))).collect()
+    assert {r["time"] for r in told} == {"20230506070809"}

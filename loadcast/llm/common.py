@@ -15,7 +15,7 @@ from ..session import scratch_path, ship_package
 WORD = r"[^\x20\x09-\x0D]+"
 # Rows per Arrow batch: texts may be long, a batch must stay small.
 BATCH_ROWS = 256
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 _AT_BITS = 33  # of monotonically_increasing_id: row within its task
 
 
@@ -24,10 +24,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def python_ready(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """What operators with Python stages need: this package on the executors, small Arrow batches."""
+    """What operators with Python stages need: this package on the executors, small Arrow batches.
+
+    Batches of more rows than usual are bounded in bytes too.
+    """
     ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    if rows > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def parts_of(spark: SparkSession) -> int:

@@ -18,7 +18,7 @@ END_ID = 2
 # Distinct words a worker remembers, and as many pieces; the older half goes when that many are met.
 MEMORY = 700_000
 # Texts that are cut together, so that their words are looked up once; a batch is bounded in bytes too.
-TEXT_ROWS = 1024
+TEXT_ROWS = 512
 
 # The split patterns of the two vocabularies, fixed values of their files.
 BYTE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"

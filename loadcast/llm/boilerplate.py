@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from .common import keep, same, text_of, whole_row
 
 RATIO = 0.05  # of the site's pages
-LEAST_PAGES = 5  # that must contain a line before it can go, where every row is a page
-LEAST_TEXTS = 2  # the same, where pages of the same lines are one: repeated at all, the ratio decides
+LEAST_PAGES = 2  # different ones that contain a line before it can go: once it repeats at all, the ratio decides
 
 
 def line_hashes(text: Column) -> Column:
@@ -26,17 +25,14 @@ def line_hashes(text: Column) -> Column:
     return F.transform(F.split(text, "\n", -1), of)
 
 
-def site_lines(pages: DataFrame, ratio: float = RATIO, least_pages: int | None = None) -> DataFrame:
+def site_lines(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """Boilerplate of ``pages`` (site, hashes): site, line, pages, site_pages.
 
     Pages of one site with the same set of lines are one page, so that copies of a document don't make its lines
-    frequent; with ``least_pages`` every row is a page. Every page adds each of its distinct lines once, as a hash, so
-    the shuffles carry hashes, no text.
+    frequent. Every page adds each of its distinct lines once, as a hash, so the shuffles carry hashes, no text.
     """
     lines = F.sort_array(F.array_distinct(F.array_compact("hashes")))
-    pages = pages.select("site", lines.alias("hashes"))
-    if least_pages is None:
-        pages, least_pages = pages.distinct(), LEAST_TEXTS
+    pages = pages.select("site", lines.alias("hashes")).distinct()
     counted = (
         pages.select("site", F.explode("hashes").alias("line"))
         .groupBy("site", "line").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= least_pages)
@@ -47,15 +43,14 @@ def site_lines(pages: DataFrame, ratio: float = RATIO, least_pages: int | None =
 
 
 def drop_boilerplate(
-    docs: DataFrame, site: str = "source", ratio: float = RATIO, least_pages: int | None = None, counts: str = "lines"
+    docs: DataFrame, site: str = "source", ratio: float = RATIO, least_pages: int = LEAST_PAGES, counts: str = "lines"
 ) -> DataFrame:
     """``docs`` with boilerplate lines gone from ``text``, plus a struct (total, dropped) of lines, named by ``counts``.
 
     All rows stay, a page of nothing but boilerplate with an empty text; kept lines keep their order, blank lines stay.
     A null text stays null and counts as a page without lines; null is a site of its own. Pages of the same lines count
-    as one page, and a line goes from LEAST_TEXTS such pages on; with ``least_pages`` every row counts as a page, and a
-    line goes from so many on, which empties large groups of copies. Repeated rows get the same text. A line is compared
-    whole, without outer blanks. An empty table gives no rows. Columns of any name pass through.
+    as one page, and a line goes from ``least_pages`` such pages on, if they exceed the ratio. Repeated rows get the same
+    text. A line is compared whole, without outer blanks. An empty table gives no rows. Columns of any name pass through.
 
     The text is read twice and shuffled once: line hashes are kept from the first pass, and pages whose lines met
     boilerplate get the positions to leave out in the second.

@@ -45,10 +45,12 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     "op3_line_dedup",
     f"""WITH l AS (SELECT doc_id, source, row_number() OVER () AS r, text FROM documents),
     x AS (SELECT r, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM l),
-    n AS (SELECT source, count(*) AS site_pages FROM l GROUP BY source),
-    c AS (SELECT source, trim(line, ' ' || chr(9) || chr(13)) AS bare, count(DISTINCT r) AS pages FROM x GROUP BY 1, 2),
+    d AS (SELECT DISTINCT source, list_sort(list_distinct([trim(s, ' ' || chr(9) || chr(13)) FOR s IN string_split(coalesce(text, ''), chr(10))
+      IF trim(s, ' ' || chr(9) || chr(13)) <> ''])) AS page FROM l),
+    n AS (SELECT source, count(*) AS site_pages FROM d GROUP BY source),
+    c AS (SELECT source, bare, count(*) AS pages FROM (SELECT source, unnest(page) AS bare FROM d) GROUP BY 1, 2),
     b AS (SELECT c.source, bare FROM c JOIN n ON c.source IS NOT DISTINCT FROM n.source
-      WHERE bare <> '' AND pages >= {boilerplate.LEAST_PAGES} AND pages > {boilerplate.RATIO} * site_pages),
+      WHERE pages >= {boilerplate.LEAST_PAGES} AND pages > {boilerplate.RATIO} * site_pages),
     m AS (SELECT x.*, b.bare IS NOT NULL AS gone FROM x LEFT JOIN b
       ON x.source IS NOT DISTINCT FROM b.source AND trim(line, ' ' || chr(9) || chr(13)) = b.bare),
     g AS (SELECT r, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
@@ -57,9 +59,9 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
       CASE WHEN l.text IS NULL THEN 0 ELSE n_lines END AS n_lines, n_dropped FROM l JOIN g USING (r)""",
 )
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the lines that are boilerplate of their source; every row is a page, as in the SQL."""
+    """All documents without the lines that are boilerplate of their source; pages of the same lines are one page."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    out = boilerplate.drop_boilerplate(docs, least_pages=boilerplate.LEAST_PAGES)
+    out = boilerplate.drop_boilerplate(docs)
     return out.select("doc_id", "source", "text", F.col("lines.total").alias("n_lines"), F.col("lines.dropped").alias("n_dropped"))
 
 

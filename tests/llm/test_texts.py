@@ -67,10 +67,11 @@ def test_sketch_estimates_containment_and_merges():
 
 
 def brute_boilerplate(rows, ratio, least):
+    """Pages are the different sets of lines of a site."""
     pages, of = Counter(), defaultdict(Counter)
-    for _, text, site in rows:
+    for site, lines in {(s, frozenset(x.strip(" \t\r") for x in (t or "").split("\n")) - {""}) for _, t, s in rows}:
         pages[site] += 1
-        for line in {x.strip(" \t\r") for x in (text or "").split("\n")} - {""}:
+        for line in lines:
             of[site][line] += 1
     bad = {s: {x for x, c in lines.items() if c >= least and c > ratio * pages[s]} for s, lines in of.items()}
     return Counter(
@@ -87,6 +88,14 @@ def test_line_dedup(docs, odd, nothing):
     assert boilerplate.drop_boilerplate(nothing).count() == 0
 
 
+def test_query_and_pipeline_drop_the_same_lines(spark, docs):
+    """Six copies on a site of 40 pages keep their lines; a footer on 4 of 4 pages goes."""
+    texts = [("a", "copied line\nand its second")] * 6 + [("a", f"page {k}") for k in range(40)] + [("b", f"own {k}\nfooter") for k in range(4)]
+    given = spark.createDataFrame([(k, t, s) for k, (s, t) in enumerate(texts)], "doc_id long, text string, source string")
+    got = {r["doc_id"]: r["text"] for r in boilerplate.drop_boilerplate(given).collect()}
+    assert got == {k: t.removesuffix("\nfooter") for k, (_, t) in enumerate(texts)}
+
+
 def brute_rule(url, rules):
     if url is None or "://" not in url:
         return "", "", None, "allow"
@@ -118,6 +127,41 @@ def test_url_filter(spark):
     assert urlrules.filter_pages(df.limit(0), urlrules.rule_table(spark)).count() == 0
 
 
+def colliding():
+    """Two paths of one host whose expressions share the first four bytes of their digest."""
+    seen = {}
+    for k in range(1_000_000):
+        rule = f"example.org/{k}/"
+        prefix = hashlib.sha256(rule.encode()).hexdigest()[: urlrules.PREFIX_DIGITS]
+        if prefix in seen:
+            return seen[prefix], rule
+        seen[prefix] = rule
+    raise AssertionError("no two rules of one prefix")
+
+
+def test_rules_of_one_prefix(spark, capsys):
+    """The join sees the short prefix alone; the full digest tells rules of one prefix apart."""
+    one, two = colliding()
+    urls = spark.createDataFrame([(1, f"http://{one}x"), (2, f"http://a.{two}"), (3, "http://example.org/")], "page_id long, url string")
+    for some, want in (([("block", one), ("allow", two)], ["block", "allow", "allow"]), ([("block", two)], ["allow", "block", "allow"])):
+        got = urlrules.filter_pages(urls, urlrules.rule_table(spark, some * 2))
+        assert [r["verdict"] for r in got.orderBy("page_id").collect()] == want
+    got.explain("formatted")
+    plan = capsys.readouterr().out
+    keys = [k for k in re.findall(r"keys(?: \[\d+\])?: \[(.*)\]", plan) if "prefix" in k]
+    assert keys and not any("digest" in k for k in re.findall(r"(?:Left|Right) keys \[\d+\]: (.*)", plan))
+
+
+def test_many_shapes(spark, monkeypatch):
+    """Beyond the bound on shapes, urls are expanded into all of theirs, with the same result."""
+    urls = [None, "", "http://a.b.example.org/es/x", "http://org", "http://./x", "x://y.com/fr/a#b", "http://example.org/en/1", "http://é.org/日本/"]
+    df = spark.createDataFrame([(k, u) for k, u in enumerate(urls)], "page_id long, url string")
+    rules = [*urlrules.RULES, ("block", "/"), ("block", "é.org/日")]
+    monkeypatch.setattr(urlrules, "MOST_SHAPES", 2)
+    got = urlrules.filter_pages(df, urlrules.rule_table(spark, rules)).collect()
+    assert {tuple(r) for r in got} == {(k, *brute_rule(u, rules)) for k, u in enumerate(urls)}
+
+
 def brute_targets(sizes, weights, most):
     names = sorted(sizes, key=lambda s: (s is None, s))
     w = {s: weights[k % len(weights)] for k, s in enumerate(names)}

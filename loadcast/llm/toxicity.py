@@ -22,15 +22,17 @@ from pyspark.sql import functions as F
 from .common import mixed, python_ready, text_of
 
 WINDOW = 32  # words
-STRIDE = 24
+STRIDE = 16  # every passage of 17 words lies whole in some window
 WORD_ROWS, GRAM_ROWS = 1 << 14, 1 << 13  # hashed vocabulary of words and of trigrams
 WORD_SIZE, GRAM_SIZE = 6, 8
 HIDDEN = 10
 ATTENTION = 8
-# The sample a model is trained on: so many labelled documents of either class, picked by a hash of the id, with at
-# most so many windows each. Everything is scored; only training is bounded.
+# The sample a model is trained on: labelled documents of either class in the order of a hash of the id, so many and of
+# so many bytes in all, with all their windows. Everything is scored; only training is bounded.
 SAMPLE = 1500
-SAMPLE_WINDOWS = 48
+SAMPLE_BYTES = 12 << 20
+READ = 1 << 19  # characters read at a time
+BLOCK = 4096  # windows scored at a time
 EPOCHS, UPDATES, LOT, RATE = 5, 500, 24, 0.01  # at least so many updates, however few the documents
 HOLD_OUT = 5  # one document in so many is never learned from
 BOUNDARY = 0.5
@@ -44,6 +46,7 @@ _LOWER = np.arange(256, dtype=np.uint64)
 _LOWER[65:91] += np.uint64(32)
 _POWERS = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(LONGEST - 1, _BASE)]))
 _NO_WORD = 0  # row of the vocabulary that pads
+_BLANK = re.compile("[ \t\n\r]")
 #: Spaces and punctuation beyond ASCII; all of them lie in the first two planes.
 _APART = re.compile("[" + "".join(re.escape(c) for c in map(chr, range(128, 1 << 17)) if unicodedata.category(c)[0] in "PZ") + "]")
 
@@ -105,21 +108,97 @@ def windows(n_words: int) -> list[int]:
     return [*range(0, n_words - WINDOW, STRIDE), n_words - WINDOW]
 
 
-def window_table(numbers: np.ndarray, per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Word numbers of all windows (0 pads), and the text each belongs to."""
-    begins, owner = [], []
-    at = 0
-    for k, n in enumerate(per_text):
-        first = windows(int(n))
-        begins += [at + f for f in first]
-        owner += [k] * len(first)
-        at += int(n)
-    begins, owner = np.array(begins, np.int64), np.array(owner, np.int64)
-    end = np.cumsum(per_text)[owner] if len(owner) else owner
+def stretches(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Texts in lots of about READ characters, with the number of each; a longer text is cut at ASCII blanks."""
+    numbers, lot, size = [], [], 0
+    for k, text in enumerate(texts):
+        at = 0
+        while at < len(text) or at == 0:
+            end = _end(text, at)
+            numbers.append(k)
+            lot.append(text[at:end])
+            size += end - at
+            at = max(end, 1)
+            if size >= READ:
+                yield numbers, lot
+                numbers, lot, size = [], [], 0
+    if lot:
+        yield numbers, lot
+
+
+def _end(text: str, at: int) -> int:
+    """Where a stretch from ``at`` ends: behind the first blank after READ characters, or with the text."""
+    blank = _BLANK.search(text, at + READ) if len(text) - at > READ else None
+    return blank.end() if blank else len(text)
+
+
+def read_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """As ``read_words`` with pieces, in stretches, so that memory beside the result is bounded; words of different
+    stretches have different numbers."""
+    numbers, per_text, parts, known = [], np.zeros(len(texts), np.int64), [], 0
+    for of, lot in stretches(texts):
+        n, per, vocabulary = read_words(lot, pieces=True)
+        numbers.append((n + known).astype(np.int32))
+        np.add.at(per_text, of, per)
+        parts.append([v.astype(np.int32) for v in vocabulary])
+        known += len(vocabulary[0])
+    none = [np.zeros(0, np.int32)]
+    return np.concatenate(numbers or none), per_text, [np.concatenate([p[k] for p in parts] or none) for k in range(3)]
+
+
+def window_starts(per_text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows: the first word, the end of the text's words, and the text each belongs to."""
+    first = [np.array(windows(int(n)), np.int64) for n in per_text]
+    owner = np.repeat(np.arange(len(per_text)), [len(f) for f in first])
+    ends = np.cumsum(per_text)
+    begins = np.concatenate([*first, np.zeros(0, np.int64)]) + (ends - per_text)[owner]
+    return begins, ends[owner], owner
+
+
+def window_table(numbers: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Word numbers of the windows that begin there, 0 beyond the end of a text."""
     spot = begins[:, None] + np.arange(WINDOW)[None, :]
-    inside = spot < end[:, None] if len(owner) else np.zeros((0, WINDOW), bool)
-    padded = np.concatenate([numbers, [0]])
-    return np.where(inside, padded[np.minimum(spot, len(numbers))], _NO_WORD), owner
+    if not len(numbers):
+        return np.zeros(spot.shape, np.int64)
+    return np.where(spot < ends[:, None], numbers[np.minimum(spot, len(numbers) - 1)], _NO_WORD)
+
+
+class Windows:
+    """All windows of texts; words and windows are numbers, tables and inputs are made for some windows at a time."""
+
+    def __init__(self, texts: list[str]):
+        self.numbers, self.per_text, self.vocabulary = read_texts(texts)
+        self.begins, self.ends, self.owner = window_starts(self.per_text)
+        self.gram_first = np.cumsum(self.vocabulary[2]) - self.vocabulary[2]
+
+    def words_of(self, words: np.ndarray) -> list[np.ndarray]:
+        """The part of the vocabulary that belongs to ``words``, numbered from 0."""
+        word_rows, gram_rows, length = self.vocabulary
+        n = length[words].astype(np.int64)
+        at = np.repeat(self.gram_first[words] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        return [word_rows[words], gram_rows[at], n]
+
+    def rows_by_text(self, kind: int) -> Iterator[np.ndarray]:
+        """Rows of words (0) or of trigrams (1) of each text."""
+        ends = np.cumsum(self.per_text)
+        for a, b in zip(ends - self.per_text, ends):
+            yield self.words_of(np.unique(self.numbers[a:b]) - 1)[kind]
+
+    def take(self, which: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Table of some windows and the vocabulary of their words, numbered anew."""
+        table = window_table(self.numbers, self.begins[which], self.ends[which])
+        words, inverse = np.unique(table, return_inverse=True)
+        inverse = inverse.reshape(table.shape)
+        if words[0] == _NO_WORD:
+            return inverse, self.words_of(words[1:] - 1)
+        return inverse + 1, self.words_of(words - 1)
+
+    def logits(self, model: Model, which: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(which), np.float32)
+        for k in range(0, len(which), BLOCK):
+            table, vocabulary = self.take(which[k : k + BLOCK])
+            out[k : k + BLOCK] = model.forward(model.inputs(vocabulary), table)
+        return out
 
 
 def _sigmoid(x):
@@ -226,19 +305,13 @@ class Model:
 
     def logits(self, texts: list[str]) -> np.ndarray:
         """Highest window logit per text, over all its windows; the base score without words."""
-        out = np.full(len(texts), self.base, np.float64)
-        if not texts:
-            return out
-        numbers, per_text, vocabulary = read_words(texts, pieces=True)
-        table, owner = window_table(numbers, per_text)
-        x = self.inputs(vocabulary)
         best = np.full(len(texts), -np.inf)
-        for k in range(0, len(table), 4096):
-            np.maximum.at(best, owner[k : k + 4096], self.forward(x, table[k : k + 4096]))
-        return np.where(np.isfinite(best), best, out)
+        read = Windows(texts)
+        np.maximum.at(best, read.owner, read.logits(self, np.arange(len(read.owner))))
+        return np.where(np.isfinite(best), best, self.base)
 
 
-def _signs(rows: list[np.ndarray], toxic: np.ndarray, size: int) -> np.ndarray:
+def _signs(rows: Iterator[np.ndarray], toxic: np.ndarray, size: int) -> np.ndarray:
     """Shrunken log-odds per vocabulary row, of the share of toxic and of clean documents that have it."""
     seen = np.zeros((2, size))
     for r, y in zip(rows, toxic):
@@ -254,24 +327,16 @@ def train(texts: list[str], toxic: np.ndarray, weights: np.ndarray, seed: int =
     model = Model.fresh(rng)
     rate = float((weights * toxic).sum() / weights.sum()) if len(toxic) else 0.0
     model.base = float(np.log((rate + 1e-3) / (1 - rate + 1e-3)))
-    numbers, per_text, vocabulary = read_words(texts, pieces=True)
-    if not len(numbers) or len(set(toxic)) < 2:
+    read = Windows(texts)
+    if not len(read.numbers) or len(set(toxic)) < 2:
         model.base = min(model.base, -1.0) if not toxic.any() else max(model.base, 1.0) if len(toxic) else -1.0
         model.p["out"][:] = 0
         model.p["out_bias"][:] = model.base
         return model
     model.base = min(model.base, -1.0)
-    table, owner = window_table(numbers, per_text)
-    keep = np.concatenate([rng.permutation(np.flatnonzero(owner == k))[:SAMPLE_WINDOWS] for k in range(len(texts))]).astype(np.int64)
-    keep.sort()
-    table, owner = table[keep], owner[keep]
-    word_rows, gram_rows, length = vocabulary
-    gram_first = np.cumsum(length) - length
-    bounds = np.concatenate([[0], np.cumsum(per_text)])
-    used = [np.unique(numbers[a:b]) - 1 for a, b in zip(bounds[:-1], bounds[1:])]
-    grams_of = lambda w: np.concatenate([gram_rows[gram_first[i] : gram_first[i] + length[i]] for i in w]) if len(w) else gram_rows[:0]
-    model.p["words"][:, 0] = _signs([word_rows[w] for w in used], toxic, WORD_ROWS)
-    model.p["grams"][:, 0] = _signs([grams_of(w) for w in used], toxic, GRAM_ROWS)
+    owner = read.owner
+    model.p["words"][:, 0] = _signs(read.rows_by_text(0), toxic, WORD_ROWS)
+    model.p["grams"][:, 0] = _signs(read.rows_by_text(1), toxic, GRAM_ROWS)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.p.items()}
     texts_with = np.unique(owner)
     first = np.searchsorted(owner, texts_with)
@@ -283,27 +348,19 @@ def train(texts: list[str], toxic: np.ndarray, weights: np.ndarray, seed: int =
         speed = RATE * (1 - epoch / (epochs + 1))
         for lot in np.array_split(rng.permutation(texts_with), lots):
             at = np.concatenate([np.arange(*spans[int(k)]) for k in lot])
-            own, sub = owner[at], table[at]
-            words, inverse = np.unique(sub, return_inverse=True)  # numbers of this lot, 0 first if any pads
-            if words[0] != 0:
-                words, inverse = np.concatenate([[0], words]), inverse + 1
-            sub = inverse.reshape(sub.shape)
-            some = words[1:] - 1
-            vocab = [word_rows[some], grams_of(some), length[some]]
-            x = model.inputs(vocab)
-            logits = model.forward(x, sub)
+            own, logits = owner[at], read.logits(model, at)
             chosen = []
             for k in lot:
                 mine = np.flatnonzero(own == k)
                 chosen.append(mine[logits[mine].argmax()])
                 if not toxic[k] and len(mine) > 1:
                     chosen.append(rng.choice(mine))
-            chosen = np.array(chosen)
-            y = toxic[own[chosen]].astype(np.float32)
-            trace: dict = {}
-            got = model.forward(x, sub[chosen], trace)
-            d = ((_sigmoid(got) - y) * weights[own[chosen]] / len(chosen)).astype(np.float32)
-            grads, d_x = model.backward(x, sub[chosen], trace, d)
+            chosen = at[np.array(chosen)]
+            sub, vocab = read.take(chosen)
+            x, y, trace = model.inputs(vocab), toxic[owner[chosen]].astype(np.float32), {}
+            got = model.forward(x, sub, trace)
+            d = ((_sigmoid(got) - y) * weights[owner[chosen]] / len(chosen)).astype(np.float32)
+            grads, d_x = model.backward(x, sub, trace, d)
             grads["words"], grads["grams"] = np.zeros_like(model.p["words"]), np.zeros_like(model.p["grams"])
             np.add.at(grads["words"], vocab[0], d_x[1:, :WORD_SIZE])
             np.add.at(grads["grams"], vocab[1], np.repeat(d_x[1:, WORD_SIZE:] / vocab[2][:, None], vocab[2], axis=0))
@@ -321,8 +378,9 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % HOLD_OUT == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model of a bounded sample of ``labels`` (doc_id, toxic) with their texts: ``sample`` documents of each class.
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, sample_bytes: int = SAMPLE_BYTES) -> Model:
+    """A model of a bounded sample of ``labels`` (doc_id, toxic) with their texts: of each class at most ``sample``
+    documents and, in all, ``sample_bytes``; in the order of a hash of the id, passing over what no longer fits.
 
     Labels other than 0 and 1 are left out; a document with both counts as toxic. Held-out documents are never used.
     """
@@ -334,8 +392,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     for y in (0, 1):
         some = known.where(F.col("toxic") == y).orderBy(F.xxhash64("id"), "id").limit(sample)
         picked = some if picked is None else picked.union(some)
-    # At most twice ``sample`` ids.
-    met = docs.select(doc_id.alias("doc_id"), text_of().alias("text")).join(F.broadcast(picked), F.col("doc_id") == F.col("id"))
+    # At most twice ``sample`` ids; first the sizes of their texts, then the texts that fit.
+    given = docs.select(doc_id.alias("doc_id"), text_of().alias("text"))
+    sizes = given.join(F.broadcast(picked), F.col("doc_id") == F.col("id")).groupBy("doc_id", "toxic").agg(F.max(F.octet_length("text")).alias("size"))
+    room, fitting = {0: sample_bytes, 1: sample_bytes}, []
+    for r in sizes.orderBy(F.xxhash64("doc_id"), "doc_id").collect():
+        if r["size"] <= room[r["toxic"]]:
+            room[r["toxic"]] -= r["size"]
+            fitting.append((r["doc_id"], r["toxic"]))
+    chosen = F.broadcast(docs.sparkSession.createDataFrame(fitting, "id long, toxic int"))
+    met = given.join(chosen, F.col("doc_id") == F.col("id"))
     rows = met.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: r["doc_id"])
     toxic = np.array([r["toxic"] for r in rows], np.int64)

@@ -13,8 +13,8 @@ def test_gradients():
     rng = np.random.default_rng(0)
     model = X.Model.fresh(rng)
     model.p = {k: v.astype(np.float64) for k, v in model.p.items()}
-    numbers, per_text, vocab = X.read_words(["one two three one", "four two five six seven", "one"])
-    table, _ = X.window_table(numbers, per_text)
+    read = X.Windows(["one two three one", "four two five six seven", "one"])
+    table, vocab = read.take(np.arange(len(read.owner)))
     side = rng.standard_normal(len(table))
     loss = lambda: float((model.forward(model.inputs(vocab).astype(np.float64), table) * side).sum())
     trace = {}
@@ -37,6 +37,8 @@ def test_windows_cover_every_word():
     for n in (0, 1, X.WINDOW, X.WINDOW + 1, 100, 1000):
         first = X.windows(n)
         assert {w for f in first for w in range(f, min(n, f + X.WINDOW))} == set(range(n))
+        for k in range(n - X.WINDOW // 2):  # a passage of half a window and one word lies whole in some window
+            assert any(f <= k and k + X.WINDOW // 2 < f + X.WINDOW for f in first)
 
 
 def test_words_and_trigrams():
@@ -47,6 +49,69 @@ def test_words_and_trigrams():
     assert alone[1].tolist() == grams[np.cumsum(length)[numbers[4] - 1] - 1 : np.cumsum(length)[numbers[4] - 1]].tolist()
 
 
+def plain_logit(model, text):
+    """Word by word and window by window, without masks, blocks or shared vocabularies."""
+    p, h = model.p, X.HIDDEN
+    numbers, _, (rows, grams, length) = X.read_words([text], pieces=True)
+    firsts = np.cumsum(length) - length
+    words = [np.concatenate([p["words"][rows[w - 1]], p["grams"][grams[firsts[w - 1] : firsts[w - 1] + length[w - 1]]].mean(axis=0)]) for w in numbers]
+    best = -np.inf
+    starts = [0] if len(words) <= X.WINDOW else [*range(0, len(words) - X.WINDOW, X.STRIDE), len(words) - X.WINDOW]
+    for first in starts if words else []:
+        window = words[first : first + X.WINDOW]
+        states = {}
+        for way, order in (("f", range(len(window))), ("b", range(len(window) - 1, -1, -1))):
+            state = np.zeros(h)
+            for t in order:
+                given = window[t] @ p[f"in_{way}"] + p[f"bias_{way}"]
+                gates = 1 / (1 + np.exp(-(given[: 2 * h] + state @ p[f"gates_{way}"])))
+                fresh = np.tanh(given[2 * h :] + (gates[h:] * state) @ p[f"state_{way}"])
+                state = (1 - gates[:h]) * state + gates[:h] * fresh
+                states[way, t] = state
+        both = [np.concatenate([states["f", t], states["b", t]]) for t in range(len(window))]
+        heed = np.exp([np.tanh(s @ p["look"] + p["look_bias"]) @ p["focus"] for s in both])
+        pooled = sum(w * s for w, s in zip(heed / heed.sum(), both))
+        best = max(best, pooled @ p["out"] + p["out_bias"][0])
+    return best if words else model.base
+
+
+def test_scores_against_plain_windows(monkeypatch):
+    """Every score is that of a plain walk over the text, whatever the stretches and blocks it is read in."""
+    model = X.Model.fresh(np.random.default_rng(5))
+    rng = np.random.default_rng(6)
+    texts = ["", " ", "one", "日本語é x " * 30, "a" * 500, *[" ".join(f"w{k}" for k in rng.integers(0, 90, n)) for n in (5, 31, 32, 33, 48, 49, 700)]]
+    want = [plain_logit(model, t) for t in texts]
+    for read, block in ((X.READ, X.BLOCK), (100, 7), (1, 1)):
+        monkeypatch.setattr(X, "READ", read)
+        monkeypatch.setattr(X, "BLOCK", block)
+        assert np.allclose(model.logits(texts), want, atol=1e-4)
+    assert model.logits([]).tolist() == []
+
+
+def test_training_reads_every_window(monkeypatch):
+    """The only foul passage of each toxic text is far beyond any first windows, and is learned."""
+    rng = np.random.default_rng(7)
+    said = lambda n: " ".join(f"calm{k}" for k in rng.integers(0, 60, n))
+    monkeypatch.setattr(X, "UPDATES", 150)
+    y = np.arange(80) % 2
+    model = X.train([said(1500) + (" foul words here " if k else " ") + said(200) for k in y], y, np.ones(80))
+    low, high = model.logits([said(1600), said(1500) + " foul words here " + said(100)])
+    assert low < 0 < high
+
+
+def test_sample_is_bounded_in_bytes(tables, monkeypatch):
+    """Texts beyond the bound are passed over; those that fit still train."""
+    monkeypatch.setattr(X, "UPDATES", 20)
+    rows, docs, labels = tables
+    longer = docs.withColumn("text", X.F.when(X.F.col("doc_id") % 10 == 5, X.F.concat("text", X.F.repeat(X.F.lit(" x"), 10_000))).otherwise(X.F.col("text")))
+    got = X.fit(longer, labels, sample_bytes=20_000)
+    kept = X.fit(docs.where("doc_id % 10 != 5"), labels, sample_bytes=20_000)
+    texts = [r[1] for r in rows[:50]]
+    assert np.allclose(got.logits(texts), kept.logits(texts), atol=1e-4)
+    alone = X.fit(docs, labels, sample_bytes=0)
+    assert np.allclose(alone.logits(texts), alone.base)
+
+
 def made(n, seed=1):
     rng = np.random.default_rng(seed)
     vocab = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 7))) for _ in range(400)]

@@ -34,6 +34,7 @@ SAMPLE_BYTES = 12 << 20
 READ = 1 << 19  # characters read at a time
 BLOCK = 4096  # windows scored at a time
 EPOCHS, UPDATES, LOT, RATE = 5, 500, 24, 0.01  # at least so many updates, however few the documents
+UNKNOWN = 0.25  # of the words of a step, read by their trigrams alone, as a word never met is
 HOLD_OUT = 5  # one document in so many is never learned from
 BOUNDARY = 0.5
 
@@ -321,8 +322,23 @@ def _signs(rows: Iterator[np.ndarray], toxic: np.ndarray, size: int) -> np.ndarr
     return np.clip(odds, -3, 3) * (seen.sum(axis=0) >= 3)
 
 
+def _amid(table: np.ndarray, calm: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Every second short window amid words of a clean one: these don't change its label, but where its words stand."""
+    out = table.copy()
+    for row, other in zip(out, calm):
+        n = np.count_nonzero(row)
+        room = min(len(row) - n, np.count_nonzero(other))
+        if room and rng.random() < 0.5:
+            before = rng.integers(room + 1)
+            row[: n + room] = np.concatenate([other[:before], row[:n], other[before:room]])
+    return out
+
+
 def train(texts: list[str], toxic: np.ndarray, weights: np.ndarray, seed: int = 0) -> Model:
-    """Fit by Adam; each document trains the window that scores highest, clean ones a random window besides."""
+    """Fit by Adam; each document trains the window that scores highest, clean ones a random window besides.
+
+    Short windows are read amid clean words half of the time, so that short texts teach to score long ones.
+    """
     rng = np.random.default_rng(seed)
     model = Model.fresh(rng)
     rate = float((weights * toxic).sum() / weights.sum()) if len(toxic) else 0.0
@@ -341,6 +357,7 @@ def train(texts: list[str], toxic: np.ndarray, weights: np.ndarray, seed: int =
     texts_with = np.unique(owner)
     first = np.searchsorted(owner, texts_with)
     spans = dict(zip(texts_with.tolist(), zip(first.tolist(), [*first[1:].tolist(), len(owner)])))
+    calm = np.flatnonzero(toxic[owner] == 0)
     step = 0
     lots = max(1, len(texts_with) // LOT)
     epochs = max(EPOCHS, -(-UPDATES // lots))
@@ -356,11 +373,15 @@ def train(texts: list[str], toxic: np.ndarray, weights: np.ndarray, seed: int =
                 if not toxic[k] and len(mine) > 1:
                     chosen.append(rng.choice(mine))
             chosen = at[np.array(chosen)]
-            sub, vocab = read.take(chosen)
+            sub, vocab = read.take(np.concatenate([chosen, rng.choice(calm, len(chosen))]))
+            sub = _amid(sub[: len(chosen)], sub[len(chosen) :], rng)
             x, y, trace = model.inputs(vocab), toxic[owner[chosen]].astype(np.float32), {}
+            known = rng.random((len(x) - 1, 1)) >= UNKNOWN
+            x[1:, :WORD_SIZE] *= known
             got = model.forward(x, sub, trace)
             d = ((_sigmoid(got) - y) * weights[owner[chosen]] / len(chosen)).astype(np.float32)
             grads, d_x = model.backward(x, sub, trace, d)
+            d_x[1:, :WORD_SIZE] *= known
             grads["words"], grads["grams"] = np.zeros_like(model.p["words"]), np.zeros_like(model.p["grams"])
             np.add.at(grads["words"], vocab[0], d_x[1:, :WORD_SIZE])
             np.add.at(grads["grams"], vocab[1], np.repeat(d_x[1:, WORD_SIZE:] / vocab[2][:, None], vocab[2], axis=0))

@@ -52,7 +52,8 @@ STAGES = [
     ("packing", packed),
 ]
 
-# A trained network, sketches and token ids are beyond SQL; tests/llm/test_pipeline.py holds each stage to brute force.
+# A trained network, sketches and token ids are beyond SQL. The tests of each operator hold it to brute force;
+# tests/llm/test_pipeline.py holds each stage to its operator, and the line stage to planted cases.
 ORACLE_SQL = None
 
 

@@ -9,7 +9,8 @@ row needs from other chunks arrives in one of two ways:
 * unbounded reach (previous value, next value, row position): one summary row per chunk is
   computed by partial aggregation, carried along the chunks, and joined back on (series, chunk).
 
-The summaries hold one row per (series, chunk), e.g. 12 per year with monthly chunks.
+Slow readings in fine chunks make the summary as long as the series, so summaries are carried as a
+tree: blocks of chunks are summed up in turn, and no window holds more than one block.
 """
 
 from __future__ import annotations
@@ -27,8 +28,22 @@ GRID_CHUNK = 28 * DAY
 # duplicate removal.
 RAW_CHUNK = HOUR
 
+# Chunks per block of the tree that carries summaries, and the length of series that one top block covers.
+FAN = 1024
+LONGEST = 64 * 365 * DAY
+
 _CHUNK = "_chunk"
 
+# What a chunk takes from the others, in SQL: order of the window, value over its frame, summary of a block, and how
+# what comes from the own block (a) and from other blocks (b) combine.
+_KNOWN = "FILTER (WHERE {x} IS NOT NULL)"
+_TAKES = {
+    "before": ("ASC", "last({x}, true)", "max_by({x}, _chunk) " + _KNOWN, "coalesce({a}, {b})"),
+    "after": ("DESC", "last({x}, true)", "min_by({x}, _chunk) " + _KNOWN, "coalesce({a}, {b})"),
+    "sum_before": ("ASC", "sum({x})", "sum({x})", "coalesce({a}, 0) + coalesce({b}, 0)"),
+    "sum_after": ("DESC", "sum({x})", "sum({x})", "coalesce({a}, 0) + coalesce({b}, 0)"),
+}
+
 
 def chunk_of(order: Column, span: int) -> Column:
     return F.floor(order / F.lit(span)).cast("bigint")
@@ -38,8 +53,40 @@ def _in_chunk(keys: Sequence[str], order: Column):
     return Window.partitionBy(*keys, _CHUNK).orderBy(order)
 
 
-def _before(keys: Sequence[str]):
-    return Window.partitionBy(*keys).orderBy(F.col(_CHUNK)).rowsBetween(Window.unboundedPreceding, -1)
+def carry(summary: DataFrame, keys: Sequence[str], takes: Mapping[str, tuple[str, str]], span: int) -> DataFrame:
+    """(keys, chunk, names): what every chunk takes from the other chunks of its series.
+
+    ``summary`` has one row per (series, chunk of ``span``); ``takes`` names the results: ``before`` and ``after`` give
+    the nearest known value of a column among earlier and later chunks, ``sum_before`` and ``sum_after`` the sums over
+    them (0 without any). A window holds one block of ``FAN`` chunks; blocks are carried in the same way, up to one block per series.
+    """
+    by = ", ".join(f"`{k}`" for k in keys)
+    wide = span * FAN < LONGEST
+    within = f"{by}, _block" if wide else by
+    placed = summary.withColumn("_block", F.expr(f"{_CHUNK} div {FAN} - int({_CHUNK} % {FAN} < 0)")) if wide else summary
+
+    def own(name: str) -> str:
+        kind, x = takes[name]
+        way, value = _TAKES[kind][:2]
+        frame = f"(PARTITION BY {within} ORDER BY {_CHUNK} {way} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        return f"{value.format(x=f'`{x}`')} OVER {frame} AS `_own_{name}`"
+
+    inner = placed.selectExpr(*[f"`{k}`" for k in keys], _CHUNK, *(["_block"] if wide else []), *[own(n) for n in takes])
+    if not wide:
+        # Without blocks nothing comes from elsewhere.
+        return inner.selectExpr(
+            *[f"`{k}`" for k in keys], _CHUNK,
+            *[f"{_TAKES[kind][3].format(a=f'`_own_{n}`', b='NULL')} AS `{n}`" for n, (kind, _) in takes.items()],
+        )
+    sums = {x: _TAKES[kind][2].format(x=f"`{x}`") for kind, x in takes.values()}
+    blocks = placed.groupBy(*keys, F.col("_block").alias(_CHUNK)).agg(*[F.expr(e).alias(x) for x, e in sums.items()])
+    others = carry(blocks, keys, takes, span * FAN).selectExpr(
+        *[f"`{k}`" for k in keys], f"{_CHUNK} AS _block", *[f"`{n}` AS `_far_{n}`" for n in takes]
+    )
+    return inner.join(others, [*keys, "_block"], "left").selectExpr(
+        *[f"`{k}`" for k in keys], _CHUNK,
+        *[f"{_TAKES[kind][3].format(a=f'`_own_{n}`', b=f'`_far_{n}`')} AS `{n}`" for n, (kind, _) in takes.items()],
+    )
 
 
 def exact_lags(
@@ -87,18 +134,15 @@ def previous_row(
     names = [ts, *[c for c in cols if c != ts]]
     placed = df.withColumn(_CHUNK, chunk_of(epoch_s(ts), span))
     # max_by keeps a NULL value of the last row, which is what the row before means.
-    last = placed.groupBy(*keys, _CHUNK).agg(
-        *[F.max(ts).alias(f"_t_{c}") if c == ts else F.max_by(c, ts).alias(f"_t_{c}") for c in names]
-    )
-    lead_in = Window.partitionBy(*keys).orderBy(_CHUNK)
-    carried = last.select(*keys, _CHUNK, *[F.lag(f"_t_{c}").over(lead_in).alias(f"_c_{c}") for c in names])
+    last = placed.groupBy(*keys, _CHUNK).agg(F.max_by(F.struct(*names), ts).alias("_last"))
+    carried = carry(last, keys, {"_c": ("before", "_last")}, span)
     w = _in_chunk(keys, F.col(ts))
     return (
         placed.join(carried, [*keys, _CHUNK], "left")
         .select("*", (F.row_number().over(w) == 1).alias("_first"), *[F.lag(c).over(w).alias(f"_l_{c}") for c in names])
         .select(
             *df.columns,
-            *[F.when(F.col("_first"), F.col(f"_c_{c}")).otherwise(F.col(f"_l_{c}")).alias(f"prev_{c}") for c in names],
+            *[F.when(F.col("_first"), F.col("_c")[c]).otherwise(F.col(f"_l_{c}")).alias(f"prev_{c}") for c in names],
         )
     )
 
@@ -115,25 +159,16 @@ def known_neighbours(
     by = ", ".join(f"`{k}`" for k in keys)
     seen = {c: f"CASE WHEN `{c}` IS NOT NULL THEN {at} END" for c in cols}
     placed = df.withColumn(_CHUNK, chunk_of(F.expr(at), span))
+    # One struct of (stamp, value) per column and side, NULL where the chunk knows no value.
     edges = placed.groupBy(*keys, _CHUNK).agg(
         *[
-            F.expr(e)
-            for c in cols
-            for e in (
-                f"max({seen[c]}) AS `_lt_{c}`", f"max_by(`{c}`, {seen[c]}) AS `_lv_{c}`",
-                f"min({seen[c]}) AS `_ft_{c}`", f"min_by(`{c}`, {seen[c]}) AS `_fv_{c}`",
-            )
+            F.expr(f"{pick}_by(struct({at} AS t, `{c}` AS v), {seen[c]}) AS `_{side}_{c}`")
+            for c in cols for side, pick in (("p", "max"), ("n", "min"))
         ]
     )
+    takes = {f"_c{d}_{c}": (kind, f"_{d}_{c}") for c in cols for d, kind in (("p", "before"), ("n", "after"))}
+    carried = carry(edges, keys, takes, span)
     # Descending windows serve the look ahead: a frame that grows is read once.
-    chunks = {
-        "p": (f"OVER (PARTITION BY {by} ORDER BY {_CHUNK} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)", "l"),
-        "n": (f"OVER (PARTITION BY {by} ORDER BY {_CHUNK} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)", "f"),
-    }
-    carried = edges.selectExpr(
-        *[f"`{k}`" for k in keys], _CHUNK,
-        *[f"last(`_{e}{k}_{c}`, true) {w} AS `_c{d}{k}_{c}`" for c in cols for d, (w, e) in chunks.items() for k in "tv"],
-    )
     rows = {
         "p": f"OVER (PARTITION BY {by}, {_CHUNK} ORDER BY `{ts}` ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
         "n": f"OVER (PARTITION BY {by}, {_CHUNK} ORDER BY `{ts}` DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
@@ -141,7 +176,7 @@ def known_neighbours(
     return placed.join(carried, [*keys, _CHUNK], "left").selectExpr(
         *[f"`{c}`" for c in df.columns],
         *[
-            f"coalesce(last({value}, true) {w}, `_c{d}{k}_{c}`) AS `_{d}{k}_{c}`"
+            f"coalesce(last({value}, true) {w}, `_c{d}_{c}`.{k}) AS `_{d}{k}_{c}`"
             for c in cols
             for d, w in rows.items()
             for k, value in (("t", seen[c]), ("v", f"`{c}`"))
@@ -158,17 +193,12 @@ def row_position(
     """
     placed = df.withColumn(_CHUNK, chunk_of(epoch_s(ts), span))
     counts = placed.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("_n"))
-    whole = Window.partitionBy(*keys)
-    offsets = counts.select(
-        *keys, _CHUNK,
-        F.coalesce(F.sum("_n").over(_before(keys)), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(whole).alias("_total"),
-    )
+    offsets = carry(counts, keys, {"_offset": ("sum_before", "_n"), "_rest": ("sum_after", "_n")}, span)
     out = placed.join(offsets, [*keys, _CHUNK]).withColumn(
         pos, F.row_number().over(_in_chunk(keys, F.col(ts))).cast("bigint") - 1 + F.col("_offset")
     )
     if size:
-        out = out.withColumn(size, F.col("_total"))
+        out = out.withColumn(size, F.col("_offset") + F.count(F.lit(1)).over(Window.partitionBy(*keys, _CHUNK)) + F.col("_rest"))
     return out.select(*df.columns, pos, *([size] if size else []))
 
 

@@ -4,12 +4,14 @@ import numpy as np
 import pandas as pd
 import pytest
 from conftest import stamps
+from pyspark.sql import functions as F
 
 from loadcast.functions.timecols import epoch_s
 from loadcast.operators.interpolate import fill_linear, fill_time
 from loadcast.operators.lags import lag_onto_horizon, lag_rows, lag_time, lag_time_join
 from loadcast.operators.meters import counter_to_power
-from loadcast.operators.ordered import exact_lags, previous_row, row_position
+from loadcast.operators import ordered
+from loadcast.operators.ordered import RAW_CHUNK, exact_lags, known_neighbours, previous_row, row_position
 from loadcast.operators.splits import fold_contiguous, fold_expanding, last_rows
 
 HOUR = 3600
@@ -134,3 +136,39 @@ def test_windows_are_split_by_chunk(series):
     plan = lag_time(df.withColumnRenamed("v", "y"), ["k"], "y", [48])._jdf.queryExecution().executedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window [" in line or "Window(" in line]
     assert windows and all("_chunk" in line for line in windows)
+
+
+@pytest.mark.parametrize("fan, span", [(2, 900), (3, 4 * HOUR)])
+def test_summaries_are_carried_over_many_levels(series, monkeypatch, fan, span):
+    """A tree of narrow blocks gives what one window per series gives, also before 1970, where chunks are negative."""
+    monkeypatch.setattr(ordered, "FAN", fan)
+    df, pdf = series
+    monkeypatch.setattr(ordered, "LONGEST", span * fan**3)
+    old = df.withColumn("ts", F.col("ts") - F.expr("INTERVAL 54 YEARS"))
+    by_series = pdf.sort_values(["k", "ts"]).groupby("k")
+    for rows in (df, old):
+        got = collected(previous_row(rows, ["k"], "ts", ["v"], span), "k", "ts")
+        pd.testing.assert_series_equal(got["prev_v"], by_series["v"].shift(1).reset_index(drop=True), check_names=False)
+        got = collected(row_position(rows, ["k"], "ts", span), "k", "ts")
+        assert got["pos"].tolist() == by_series.cumcount().tolist()
+        assert got["n_rows"].tolist() == by_series["k"].transform("size").tolist()
+        got = collected(known_neighbours(rows, ["k"], "ts", ["v"], span), "k", "ts")
+        for name, want in (("_pv_v", by_series["v"].ffill()), ("_nv_v", by_series["v"].bfill())):
+            pd.testing.assert_series_equal(got[name], want.reset_index(drop=True), check_names=False)
+
+
+def test_slow_readings_of_a_hot_series(spark):
+    """Ten years of one-hour readings fill one chunk each, and no window takes all chunks of the series."""
+    n = 10 * 365 * 24
+    rows = spark.range(0, n, 1, 8).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") * HOUR + 7).alias("ts"), F.col("id").cast("double").alias("value"))
+    power = counter_to_power(rows, ["k"])
+    got = power.agg(F.count("power").alias("n"), F.min("power").alias("a"), F.max("power").alias("z")).first()
+    assert tuple(got) == (n - 1, 1.0, 1.0)
+    summary = rows.groupBy("k", ordered.chunk_of(epoch_s("ts"), RAW_CHUNK).alias("_chunk")).agg(F.max("value").alias("x"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        carried = ordered.carry(summary, ["k"], {"c": ("before", "x")}, RAW_CHUNK)
+        per_task = [r["n"] for r in carried.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max("c")).collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(per_task) == n and max(per_task) < 0.6 * n and len(per_task) >= 3

@@ -7,12 +7,14 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from loadcast.operators.clean import dedup_first
 from loadcast.operators.grid import bin_mean
 from loadcast.operators.history import upsert
 from loadcast.operators.meters import counter_to_power
 from loadcast.streaming.jobs import (
     append_files, bin_mean_stream, compact, counter_power_stream, current_table, dedup_stream, power_table, start_table, upsert_stream,
 )
+from loadcast.streaming.state import counter_power_state
 
 SCHEMA = "variable_id string, ts timestamp, value double, n bigint"
 
@@ -106,3 +108,40 @@ def test_a_new_checkpoint_keeps_landed_batches(spark, landed, tmp_path):
     assert current_table(spark, table, ["variable_id", "ts"]).count() == batch.count()
     compact(spark, table, str(tmp_path / "new"), ["variable_id", "ts"])
     assert current_table(spark, str(tmp_path / "new"), ["variable_id", "ts"]).count() == batch.count()
+
+
+def test_counter_power_as_keyed_state(spark, landed, tmp_path):
+    """Files out of order within the lateness, equal stamps and unknown energies: what the batch gives behind the watermark."""
+    _, batch = landed
+    odd = batch.withColumn("value", F.when(F.col("n") % 50 != 7, F.col("value")))
+    odd = odd.unionByName(odd.where("n % 40 = 3").withColumn("value", F.col("value") + 5)).unionByName(odd.where("n = 9").withColumn("ts", F.lit(None).cast("timestamp")))
+    root = str(tmp_path / "late")
+    arrival = F.floor((F.col("n") + F.pmod(F.xxhash64("n"), F.lit(40))) / 100)
+    for part in range(5):
+        odd.where(arrival == part).coalesce(1).write.mode("append").parquet(root)
+    out = counter_power_state(source(spark, root), ["variable_id"])
+    append_files(out, str(tmp_path / "o"), str(tmp_path / "c")).awaitTermination()
+    got = spark.read.schema(out.schema).parquet(str(tmp_path / "o")).toPandas().sort_values(["variable_id", "ts"]).reset_index(drop=True)
+    limit = (batch.agg(F.max("ts")).first()[0] - dt.timedelta(days=2)).replace(minute=0, second=0, microsecond=0)
+    once = dedup_first(odd.where("ts IS NOT NULL").select("variable_id", "ts", "value"), ["variable_id", "ts"], ["value"])
+    want = counter_to_power(once, ["variable_id"]).where(F.col("ts") < F.lit(limit)).toPandas().sort_values(["variable_id", "ts"]).reset_index(drop=True)
+    assert len(want) > 250 and want["power"].isna().sum() > 4
+    pd.testing.assert_frame_equal(got[["variable_id", "ts", "value", "power"]], want[["variable_id", "ts", "value", "power"]], check_dtype=False)
+
+
+def test_keyed_state_holds_the_lateness_only(spark, landed, tmp_path):
+    """After the run the state holds the hours of the last two days and one reading per meter, and a restart goes on from it."""
+    root, batch = landed
+    half, checkpoint, path = str(tmp_path / "in"), str(tmp_path / "c"), str(tmp_path / "o")
+    for part in ("n < 200", "n >= 200"):
+        batch.where(part).coalesce(1).write.mode("append").parquet(half)
+        out = counter_power_state(source(spark, half), ["variable_id"])
+        query = append_files(out, path, checkpoint)
+        query.awaitTermination()
+    held = spark.read.format("statestore").option("stateVarName", "waiting").load(checkpoint)
+    meters_hours = batch.where(F.col("ts") > F.lit(batch.agg(F.max("ts")).first()[0] - dt.timedelta(days=2, hours=1)))
+    assert 0 < held.count() <= meters_hours.count()
+    got = spark.read.schema(out.schema).parquet(path)
+    limit = (batch.agg(F.max("ts")).first()[0] - dt.timedelta(days=2)).replace(minute=0, second=0, microsecond=0)
+    want = counter_to_power(batch, ["variable_id"]).where(F.col("ts") < F.lit(limit)).select("variable_id", "ts", "power")
+    assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == want.count()

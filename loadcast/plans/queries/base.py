@@ -217,7 +217,10 @@ WEATHER_GRID = f"""{WEATHER}, days AS (SELECT DISTINCT date_trunc('day', ts) AS
 
 
 def computus(years: str = "SELECT unnest(generate_series(1990, 2030)) AS y") -> str:
-    """Holiday days ``hol(day)`` from the public rules, written independently of the library."""
+    """Holiday days ``hol(day)`` by the rules of ``functions.holidays``, in DuckDB's SQL.
+
+    Both follow the same public computus; tests hold the library's Easter dates against published ones.
+    """
     return f"""yrs AS ({years}),
     e1 AS (SELECT y, y % 19 AS a, y // 100 AS b, y % 100 AS c FROM yrs),
     e2 AS (SELECT *, (19 * a + b - b // 4 - ((b - (b + 8) // 25 + 1) // 3) + 15) % 30 AS h FROM e1),

@@ -25,23 +25,26 @@ def align_full_outer(t: Tables):
 
 @query(
     "load_weather_join",
-    f"""WITH {GRID}, {WEATHER_GRID}, y AS (SELECT 'S1' AS site_id, ts, value AS y FROM b WHERE variable_id = 'error')
-    SELECT site_id, ts, {rnd('y')} AS y, {', '.join(f'{rnd(c)} AS {c}' for c in WEATHER_COLUMNS)} FROM y FULL JOIN wg USING (site_id, ts)""",
+    f"""WITH {GRID}, {WEATHER_GRID}, y AS (SELECT 'S1' AS site_id, variable_id AS target, ts, value AS y FROM b)
+    SELECT site_id, target, ts, {rnd('y')} AS y, {', '.join(f'{rnd(c)} AS {c}' for c in WEATHER_COLUMNS)} FROM y FULL JOIN wg USING (site_id, ts)""",
 )
 def load_weather_join(t: Tables):
-    targets = t.bins.where(F.col("variable_id") == "error").select(F.lit("S1").alias("site_id"), "ts", F.col("value").alias("y"))
+    targets = t.bins.select(F.lit("S1").alias("site_id"), F.col("variable_id").alias("target"), "ts", F.col("value").alias("y"))
     return join_weather(targets, explode_regular_block(t.weather_blocks))
 
 
 @query(
     "primary_backup_coalesce",
-    f"""WITH {READINGS}, b AS ({bins('r')}) SELECT coalesce(m.ts, k.ts) AS ts, {rnd('coalesce(m.value, k.value)')} AS value
-    FROM (SELECT * FROM b WHERE variable_id = 'view') m FULL JOIN (SELECT * FROM b WHERE variable_id = 'click') k ON m.ts = k.ts""",
+    f"""WITH {READINGS}, b AS ({bins('r')}), pairs AS (SELECT * FROM (VALUES ('C1', 'view', 'click'), ('C2', 'purchase', 'signup'), ('C3', 'error', NULL)) p(cabin, main, backup)),
+    m AS (SELECT cabin, ts, value FROM b JOIN pairs ON variable_id = main), k AS (SELECT cabin, ts, value FROM b JOIN pairs ON variable_id = backup)
+    SELECT cabin, ts, {rnd('coalesce(m.value, k.value)')} AS value FROM m FULL JOIN k USING (cabin, ts)""",
 )
 def primary_backup_coalesce(t: Tables):
-    role = F.when(F.col("variable_id") == "view", "pv_main").when(F.col("variable_id") == "click", "pv_backup")
-    sides = t.bins.withColumn("role", role).where(F.col("role").isNotNull())
-    return prefer_main(sides, ["ts"])
+    """Three cabins; the last has no backup meter."""
+    kind = F.col("variable_id")
+    cabin = F.when(kind.isin("view", "click"), "C1").when(kind.isin("purchase", "signup"), "C2").when(kind == "error", "C3")
+    role = F.when(kind.isin("view", "purchase", "error"), "pv_main").otherwise("pv_backup")
+    return prefer_main(t.bins.withColumn("cabin", cabin).withColumn("role", role), ["cabin", "ts"])
 
 
 @query(

@@ -238,21 +238,18 @@ def balance_residual(t: Tables):
 
 @query(
     "gross_from_net_pv",
-    f"""WITH {GRID}, n AS (SELECT ts, max(CASE WHEN variable_id = 'purchase' THEN value END) AS c1, max(CASE WHEN variable_id = 'error' THEN value END) AS c2,
-      max(CASE WHEN variable_id = 'view' THEN value END) AS pv1 FROM g GROUP BY ts)
-    SELECT ts, 'C1' AS cabin, {rnd('c1 + pv1')} AS gross FROM n UNION ALL SELECT ts, 'C2', {rnd('c2')} FROM n""",
+    f"""WITH {GRID}, n AS (SELECT ts, {', '.join(f"max(CASE WHEN variable_id = '{k}' THEN value END) AS {k}" for k in KINDS)} FROM g GROUP BY ts)
+    SELECT ts, 'C1' AS cabin, {rnd('purchase + view')} AS gross FROM n UNION ALL SELECT ts, 'C2', {rnd('error')} FROM n
+    UNION ALL SELECT ts, 'C3', {rnd('signup + click')} FROM n""",
 )
 def gross_from_net_pv(t: Tables):
-    """Cabin C1 has a PV system, C2 has none."""
-    kind, v = F.col("variable_id"), F.col("value")
-    n = t.grid.groupBy("ts").agg(
-        F.max(F.when(kind == "purchase", v)).alias("c1"), F.max(F.when(kind == "error", v)).alias("c2"),
-        F.max(F.when(kind == "view", v)).alias("pv1"),
-    )
-    cabins = F.array(
-        F.struct(F.lit("C1").alias("cabin"), F.col("c1").alias("net"), F.col("pv1").alias("pv"), F.lit(True).alias("has")),
-        F.struct(F.lit("C2").alias("cabin"), F.col("c2").alias("net"), F.lit(None).cast("double").alias("pv"), F.lit(False).alias("has")),
-    )
+    """Cabins C1 and C3 have a PV system, C2 has none."""
+    n = align(t.grid, [], "variable_id", KINDS)
+    meters = [("C1", "purchase", "view"), ("C2", "error", None), ("C3", "signup", "click")]
+    cabins = F.array(*[
+        F.struct(F.lit(c).alias("cabin"), F.col(net).alias("net"), (F.col(pv) if pv else F.lit(None).cast("double")).alias("pv"), F.lit(pv is not None).alias("has"))
+        for c, net, pv in meters
+    ])
     return n.select("ts", F.explode(cabins).alias("c")).select(
         "ts", "c.cabin", gross(F.col("c.net"), F.col("c.pv"), F.col("c.has")).alias("gross")
     )

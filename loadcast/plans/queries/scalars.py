@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ...functions.calendar import add_calendar, add_calendar_ints, add_cyclic, mark_holidays, site_closed, weekday_dummies
 from ...functions.timecols import HOUR, floor_15m, market_stamp, parse_ts, to_local
 from ...operators.pricing import small_mode
-from .base import GRID, HOURLY, TZ, WEATHER, Tables, closed, computus, local, query, rnd, to_utc
+from .base import HOURLY, READINGS, TZ, Tables, bins, closed, computus, local, query, rnd, to_utc
 
 
 @query("floor_15m", "SELECT event_id, time_bucket(INTERVAL 15 minute, ts) AS ts FROM events")
@@ -69,13 +69,14 @@ def campus_closed(t: Tables):
 
 @query(
     "t_open",
-    f"""WITH {computus()}, {GRID}, {WEATHER}, k AS (SELECT ts, temperature_2m, {local()} AS lt FROM w)
-    SELECT ts, {rnd('temperature_2m')} AS temperature_2m, CAST({closed('lt', 'CAST(lt AS DATE) IN (SELECT day FROM hol)')} AS INTEGER) AS campus_closed,
+    f"""WITH {computus()}, {READINGS}, b AS ({bins('r')}), k AS (SELECT variable_id AS site_id, ts, value AS temperature_2m, {local()} AS lt FROM b)
+    SELECT site_id, ts, {rnd('temperature_2m')} AS temperature_2m, CAST({closed('lt', 'CAST(lt AS DATE) IN (SELECT day FROM hol)')} AS INTEGER) AS campus_closed,
       {rnd('temperature_2m * (1 - (' + closed('lt', 'CAST(lt AS DATE) IN (SELECT day FROM hol)') + '))')} AS "T_open" FROM k""",
 )
 def t_open(t: Tables):
-    weather = t.bins.groupBy("ts").agg(F.max(F.when(F.col("variable_id") == "view", F.col("value"))).alias("temperature_2m"))
-    return add_calendar(weather, t.event_holidays, TZ).select("ts", "temperature_2m", "campus_closed", "T_open")
+    """Every series as the temperature of a site of its own."""
+    weather = t.bins.select(F.col("variable_id").alias("site_id"), "ts", F.col("value").alias("temperature_2m"))
+    return add_calendar(weather, t.event_holidays, TZ).select("site_id", "ts", "temperature_2m", "campus_closed", "T_open")
 
 
 @query(

@@ -46,7 +46,7 @@ def append_files(out: DataFrame, path: str, checkpoint: str, trigger: Mapping[st
     )
 
 
-def _run_of(spark: SparkSession, root: str, checkpoint: str) -> int:
+def run_of(spark: SparkSession, root: str, checkpoint: str) -> int:
     """Number of the run that a checkpoint stands for in a table: its own when it goes on, the next for a new one.
 
     Batch numbers start anew with a checkpoint, run numbers don't, so no run writes over another's folders.
@@ -74,7 +74,7 @@ def upsert_stream(stream: DataFrame, root: str, checkpoint: str, trigger: Mappin
     nothing is applied twice; a new checkpoint is a new run with folders of its own.
     :func:`current_table` reads the upserted state, :func:`compact` makes it the history of a new table.
     """
-    run = _run_of(stream.sparkSession, root, checkpoint)
+    run = run_of(stream.sparkSession, root, checkpoint)
 
     def land(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(_folder(root, run, number))
@@ -110,7 +110,7 @@ def counter_power_stream(
     """
     keys = list(keys)
     spark = stream.sparkSession
-    run = _run_of(spark, root, checkpoint)
+    run = run_of(spark, root, checkpoint)
     carry, power, landed = (os.path.join(root, n) for n in ("carry", "power", "readings"))
 
     def before(number: int) -> DataFrame | None:

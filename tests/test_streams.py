@@ -7,13 +7,14 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from loadcast.operators.clean import dedup_first
+from loadcast.operators.clean import dedup_first, dedup_last
 from loadcast.operators.grid import bin_mean
 from loadcast.operators.history import upsert
 from loadcast.operators.meters import counter_to_power
 from loadcast.streaming.jobs import (
     append_files, bin_mean_stream, compact, counter_power_stream, current_table, dedup_stream, power_table, start_table, upsert_stream,
 )
+from loadcast.streaming.merge import merge_batch, merge_stream, merged_table, start_merged
 from loadcast.streaming.state import counter_power_state
 
 SCHEMA = "variable_id string, ts timestamp, value double, n bigint"
@@ -145,3 +146,45 @@ def test_keyed_state_holds_the_lateness_only(spark, landed, tmp_path):
     limit = (batch.agg(F.max("ts")).first()[0] - dt.timedelta(days=2)).replace(minute=0, second=0, microsecond=0)
     want = counter_to_power(batch, ["variable_id"]).where(F.col("ts") < F.lit(limit)).select("variable_id", "ts", "power")
     assert got.select(*want.columns).exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.select("variable_id", "ts", "value", "n").collect()))
+
+
+def test_merge_rewrites_touched_partitions_only(spark, landed, tmp_path):
+    """Batches that touch some months leave the files of the others, and reads see one version of each."""
+    root, batch = landed
+    table, keys = str(tmp_path / "t"), ["variable_id", "ts"]
+    keyed = batch.withColumn("ts", F.date_trunc("day", "ts"))
+    old = keyed.withColumn("ts", F.col("ts") - F.expr("INTERVAL 60 DAYS")).withColumn("value", F.lit(-1.0))
+    history = old.unionByName(keyed.where("n < 50").withColumn("value", F.lit(-2.0)))
+    start_merged(history, table, keys, ["n"], buckets=3)
+    before = {f for f in merged_table(spark, table, SCHEMA).inputFiles() if "part=2023" in f}
+    late = source(spark, root).withColumn("ts", F.date_trunc("day", "ts"))
+    merge_stream(late, table, str(tmp_path / "c"), keys, ["n"], buckets=3).awaitTermination()
+    got = merged_table(spark, table, SCHEMA)
+    want = upsert(dedup_last(history, keys, ["n"]), keyed, keys, ["n"])
+    assert rows_of(got) == rows_of(want)
+    files = got.inputFiles()
+    parts = [f.split("/part=")[1].split("/")[0] for f in files]
+    versions = {(p, f.split("/version=")[1].split("/")[0]) for p, f in zip(parts, files)}
+    assert before and before <= set(files) and len(versions) == len(set(parts))
+
+
+def test_merge_survives_lost_and_repeated_runs(spark, landed, tmp_path):
+    _, batch = landed
+    table, keys = str(tmp_path / "t"), ["variable_id", "ts"]
+    start_merged(batch.limit(0), table, keys)
+    assert merged_table(spark, table, SCHEMA).count() == 0
+    merge_batch(batch.where("n < 300"), table, 1, keys, ["n"])
+    first = rows_of(merged_table(spark, table, SCHEMA))
+    # A run that was lost after it had written some of its data, before its manifest rows.
+    batch.withColumn("part", F.date_format("ts", "yyyy-MM-'0'")).write.partitionBy("part").parquet(f"{table}/data/version=2")
+    assert rows_of(merged_table(spark, table, SCHEMA)) == first == rows_of(batch.where("n < 300"))
+    late = batch.where("n >= 200").withColumn("value", F.lit(7.0))
+    for _ in range(2):  # the second time it is known already
+        merge_batch(late, table, 2, keys, ["n"])
+        assert rows_of(merged_table(spark, table, SCHEMA)) == rows_of(upsert(batch.where("n < 300"), late, keys, ["n"]))
+    merge_batch(late.limit(0), table, 3, keys, ["n"])
+    assert merged_table(spark, table, SCHEMA).count() == batch.count()

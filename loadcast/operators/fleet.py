@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator, Sequence
+from dataclasses import asdict
 
 import numpy as np
 import pandas as pd
@@ -29,8 +30,15 @@ from .splits import fold_contiguous, fold_expanding
 BINS = 32
 BLOCK_TREES = 50
 MAX_DEPTH = 40
-# Cells of the histograms that are looked at in one go.
-GO_CELLS = 1 << 20
+# Cells of the histograms that are looked at in one go, few enough for a core's cache.
+GO_CELLS = 1 << 15
+# Bits of the words that tell which leaves of a tree a row can still reach, and words looked at in one go.
+WORD = 64
+GO_WORDS = 1 << 16
+# Trees of more nodes are walked down: their masks would be longer than their paths.
+MASKED_NODES = 2 * 8 * WORD
+# Time span of the rows that a task reads with its own copy of the trees: 10,752 quarter-hours.
+READ_SPAN = 4 * GRID_CHUNK
 
 _KEYS = "site_id string, target string"
 TREE_SCHEMA = (
@@ -153,21 +161,27 @@ def _stretches(at: np.ndarray, nodes: int, cells: int) -> Iterator[tuple[int, in
 def _best_splits(bins, chosen, at, row, weight, error, min_leaf, n_bins):
     """Best (feature, cut, gain) of each node, by histograms of its rows over its drawn features."""
     nodes, draw = chosen.shape
-    cell = (at[:, None] * draw + np.arange(draw)) * n_bins + bins[row[:, None], chosen[at]]
-    size = nodes * draw * n_bins
-    on_left = np.bincount(cell.ravel(), np.repeat(weight, draw), size).reshape(nodes, draw, n_bins).cumsum(axis=2)
-    sum_left = np.bincount(cell.ravel(), np.repeat(error, draw), size).reshape(nodes, draw, n_bins).cumsum(axis=2)
-    total, summed = on_left[:, :1, -1:], sum_left[:, :1, -1:]
-    on_right = total - on_left
-    fits = (on_left >= min_leaf) & (on_right >= min_leaf)
-    saved = np.full(fits.shape, -np.inf)
-    left, right = on_left[fits], on_right[fits]
-    node = np.nonzero(fits)[0]
-    moved = sum_left[fits]
-    saved[fits] = moved**2 / left + (summed[node, 0, 0] - moved) ** 2 / right
+    place = row[:, None] * bins.shape[1] + chosen[at]
+    cell = ((at[:, None] * draw + np.arange(draw)) * n_bins + bins.ravel()[place]).ravel()
+    shape = nodes, draw, n_bins
+    left = np.bincount(cell, np.repeat(weight, draw), nodes * draw * n_bins).reshape(shape)
+    moved = np.bincount(cell, np.repeat(error, draw), nodes * draw * n_bins).reshape(shape)
+    np.cumsum(left, axis=2, out=left)
+    np.cumsum(moved, axis=2, out=moved)
+    total, summed = left[:, :1, -1:], moved[:, :1, -1:]
+    right = total - left
+    lacking = np.minimum(left, right) < min_leaf
+    # Cuts with an empty side are among the lacking ones.
+    with np.errstate(divide="ignore", invalid="ignore"):
+        base = (summed**2 / total)[:, 0, 0]
+        rest = summed - moved
+        np.divide(np.square(rest, out=rest), right, out=rest)
+        np.divide(np.square(moved, out=moved), left, out=moved)
+    saved = np.add(moved, rest, out=moved)
+    saved[lacking] = -np.inf
     flat = saved.reshape(nodes, -1)
     pick = flat.argmax(axis=1)
-    gain = flat[np.arange(nodes), pick] - (summed**2 / total)[:, 0, 0]
+    gain = flat[np.arange(nodes), pick] - base
     return chosen[np.arange(nodes), pick // n_bins], pick % n_bins, np.where(np.isfinite(gain), gain, -1.0)
 
 
@@ -181,15 +195,111 @@ def reached(trees: dict[str, np.ndarray], roots: np.ndarray, goes_left) -> np.nd
         node = np.where(inner, np.where(goes_left(node), trees["left"][node], trees["right"][node]), node)
 
 
+class LeafMasks:
+    """Trees read by masks of leaves: a row looks up one mask per feature instead of walking each tree down.
+
+    Leaves are numbered from left to right, a bit each. A node that sends a row right takes the leaves under its left
+    child away, and the first leaf that all nodes leave is the one that the row reaches. Which nodes of a feature do so
+    is known by the number of their thresholds below the row's value, so the masks of a feature are one table.
+    """
+
+    def __init__(self, trees: Sequence):
+        sizes = [len(t.feature) for t in trees]
+        roots = np.cumsum([0, *sizes[:-1]])
+        shift = np.repeat(roots, sizes)
+        feature, left, right = (np.concatenate([np.asarray(getattr(t, c), int) for t in trees]) for c in ("feature", "left", "right"))
+        threshold, value = (np.concatenate([np.asarray(getattr(t, c), float) for t in trees]) for c in ("threshold", "value"))
+        left, right, inner = left + shift, right + shift, feature >= 0
+        levels = [roots]
+        while len(top := levels[-1][inner[levels[-1]]]):
+            levels[-1] = top
+            levels.append(np.concatenate([left[top], right[top]]))
+        leaves, first = np.where(inner, 0, 1), np.zeros(len(feature), int)
+        for top in levels[-2::-1]:
+            leaves[top] = leaves[left[top]] + leaves[right[top]]
+        for top in levels[:-1]:
+            first[left[top]], first[right[top]] = first[top], first[top] + leaves[left[top]]
+        words = -(-leaves[roots] // WORD)
+        self.start, self.words, self.width = np.cumsum(words) - words, words, int(words.sum())
+        start = np.repeat(self.start, sizes)
+        self.value = np.zeros(self.width * WORD)
+        self.value[(start * WORD + first)[~inner]] = value[~inner]
+        # Words that each inner node takes leaves from.
+        node = np.flatnonzero(inner)
+        a, b = first[node], first[node] + leaves[left[node]]
+        spans = (b - 1) // WORD - a // WORD + 1
+        k = np.repeat(np.arange(len(node)), spans)
+        word = a[k] // WORD + np.arange(len(k)) - np.repeat(np.cumsum(spans) - spans, spans)
+        kept = ~(_low_bits(b[k] - word * WORD) ^ _low_bits(a[k] - word * WORD))
+        self.tables = []
+        for f in np.unique(feature[node]):
+            own = feature[node[k]] == f
+            cuts, at = np.unique(threshold[node[k[own]]], return_inverse=True)
+            table = np.full((len(cuts) + 1, self.width), ~np.uint64(0))
+            np.bitwise_and.at(table, (at + 1, start[node[k[own]]] + word[own]), kept[own])
+            self.tables.append((f, cuts, np.bitwise_and.accumulate(table, axis=0)))
+
+    def add(self, x: np.ndarray, total: np.ndarray) -> None:
+        """Add what each row of ``x`` reaches to ``total``, tree by tree."""
+        step = min(len(x), max(1, GO_WORDS // self.width))
+        stays, kept = (np.empty((step, self.width), np.uint64) for _ in range(2))
+        for i in range(0, len(x), step):
+            rows = x[i : i + step]
+            alive, masks = stays[: len(rows)], kept[: len(rows)]
+            alive[:] = ~np.uint64(0)
+            for f, cuts, table in self.tables:
+                alive &= table.take(np.searchsorted(cuts, rows[:, f]), axis=0, out=masks, mode="clip")
+            # The lowest bit left; a word without any hands over to the next word of its tree.
+            np.subtract(alive, np.uint64(1), out=masks)
+            leaf = np.bitwise_count(np.bitwise_and(np.invert(alive, out=alive), masks, out=masks)).astype(int)
+            for r in range(self.words.max() - 1, 0, -1):
+                at = self.start[self.words > r] + r - 1
+                leaf[:, at] = np.where(leaf[:, at] == WORD, leaf[:, at + 1] + WORD, leaf[:, at])
+            if self.words.max() > 1:
+                leaf = leaf[:, self.start]
+            leaf += self.start * WORD
+            for v in self.value.take(leaf.T):
+                total[i : i + step] += v
+
+
+def walked(tree, x: np.ndarray) -> np.ndarray:
+    """What each row of ``x`` reaches, going down from the root."""
+    node = np.zeros(len(x), int)
+    feature, threshold = np.asarray(tree.feature, int), np.asarray(tree.threshold, float)
+    left, right = np.asarray(tree.left, int), np.asarray(tree.right, int)
+    inner = feature[node] >= 0
+    while inner.any():
+        goes_left = x[np.arange(len(x)), feature[node]] <= threshold[node]
+        node = np.where(inner, np.where(goes_left, left[node], right[node]), node)
+        inner = feature[node] >= 0
+    return np.asarray(tree.value, float)[node]
+
+
+def add_trees(trees: Sequence, x: np.ndarray, total: np.ndarray) -> None:
+    """Add what each row of ``x`` reaches to ``total``, in the order of the trees."""
+    for i in range(0, len(trees), BLOCK_TREES):
+        block = trees[i : i + BLOCK_TREES]
+        if max(len(t.feature) for t in block) <= MASKED_NODES:
+            LeafMasks(block).add(x, total)
+        else:
+            for t in block:
+                total += walked(t, x)
+
+
+def _low_bits(n: np.ndarray) -> np.ndarray:
+    """Words with their lowest n bits set, n taken into 0 to ``WORD``."""
+    n = np.clip(n, 0, WORD).astype(np.uint64)
+    return np.where(n < WORD, (np.uint64(1) << np.minimum(n, np.uint64(WORD - 1))) - np.uint64(1), ~np.uint64(0))
+
+
 def _seed(seed: int, site: str | None, target: str | None, fold: int, block: int) -> np.random.Generator:
     return np.random.default_rng([seed, zlib.crc32(f"{site}\0{target}".encode()), fold + 1, block])
 
 
-def _grown(row, use: np.ndarray, fold: int, seed: int) -> dict[str, np.ndarray]:
+def _grown(row, draw: int, use: np.ndarray, fold: int, seed: int) -> dict[str, np.ndarray]:
     bins, y, _ = _unpacked(row)
     if not use.any():
         raise ValueError(f"{row.site_id}, {row.target}: no rows to train on")
-    draw = features_drawn(row.rule, bins.shape[1])
     return grow(bins[use], y[use], int(row.trees), draw, int(row.min_leaf), _seed(seed, row.site_id, row.target, fold, int(row.block)))
 
 
@@ -230,7 +340,7 @@ def fit_fleet(panel: DataFrame, features: Sequence[str], params: DataFrame, seed
     tasks = _spread(packed.join(_blocks(params), list(SERIES)), "block")
 
     def run(row) -> pd.DataFrame:
-        t = _grown(row, np.ones(row.n_rows, bool), -1, seed)
+        t = _grown(row, features_drawn(row.rule, len(row.features)), np.ones(row.n_rows, bool), -1, seed)
         edges = [np.asarray(e, float) for e in row.edges]
         out = []
         for k in range(int(row.trees)):
@@ -248,7 +358,7 @@ def fit_fleet(panel: DataFrame, features: Sequence[str], params: DataFrame, seed
     return _one_at_a_time(tasks, run, TREE_SCHEMA)
 
 
-def predict_fleet(rows: DataFrame, trees: DataFrame, keep: Sequence[str] = (*SERIES, "ts"), ts: str = "ts", span: int = GRID_CHUNK) -> DataFrame:
+def predict_fleet(rows: DataFrame, trees: DataFrame, keep: Sequence[str] = (*SERIES, "ts"), ts: str = "ts", span: int = READ_SPAN) -> DataFrame:
     """Mean over the trees for each row of a series that has trees; other series give no rows.
 
     A task reads one series' rows of one time span and its trees, so long tables of one series are spread. Features are
@@ -272,16 +382,7 @@ def predict_fleet(rows: DataFrame, trees: DataFrame, keep: Sequence[str] = (*SER
             raise ValueError(f"missing model features: {lacking}")
         x = part[use].to_numpy(float)
         total = np.zeros(len(part))
-        for t in forest.sort_values("tree").itertuples(index=False):
-            node = np.zeros(len(x), int)
-            feature, threshold = np.asarray(t.feature, int), np.asarray(t.threshold, float)
-            left, right = np.asarray(t.left, int), np.asarray(t.right, int)
-            inner = feature[node] >= 0
-            while inner.any():
-                goes_left = x[np.arange(len(x)), feature[node]] <= threshold[node]
-                node = np.where(inner, np.where(goes_left, left[node], right[node]), node)
-                inner = feature[node] >= 0
-            total += np.asarray(t.value, float)[node]
+        add_trees(list(forest.sort_values("tree").itertuples(index=False)), x, total)
         yhat = np.where(np.isnan(x).any(axis=1), np.nan, total / len(forest))
         out = part[list(keep)].assign(yhat=yhat)
         return out.assign(yhat=out["yhat"].astype(object).where(out["yhat"].notna(), None))
@@ -308,13 +409,13 @@ def importances_of(trees: DataFrame) -> DataFrame:
     return ranked.select("*", F.expr(f"row_number() OVER (PARTITION BY site_id, target {order})").alias("rank"))
 
 
-def _nested(grid: Sequence[ForestParams]) -> dict[tuple[str, int], list[int]]:
-    """Numbers of trees of each other parameter set; multiples of a block, so that prefixes are whole blocks."""
-    out: dict[tuple[str, int], list[int]] = {}
+def _nested(grid: Sequence[ForestParams], n_features: int) -> dict[tuple[int, int], list[ForestParams]]:
+    """Grid points by (features drawn, smallest leaf); numbers of trees are multiples of a block, so that prefixes are whole blocks."""
+    out: dict[tuple[int, int], list[ForestParams]] = {}
     for p in grid:
         if p.trees % BLOCK_TREES:
             raise ValueError(f"numbers of trees must be multiples of {BLOCK_TREES}, got {p.trees}")
-        out.setdefault((p.features, p.min_leaf), []).append(p.trees)
+        out.setdefault((features_drawn(p.features, n_features), p.min_leaf), []).append(p)
     return out
 
 
@@ -324,49 +425,48 @@ def tune_fleet(
     """Mean squared error of every grid point in every fold, for every series: (series, params, param_order, fold, mse, n_rows).
 
     ``folds``: ``contiguous`` tests each of k blocks on the others, ``expanding`` on the rows before it. Each (series,
-    fold, features rule, smallest leaf) is fitted once, with the most trees that the grid asks for; what fewer trees
-    would score is read from the first blocks.
+    fold, number of features drawn, smallest leaf) is fitted once, with the most trees that the grid asks for; what fewer
+    trees would score is read from the first blocks. Rules that draw as many features of the series grow the same trees.
     """
     label = fold_contiguous if folds == "contiguous" else fold_expanding
     # Staged: the packed series are read once per fold, parameters and block.
     packed = stage(packed_series(label(train, list(SERIES), k, ts), features, "fold", ts), "packed-series")
-    nested = _nested(grid)
-    points = [(rule, leaf, fold, b) for (rule, leaf), counts in nested.items() for fold in range(k) for b in range(max(counts) // BLOCK_TREES)]
-    wanted = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(leaf).alias("min_leaf"), F.lit(f).alias("fold_no"), F.lit(b).alias("block")) for r, leaf, f, b in points])
+    nested = _nested(grid, len(features))
+    points = [(d, leaf, fold, b) for (d, leaf), same in nested.items() for fold in range(k) for b in range(max(p.trees for p in same) // BLOCK_TREES)]
+    wanted = F.array(*[F.struct(F.lit(d).alias("draw"), F.lit(leaf).alias("min_leaf"), F.lit(f).alias("fold_no"), F.lit(b).alias("block")) for d, leaf, f, b in points])
     tasks = packed.select("*", F.explode(wanted).alias("p")).select(*packed.columns, "p.*", F.lit(BLOCK_TREES).alias("trees"))
-    done = "site_id string, target string, rule string, min_leaf int, fold_no int, block int, y binary, summed binary"
+    done = "site_id string, target string, draw int, min_leaf int, fold_no int, block int, y binary, summed binary"
 
     def run(row) -> pd.DataFrame:
         bins, y, fold = _unpacked(row)
         tested = fold == row.fold_no
         use = ~tested if folds == "contiguous" else fold < row.fold_no
-        t = _grown(row, use, int(row.fold_no), seed)
+        t = _grown(row, int(row.draw), use, int(row.fold_no), seed)
         held = bins[tested]
         roots = np.repeat(np.arange(int(row.trees))[:, None], len(held), axis=1)
         leaf = reached(t, roots, lambda node: held[np.arange(len(held)), t["feature"][node]] <= t["cut"][node])
         summed = t["value"][leaf].sum(axis=0)
         return pd.DataFrame(
-            [[row.site_id, row.target, row.rule, row.min_leaf, row.fold_no, row.block, y[tested].tobytes(), summed.astype("<f8").tobytes()]],
+            [[row.site_id, row.target, row.draw, row.min_leaf, row.fold_no, row.block, y[tested].tobytes(), summed.astype("<f8").tobytes()]],
             columns=[c.split()[0] for c in done.split(", ")],
         )
 
-    blocks = _one_at_a_time(_spread(tasks, "rule", "min_leaf", "fold_no", "block"), run, done)
+    blocks = _one_at_a_time(_spread(tasks, "draw", "min_leaf", "fold_no", "block"), run, done)
     order = {p: i for i, p in enumerate(grid)}
     scored = f"{_KEYS}, params {PARAMS_SCHEMA}, param_order int, fold int, mse double, n_rows long"
 
     def score(key: tuple, parts: pd.DataFrame) -> pd.DataFrame:
-        site, target, rule, leaf, fold = key
+        site, target, draw, leaf, fold = key
         parts = parts.sort_values("block")
         y = np.frombuffer(parts["y"].iloc[0], "<f8")
         sums = np.cumsum([np.frombuffer(s, "<f8") for s in parts["summed"]], axis=0)
         out = []
-        for trees in nested[rule, int(leaf)]:
-            guess = sums[trees // BLOCK_TREES - 1] / trees
-            out.append((site, target, {"trees": trees, "features": rule, "min_leaf": int(leaf)}, order[ForestParams(trees, rule, int(leaf))],
-                        int(fold), float(((y - guess) ** 2).mean()), len(y)))
+        for p in nested[int(draw), int(leaf)]:
+            guess = sums[p.trees // BLOCK_TREES - 1] / p.trees
+            out.append((site, target, asdict(p), order[p], int(fold), float(((y - guess) ** 2).mean()), len(y)))
         return pd.DataFrame(out, columns=["site_id", "target", "params", "param_order", "fold", "mse", "n_rows"])
 
-    return blocks.groupBy(*SERIES, "rule", "min_leaf", "fold_no").applyInPandas(score, scored)
+    return blocks.groupBy(*SERIES, "draw", "min_leaf", "fold_no").applyInPandas(score, scored)
 
 
 def mean_scores(scores: DataFrame) -> DataFrame:

@@ -116,6 +116,53 @@ def test_fit_and_predict(spark):
         fleet.predict_fleet(panel.drop("b"), trees).collect()
 
 
+def test_masks_of_leaves_reach_what_a_walk_reaches(monkeypatch):
+    x, y = signal(700, 4)
+    bins, edges = bins_of(x)
+    trees = []
+    for min_leaf in (1, 3, 90, 400):  # several words of leaves, one word, no split at all
+        t = fleet.grow(bins, y, 2, 2, min_leaf, np.random.default_rng(min_leaf))
+        for k in range(2):
+            mine = np.flatnonzero(t["tree"] == k)
+            # Children numbered before their parents, as no rule orders nodes but that the root is 0.
+            mine = np.concatenate([mine[:1], mine[:0:-1]])
+            number = np.zeros(len(t["tree"]) + 1, int)
+            number[mine] = np.arange(len(mine))
+            cut = [edges[f][c] if f >= 0 else None for f, c in zip(t["feature"][mine], t["cut"][mine])]
+            trees.append(pd.Series({
+                "feature": t["feature"][mine], "threshold": cut, "left": number[t["left"][mine]], "right": number[t["right"][mine]], "value": t["value"][mine],
+            }))
+    leaves = [(t["feature"] < 0).sum() for t in trees]
+    assert max(leaves) > 2 * fleet.WORD and min(leaves) == 1
+    asked = np.concatenate([x, np.column_stack([edges[0][:5]] * 3), x[:1] + [[np.inf, -np.inf, 0]]])
+    got = np.zeros(len(asked))
+    fleet.LeafMasks(trees).add(asked, got)
+    plain = np.zeros(len(asked))
+    for t in trees:
+        plain += [walk(t, row) for row in asked]
+    assert (got == plain).all()
+    assert all(len(t["feature"]) <= fleet.MASKED_NODES for t in trees)
+    for most in (10**9, 0):  # small trees by masks, large ones by a walk
+        monkeypatch.setattr(fleet, "MASKED_NODES", most)
+        got = np.zeros(len(asked))
+        fleet.add_trees(trees, asked, got)
+        assert (got == plain).all()
+
+
+def test_rules_that_draw_as_many_features_are_fitted_once(spark):
+    names = [f"f{k}" for k in range(18)]
+    assert fleet.features_drawn("log2", 18) == fleet.features_drawn("sqrt", 18) == 4
+    panel = frame(spark, ["p"], 60).select("site_id", "target", "ts", "y", *[(F.col("a") * k + F.col("b")).alias(n) for k, n in enumerate(names)])
+    grid = [ForestParams(t, rule, 5) for t in (50, 100) for rule in ("log2", "sqrt", "all")]
+    assert {k: len(v) for k, v in fleet._nested(grid, 18).items()} == {(4, 5): 4, (18, 5): 2}
+    scores = fleet.tune_fleet(panel, names, grid).toPandas()
+    assert len(scores) == 18 and set(scores["param_order"]) == set(range(6))
+    mse = scores.set_index(["param_order", "fold"])["mse"]
+    assert (mse.loc[0] == mse.loc[1]).all() and (mse.loc[3] == mse.loc[4]).all() and (mse.loc[0] != mse.loc[2]).all()
+    alone = fleet.tune_fleet(panel, names, grid[4:5]).toPandas().set_index("fold")["mse"]
+    assert (alone.sort_index() == mse.loc[4].sort_index()).all()
+
+
 @pytest.mark.parametrize("folds", ["contiguous", "expanding"])
 def test_tuning_scores_every_number_of_trees(spark, folds):
     panel = frame(spark, ["p"], 90)
